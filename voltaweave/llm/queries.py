@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, exact_dedup, minhash_dedup, packing, quality
+from . import chat, decontam, exact_dedup, minhash_dedup, packing, quality, suffix_dedup, toxicity, url_filter
 
 END_ID = 2
 
@@ -23,6 +23,15 @@ def packed(docs: DataFrame) -> DataFrame:
     )
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = lambda doc_id: F.crc32(doc_id.cast("string").cast("binary")) % 3 == 1
+    return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), held_out)
+
+
+def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(table(spark, sf_dir, "pages"))
+
+
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -43,7 +52,31 @@ def op7_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash_dedup.classify(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op3_quality, op4_packing, op5_decontamination, op6_exact_dedup, op7_minhash_dedup)}
+def op8_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    said = "</s>[INST] ok [/INST]"
+    odd = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], rows.schema)
+    return chat.digests(chat.format_paths(chat.linear(rows.unionByName(odd))))
+
+
+def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.digests(suffix_dedup.repeats(table(spark, sf_dir, "documents")))
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_toxicity,
+        op2_url_filter,
+        op3_quality,
+        op4_packing,
+        op5_decontamination,
+        op6_exact_dedup,
+        op7_minhash_dedup,
+        op8_chat,
+        op10_suffix_dedup,
+    )
+}
 
 ORACLE_SQL = {
     "op6_exact_dedup": """
