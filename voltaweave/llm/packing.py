@@ -12,8 +12,10 @@ alone and a lost task is simply run again.
 
 from __future__ import annotations
 
+import json
 import re
 from collections.abc import Iterator
+from unicodedata import is_normalized
 
 import numpy as np
 import pyarrow as pa
@@ -26,25 +28,83 @@ from .common import text_chunks
 ODD_SPACE = re.compile("[\x1c-\x1f]")
 
 
+#: Marks that may close a word: together they are one token string of their own.
+CLOSING = ",.!?%$*&#|;:"
+#: Letters whose lower case depends on more than the letter.
+ODD_LETTERS = re.compile("[\u0130\u03a3]")
+
+
+def byte_letters() -> dict[int, str]:
+    """Byte -> the printable character that stands for it in a byte-level vocabulary."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in plain]
+    return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(rest)}
+
+
 class WordEncoder:
     """Encodes texts with a tokenizer that never joins what white space parts.
 
     Words are encoded once and kept as little-endian bytes of their ids, up to
-    ``most`` words; then the table starts anew.
+    ``most`` words; then the table starts anew.  If the tokenizer lower-cases
+    and splits letters from marks, and its vocabulary shows where words end,
+    new words of letters, with or without closing marks, are encoded many at a
+    time by the bare model; all other words by the whole tokenizer.
     """
 
-    def __init__(self, path: str, most: int = 400_000):
+    def __init__(self, path: str, most: int = 600_000):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer, self.known, self.most = Tokenizer.from_file(path), {}, most
+        made = json.loads(self.tokenizer.to_str())
+        kinds = [x.get("type") for part in ("normalizer", "pre_tokenizer") for x in (made[part] or {}).get("normalizers", (made[part] or {}).get("pretokenizers", []))]
+        self.bare = None
+        if kinds == ["NFC", "Replace", "Lowercase", "Split", "ByteLevel"] and made["model"].get("end_of_word_suffix") == "</w>":
+            self.bare = Tokenizer(self.tokenizer.model)
+            self.bare.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+            vocab = self.tokenizer.get_vocab()
+            self.closes = np.zeros(max(vocab.values()) + 1, bool)
+            self.closes[[i for t, i in vocab.items() if t.endswith("</w>")]] = True
+            self.letters = str.maketrans(byte_letters())
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         got = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.asarray(x.ids, "<u4").tobytes() for x in got]
 
+    def _bare_ids(self, words: list[str]) -> dict[str, bytes]:
+        """Of words of letters, lower-cased; those that the bare model can't part are left out."""
+        out = {}
+        for at in range(0, len(words), 500):
+            some = words[at : at + 500]
+            raw = [w if w.isascii() else w.encode().decode("latin-1").translate(self.letters) for w in some]
+            ids = np.asarray(self.bare.encode(" ".join(raw), add_special_tokens=False).ids, "<u4")
+            ends = np.flatnonzero(self.closes[ids]) + 1
+            if len(ends) == len(some) and ends[-1] == len(ids):
+                data, cuts = ids.tobytes(), [0, *(4 * ends).tolist()]
+                out.update((w, data[a:b]) for w, a, b in zip(some, cuts, cuts[1:], strict=False))
+        return out
+
+    def _learn(self, words: set[str]) -> None:
+        if self.bare:
+            plain = [w for w in words if w.isalpha() and w.islower() and w.isascii()]
+            self.known.update(self._bare_ids([w for w in plain if w not in self.known]))
+            parts, cores = [], set()
+            for w in words - self.known.keys():
+                low = w.lower()
+                core = low.rstrip(CLOSING)
+                if core.isalpha() and (w.isascii() or (is_normalized("NFC", w) and not ODD_LETTERS.search(w))):
+                    parts.append((w, core, low[len(core) :]))
+                    if core not in self.known:
+                        cores.add(core)
+            self.known.update(self._bare_ids(list(cores)))
+            tails = list({t for _, _, t in parts if t})
+            tails = dict(zip(tails, self._ids(tails), strict=True)) | {"": b""}
+            self.known.update([(w, self.known[c] + tails[t]) for w, c, t in parts if c in self.known])
+        rest = [w for w in words if w not in self.known]
+        self.known.update(zip(rest, self._ids(rest), strict=True))
+
     def encode(self, texts: list[str]) -> Iterator[bytes]:
         split = [None if ODD_SPACE.search(x) else x.split() for x in texts]
         new = set().union(*(x for x in split if x)) - self.known.keys()
@@ -52,8 +112,7 @@ class WordEncoder:
             if len(self.known) > self.most:
                 self.known = {}
                 new = set().union(*(x for x in split if x))
-            words = list(new)
-            self.known.update(zip(words, self._ids(words), strict=True))
+            self._learn(new)
         for text, words in zip(texts, split, strict=True):
             yield self._ids([text])[0] if words is None else b"".join(map(self.known.__getitem__, words))
 
