@@ -1,193 +1,41 @@
 """Near-duplicate documents by b-bit MinHash.
 
-1. One pass over the texts makes, for each document, the size and a 128-bit
-   hash of its shingle set, the low bits of 128 minima packed into 64-bit
-   words, and band keys.
-2. Equal sets become one: only the smallest id of each goes on.
-3. In each bucket of a band every member is paired with the bucket's smallest
-   id (a star, never all pairs).  Pairs whose similarity, estimated from the
-   packed bits and corrected for collisions, falls well short are dropped; the
-   others are confirmed on the full shingle sets, and components are formed.
-4. Buckets that still hold several components may hide links between members
-   that are no bucket's smallest.  There every member outside the bucket's most
-   common component is compared, on packed bits inside the join, with the
-   members of other components; likely pairs are confirmed on full sets and
-   components are formed again.
-
-A pair that shares a bucket is therefore either confirmed, ruled out, or known
-to be connected already.  Hot buckets cost one row a member.  Confirmations are
-dealt out by (hub, chunk), with at most about ``CHUNK`` members each.
+Documents are sketched, banded, confirmed on full shingle sets and joined into
+components by :mod:`neardup`, with forty bands of five minima dealt from 128:
+two documents at the threshold miss all bands about twice in 100,000.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
-import numpy as np
-import pandas as pd
-import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from . import sketch
-from .common import text_chunks, written
-
-PERMS, BANDS, ROWS, BITS = 128, 40, 5, 4
-#: Estimated similarity below the threshold by more than this is taken for a miss: over four deviations.
-MARGIN = 0.18
-CHUNK = 64
-WORDS = [f"w{i}" for i in range(PERMS * BITS // 64)]
-
-
-def sketches(docs: DataFrame, width: int = 5) -> DataFrame:
-    """(doc_id, n_shingles, lo, hi, w0.., bands) of each row; lo, hi name the set and are null if it is empty."""
-    perms, layout = sketch.permutations(PERMS), sketch.band_layout(PERMS, BANDS, ROWS)
-
-    def run(batches):
-        for batch, texts in text_chunks(batches, "text"):
-            sets = sketch.shingle_sets(texts, width)
-            n = np.array([len(s) for s in sets], np.int64)
-            full = n > 0
-            some = [s for s in sets if len(s)]
-            at = np.cumsum(full) - 1
+from . import neardup
+from .common import written
 
-            def spread(values, full=full, at=at):
-                return pa.array(values[at] if len(values) else np.zeros(len(full), np.int64), mask=~full)
+PLAN = neardup.Plan()
 
-            mins = sketch.minima(some, perms) if some else np.zeros((0, PERMS), np.uint32)
-            # sums of two mixes of the members, whatever their order: a 128-bit name of the set
-            names = [np.array([sketch.mixed(s ^ np.uint64(k)).sum() for s in some], np.uint64) for k in (0, 0xD6E8FEB86659FD93)]
-            packed = sketch.low_bits(mins, BITS)
-            keys = sketch.band_keys(mins, layout)
-            offsets = np.r_[0, np.cumsum(full * BANDS)].astype(np.int32)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0),
-                    pa.array(n),
-                    *(spread(x.view(np.int64)) for x in names),
-                    *(spread(np.ascontiguousarray(packed[:, i])) for i in range(len(WORDS))),
-                    pa.ListArray.from_arrays(pa.array(offsets), pa.array(keys.ravel())),
-                ],
-                names=["doc_id", "n_shingles", "lo", "hi", *WORDS, "bands"],
-            )
-
-    words = ", ".join(f"{w} long" for w in WORDS)
-    return docs.mapInArrow(run, f"doc_id long, n_shingles long, lo long, hi long, {words}, bands array<long>")
-
-
-def confirmed(pairs: DataFrame, texts: DataFrame, percent: int, width: int = 5) -> DataFrame:
-    """Those of ``pairs`` (u, hub) whose full shingle sets are similar enough, as (u, v).
-
-    ``texts`` has (doc_id, text).  The larger hubs' pairs are dealt out in
-    chunks, each with a copy of the hub's text.
-    """
-    hubs = pairs.groupBy("hub").agg(F.ceil(F.count(F.lit(1)) / CHUNK).cast("int").alias("chunks"))
-    dealt = pairs.join(hubs, "hub").select("u", "hub", F.pmod(F.xxhash64("u"), "chunks").cast("int").alias("chunk"))
-    hub_rows = hubs.select("hub", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"))
-    need = dealt.select(F.col("u").alias("doc_id"), "hub", "chunk").unionByName(
-        hub_rows.select(F.col("hub").alias("doc_id"), "hub", "chunk")
-    )
-    rows = texts.join(need, "doc_id").select("hub", "chunk", "doc_id", "text")
 
-    def judge(pdf: pd.DataFrame) -> pd.DataFrame:
-        sets = sketch.shingle_sets([x or "" for x in pdf["text"]], width)
-        hub = pdf["hub"].iloc[0]
-        heads = [s for s, i in zip(sets, pdf["doc_id"], strict=True) if i == hub]
-        good = []
-        for s, i in zip(sets, pdf["doc_id"], strict=True):
-            if i != hub:
-                for h in heads:
-                    both = len(np.intersect1d(s, h, assume_unique=True))
-                    if both and 100 * both >= percent * (len(s) + len(h) - both):
-                        good.append(i)
-                        break
-        return pd.DataFrame({"u": np.array(good, np.int64), "v": np.full(len(good), hub, np.int64)})
-
-    return rows.groupBy("hub", "chunk").applyInPandas(judge, "u long, v long").distinct()
-
-
-def classify(docs: DataFrame, percent: int = 75, width: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def classify(docs: DataFrame, plan: neardup.Plan = PLAN, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """For each row: doc_id, n_shingles, component_id and kept.
 
-    Rows are linked if 100 * intersection >= ``percent`` * union of their
+    Rows are linked if 100 * intersection >= ``plan.percent`` * union of their
     shingle sets.  Null and empty texts and texts without words have an empty
     set and stay alone.  Rows that repeat an id are one document and share its
     component; equal texts are linked.  Rows with a null id take no part: their
     component is null and they are kept.  Texts of any length are read whole.
     An empty table gives an empty result.
     """
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    made = written(sketches(rows, width), "sketches")
-    known = made.filter("n_shingles > 0 and doc_id is not null")
-    first = known.groupBy("lo", "hi").agg(F.min("doc_id").alias("first"))
-    of_set = written(known.select("doc_id", "lo", "hi").join(first, ["lo", "hi"]).select("doc_id", "lo", "hi", "first").distinct(), "firsts")
-    sets = written(
-        known.join(of_set.filter("doc_id = first").select("doc_id", "lo", "hi"), ["doc_id", "lo", "hi"], "left_semi")
-        .withColumnRenamed("doc_id", "id")
-        .drop("lo", "hi"),
-        "sets",
-    )
-    # one id on several sets is one document
-    alias = of_set.groupBy("doc_id").agg(F.min("first").alias("a"), F.max("first").alias("b")).filter("a < b")
-    same = of_set.join(alias.select("doc_id"), "doc_id", "left_semi").select(F.col("doc_id").alias("u"), F.col("first").alias("v"))
-
-    def likely(a: str, b: str):
-        xs, ys = ([F.col(f"{t}.{w}") for w in WORDS] for t in (a, b))
-        n, m = F.col(f"{a}.n_shingles"), F.col(f"{b}.n_shingles")
-        fits = (100 * F.least(n, m) >= percent * F.greatest(n, m))
-        return fits & (sketch.estimated_similarity(xs, ys, BITS, PERMS) >= percent / 100 - MARGIN)
-
-    members = sets.select("id", F.explode("bands").alias("key"))
-    stars = members.groupBy("key").agg(F.min("id").alias("hub"), F.max("id").alias("last")).filter("hub < last").select("key", "hub")
-    stars = members.join(stars, "key").filter("id <> hub").select("id", "hub").distinct()
-    signed = sets.select("id", "n_shingles", *WORDS)
-    pairs = (
-        stars.join(signed.alias("x"), "id")
-        .join(signed.withColumnRenamed("id", "hub").alias("y"), "hub")
-        .filter(likely("x", "y"))
-        .select(F.col("id").alias("u"), "hub")
-    )
-    links = written(confirmed(written(pairs, "pairs"), rows, percent, width).unionByName(same), "links")
-    roots = sketch.components(links)
-
-    label = F.coalesce("v", "id").alias("label")
-    labelled = members.join(roots.withColumnRenamed("u", "id"), "id", "left").select("key", "id", label)
-    counts = labelled.groupBy("key", "label").agg(F.count(F.lit(1)).alias("n"))
-    split = (
-        counts.groupBy("key")
-        .agg(F.count(F.lit(1)).alias("labels"), F.max(F.struct("n", F.col("label"))).alias("most"))
-        .filter("labels > 1")
-        .select("key", F.col("most.label").alias("main"))
-    )
-    mixed = written(labelled.join(split, "key").select("key", "id", "label", "main"), "mixed-buckets")
-    x, y = mixed.filter("label <> main").alias("x"), mixed.alias("y")
-    # of two outsiders the smaller id asks; what the main component holds is asked by outsiders only
-    apart = (F.col("x.label") != F.col("y.label")) & ((F.col("x.id") < F.col("y.id")) | (F.col("y.label") == F.col("y.main")))
-    sx, sy = (signed.select(F.col("id").alias(f"{t}_id"), F.col("n_shingles"), *WORDS).alias(f"s{t}") for t in "xy")
-    left = x.join(sx, F.col("x.id") == F.col("sx.x_id")).select("key", "label", F.col("x_id").alias("id"), "n_shingles", *WORDS)
-    right = y.join(sy, F.col("y.id") == F.col("sy.y_id")).select("key", "label", "main", F.col("y_id").alias("id"), "n_shingles", *WORDS)
-    left, right = left.alias("x"), right.alias("y")
-    more = (
-        left.join(right, (F.col("x.key") == F.col("y.key")) & apart & likely("x", "y"))
-        .select(F.col("x.id").alias("u"), F.col("y.id").alias("hub"))
-        .distinct()
-    )
-    more = written(more, "more-pairs")
-    if not more.isEmpty():
-        links = reduce(DataFrame.unionByName, [roots, written(confirmed(more, rows, percent, width), "more-links")])
-        roots = sketch.components(links)
-
-    root = roots.select(F.col("u").alias("first"), F.col("v").alias("root"))
-    found = of_set.join(root, "first", "left").select("doc_id", "lo", "hi", F.coalesce("root", "first").alias("root"))
-    component = F.coalesce("root", "doc_id")
-    return (
-        made.select("doc_id", "n_shingles", "lo", "hi")
-        .join(found, ["doc_id", "lo", "hi"], "left")
-        .select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+    return neardup.clusters(rows, plan).select(
+        F.col("id").alias("doc_id"),
+        "n_shingles",
+        F.col("root").alias("component_id"),
+        F.coalesce(F.col("id") == F.col("root"), F.lit(True)).alias("kept"),
     )
 
 
 def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with the smallest id of each component, all columns as they were; its repeated rows all stay."""
-    gone = classify(docs, id_col=id_col, text_col=text_col).filter(~F.col("kept")).select(F.col("doc_id").alias("gone_id")).distinct()
+    gone = classify(docs, id_col=id_col, text_col=text_col).filter("not kept").select(F.col("doc_id").alias("gone_id")).distinct()
     return docs.join(written(gone, "near-duplicates"), F.col(id_col).cast("long") == F.col("gone_id"), "left_anti")
