@@ -27,11 +27,17 @@ def classify(docs: DataFrame, plan: neardup.Plan = PLAN, id_col: str = "doc_id",
     An empty table gives an empty result.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    return neardup.clusters(rows, plan).select(
-        F.col("id").alias("doc_id"),
-        "n_shingles",
-        F.col("root").alias("component_id"),
-        F.coalesce(F.col("id") == F.col("root"), F.lit(True)).alias("kept"),
+    made, roots = neardup.clusters(rows, plan)
+    component = F.coalesce("root", "id")
+    return (
+        made.select("id", "n_shingles", "lo", "hi")
+        .join(roots, ["id", "lo", "hi"], "left")
+        .select(
+            F.col("id").alias("doc_id"),
+            "n_shingles",
+            component.alias("component_id"),
+            F.coalesce(F.col("id") == component, F.lit(True)).alias("kept"),
+        )
     )
 
 

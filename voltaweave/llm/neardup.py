@@ -47,7 +47,11 @@ MEMBER = np.dtype([("key", "<u8"), ("id", "<i8"), ("n", "<u4")])
 
 @dataclass(frozen=True)
 class Plan:
-    """How texts are sketched; ``margin`` is how far an estimate may fall short (over four deviations)."""
+    """How texts are sketched.
+
+    ``short``: texts of fewer than ``width`` words have one shingle, not none.
+    ``margin``: how far an estimate may fall short (over four deviations).
+    """
 
     width: int = 5
     percent: int = 75
@@ -56,6 +60,7 @@ class Plan:
     rows: int = 5
     bits: int = 4
     margin: float = 0.18
+    short: bool = True
 
     @property
     def words(self) -> list[str]:
@@ -69,7 +74,7 @@ def sketches(rows: DataFrame, plan: Plan) -> DataFrame:
 
     def run(batches):
         for batch, texts in text_chunks(batches, "text"):
-            sets = sketch.shingle_sets(texts, plan.width)
+            sets = sketch.shingle_sets(texts, plan.width, plan.short)
             n = np.array([len(s) for s in sets], np.int64)
             full = n > 0
             some = [s for s in sets if len(s)]
@@ -156,10 +161,10 @@ def live_members(sets: DataFrame, plan: Plan, blocks: int) -> DataFrame:
 
 
 def picked(texts: DataFrame, ids: DataFrame) -> DataFrame:
-    """The rows of ``texts`` (id, text) whose id is among the written, distinct ``ids``."""
+    """The distinct rows of ``texts`` (id, text) whose id is among the written, distinct ``ids``."""
     if ids.count() <= BROADCAST_IDS:
         ids = F.broadcast(ids)
-    return texts.join(ids, "id", "left_semi")
+    return texts.join(ids, "id", "left_semi").distinct()
 
 
 def similar(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
@@ -181,7 +186,7 @@ def confirmed(pairs: DataFrame, texts: DataFrame, plan: Plan) -> DataFrame:
     rows = picked(texts, written(need.select("id").distinct(), "confirm-ids")).join(need, "id").select("hub", "chunk", "id", "text")
 
     def judge(pdf: pd.DataFrame) -> pd.DataFrame:
-        sets = sketch.shingle_sets([x or "" for x in pdf["text"]], plan.width)
+        sets = sketch.shingle_sets([x or "" for x in pdf["text"]], plan.width, plan.short)
         hub = pdf["hub"].iloc[0]
         heads = [s for s, i in zip(sets, pdf["id"], strict=True) if i == hub]
         good = [i for s, i in zip(sets, pdf["id"], strict=True) if i != hub and any(similar(s, h, plan.percent) for h in heads)]
@@ -245,18 +250,18 @@ def compared_in_blocks(mixed: DataFrame, sets: DataFrame, texts: DataFrame, plan
 
     def judge(pdf: pd.DataFrame) -> pd.DataFrame:
         x, y = pdf[pdf["side"] == 0].reset_index(drop=True), pdf[pdf["side"] == 1].reset_index(drop=True)
-        sx, sy = (sketch.shingle_sets([t or "" for t in p["text"]], plan.width) for p in (x, y))
+        sx, sy = (sketch.shingle_sets([t or "" for t in p["text"]], plan.width, plan.short) for p in (x, y))
         good = [(x["id"][i], y["id"][j]) for i, j in zip(*likely_pairs(x, y, plan), strict=True) if similar(sx[i], sy[j], plan.percent)]
         return pd.DataFrame(good, columns=["u", "v"]).astype(np.int64)
 
     return with_text.groupBy(*keys).applyInPandas(judge, "u long, v long").distinct()
 
 
-def clusters(rows: DataFrame, plan: Plan) -> DataFrame:
-    """(id, n_shingles, root) of each row of (id long, text): root is the smallest id of its component.
+def clusters(rows: DataFrame, plan: Plan) -> tuple[DataFrame, DataFrame]:
+    """(sketches, roots) of the rows of (id long, text).
 
-    Rows with an empty set or a null id are their own component; rows that
-    repeat an id share one.
+    ``roots`` has (id, lo, hi, root) for each id and set that is not empty; root
+    is the smallest id of its component.  Rows that repeat an id share one.
     """
     made = written(sketches(rows, plan), "sketches")
     known = made.filter("n_shingles > 0 and id is not null")
@@ -319,4 +324,4 @@ def clusters(rows: DataFrame, plan: Plan) -> DataFrame:
 
     root = roots.select(F.col("u").alias("first"), F.col("v").alias("root"))
     found = of_set.join(root, "first", "left").select("id", "lo", "hi", F.coalesce("root", "first").alias("root"))
-    return made.select("id", "n_shingles", "lo", "hi").join(found, ["id", "lo", "hi"], "left").select("id", "n_shingles", F.coalesce("root", "id").alias("root"))
+    return made, written(found, "roots")

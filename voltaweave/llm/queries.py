@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontam, exact_dedup, minhash_dedup, packing, quality, suffix_dedup, toxicity, url_filter
+from . import chat, decontam, exact_dedup, minhash_dedup, packing, quality, substring_dedup, suffix_dedup, toxicity, url_filter
 
 END_ID = 2
 
@@ -59,6 +59,17 @@ def op8_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(chat.format_paths(chat.linear(rows.unionByName(odd))))
 
 
+def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.repeats(table(spark, sf_dir, "documents")).select(
+        "doc_id",
+        "n_paragraphs",
+        F.size("removed").cast("long").alias("n_removed"),
+        "keep_ids",
+        F.char_length("kept_text").cast("long").alias("kept_chars"),
+        F.sha2("kept_text", 256).alias("kept_sha256"),
+    )
+
+
 def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.digests(suffix_dedup.repeats(table(spark, sf_dir, "documents")))
 
@@ -74,6 +85,7 @@ QUERIES = {
         op6_exact_dedup,
         op7_minhash_dedup,
         op8_chat,
+        op9_substring_dedup,
         op10_suffix_dedup,
     )
 }

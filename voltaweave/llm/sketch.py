@@ -19,11 +19,12 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def shingle_sets(texts: list[str], width: int) -> list[np.ndarray]:
+def shingle_sets(texts: list[str], width: int, short: bool = True) -> list[np.ndarray]:
     """Each text's sorted distinct hashes of ``width`` words in a row.
 
     Words are what ASCII white space parts, with A-Z lower-cased.  A text of
-    fewer words, but not none, has the one shingle of all its words.
+    fewer words, but not none, has the one shingle of all its words, or none if
+    not ``short``.
     """
     split = [x.encode("utf-8", "replace").lower().split() for x in texts]
     sizes = np.array([len(x) for x in split], np.int64)
@@ -41,7 +42,7 @@ def shingle_sets(texts: list[str], width: int) -> list[np.ndarray]:
     for a, n in zip(starts, sizes, strict=True):
         if n >= width:
             out.append(np.unique(folded[a : a + n - width + 1]))
-        elif n:
+        elif n and short:
             one = np.array([n], np.uint64)
             for w in words[a : a + n]:
                 one = mixed(one * _FOLD + w)
@@ -66,6 +67,14 @@ def minima(sets: list[np.ndarray], perms: tuple[np.ndarray, np.ndarray]) -> np.n
     return out
 
 
+def tuned_bands(n_perms: int, similarity: float, recall: float) -> tuple[int, int]:
+    """(bands, rows): the most minima a band may read for pairs of ``similarity`` to be found with ``recall``."""
+    for rows in range(n_perms, 0, -1):
+        if 1 - (1 - similarity**rows) ** (n_perms // rows) >= recall:
+            return n_perms // rows, rows
+    return n_perms, 1
+
+
 def band_layout(n_perms: int, bands: int, rows: int, seed: int = 11) -> np.ndarray:
     """Which minima each band reads: every round deals all of them out once."""
     rng = np.random.default_rng(seed)
