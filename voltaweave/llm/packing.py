@@ -44,14 +44,14 @@ def byte_letters() -> dict[int, str]:
 class WordEncoder:
     """Encodes texts with a tokenizer that never joins what white space parts.
 
-    Words are encoded once and kept as little-endian bytes of their ids, up to
-    ``most`` words; then the table starts anew.  If the tokenizer lower-cases
+    Words are encoded once and kept as little-endian bytes of their ids.  Beyond
+    ``most`` words only those of the texts at hand are kept on.  If the tokenizer lower-cases
     and splits letters from marks, and its vocabulary shows where words end,
     new words of letters, with or without closing marks, are encoded many at a
     time by the bare model; all other words by the whole tokenizer.
     """
 
-    def __init__(self, path: str, most: int = 600_000):
+    def __init__(self, path: str, most: int = 800_000):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -107,11 +107,10 @@ class WordEncoder:
 
     def encode(self, texts: list[str]) -> Iterator[bytes]:
         split = [None if ODD_SPACE.search(x) else x.split() for x in texts]
-        new = set().union(*(x for x in split if x)) - self.known.keys()
-        if new:
-            if len(self.known) > self.most:
-                self.known = {}
-                new = set().union(*(x for x in split if x))
+        words = set().union(*(x for x in split if x))
+        if len(self.known) > self.most:
+            self.known = {w: self.known[w] for w in words if w in self.known}
+        if new := words - self.known.keys():
             self._learn(new)
         for text, words in zip(texts, split, strict=True):
             yield self._ids([text])[0] if words is None else b"".join(map(self.known.__getitem__, words))
