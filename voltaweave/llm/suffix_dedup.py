@@ -36,11 +36,11 @@ from .common import written
 from .sketch import mixed
 
 #: Bytes that are hashed at a time; longer documents are cut, with an overlap that loses no string.
-PIECE = 1_500_000
+PIECE = 500_000
 #: Tuples that a task settles at a time.
-FLUSH = 1_000_000
+FLUSH = 400_000
 #: Text bytes for each block of tuples.
-BYTES_PER_BLOCK = 8_000_000
+BYTES_PER_BLOCK = 4_000_000
 
 RUN = np.dtype([("h", "<u8"), ("c", "<u8"), ("d", "<i8"), ("p", "<u4"), ("n", "u1")])
 STRING = np.dtype([("h", "<u8"), ("d", "<i8"), ("p", "<u4")])
@@ -216,9 +216,11 @@ def repeats(docs: DataFrame, length: int = 100, id_col: str = "doc_id", text_col
     bits = np.uint64(64 - blocks.bit_length() + 1)
 
     def read(batches, more=()):
-        for batch in batches:
-            keys, texts, *rest = (batch.column(i).to_pylist() for i in range(2 + len(more)))
-            yield keys, [x.encode("utf-8", "replace") for x in texts], *rest
+        for whole in batches:
+            for at in range(0, whole.num_rows, 500):
+                batch = whole.slice(at, 500)
+                keys, texts, *rest = (batch.column(i).to_pylist() for i in range(2 + len(more)))
+                yield keys, [x.encode("utf-8", "replace") for x in texts], *rest
 
     def first_pass(batches):
         hasher, held, n = Hasher(PIECE), [], 0
@@ -340,7 +342,7 @@ def digests(found: DataFrame) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans and kept_sha256 for each row of :func:`repeats`."""
 
     def run(batches):
-        for batch in batches:
+        for batch in (whole.slice(at, 500) for whole in batches for at in range(0, whole.num_rows, 500)):
             ids, texts, starts, ends = (batch.column(i) for i in range(4))
             made = []
             for text, a, b in zip(texts.to_pylist(), starts.to_pylist(), ends.to_pylist(), strict=True):
