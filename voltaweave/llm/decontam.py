@@ -16,7 +16,7 @@ import string
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import fresh, written
 
 #: Between words: all of ASCII but digits and letters.
 GAP = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
@@ -178,5 +178,7 @@ def classify(
 
 def clean(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` without the rows that hold any window of an item, all columns as they were."""
-    bad = written(classify(docs, benchmark, id_col=id_col, text_col=text_col).filter("contaminated").select(F.col("doc_id").alias("bad_id")).distinct(), "contaminated")
-    return docs.join(bad, F.col(id_col).eqNullSafe(F.col("bad_id")), "left_anti")
+    bad_id = fresh(docs, "bad_id")
+    found = classify(docs, benchmark, id_col=id_col, text_col=text_col).filter("contaminated")
+    bad = written(found.select(F.col("doc_id").alias(bad_id)).distinct(), "contaminated")
+    return docs.join(bad, F.col(id_col).eqNullSafe(F.col(bad_id)), "left_anti")

@@ -41,7 +41,9 @@ def filter_blocks(fingerprints: np.ndarray, block_bits: int) -> Iterator[tuple[i
     rest = np.uint64(64 - block_bits - SLOT_BITS)
     slots = ((values >> rest) & np.uint64((1 << SLOT_BITS) - 1)).astype(np.int64)
     remainders = values & np.uint64((1 << int(rest)) - 1)
-    starts = np.flatnonzero(np.r_[True, blocks[1:] != blocks[:-1]]) if len(values) else []
+    if not len(values):
+        return
+    starts = np.flatnonzero(np.r_[True, blocks[1:] != blocks[:-1]])
     for a, b in zip(starts, [*starts[1:], len(values)], strict=True):
         runs = np.bincount(slots[a:b], minlength=1 << SLOT_BITS).astype(np.uint32)
         yield int(blocks[a]), runs.tobytes(), remainders[a:b].tobytes(), counts[a:b].astype(np.uint64).tobytes()
@@ -129,6 +131,7 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     Rows that no other shares a fingerprint with pass without a further shuffle.
     """
     fp, digest = fresh(docs, "text_fp"), fresh(docs, "text_digest")
+    winner_id, winner_digest = fresh(docs, "winner_id"), fresh(docs, "winner_digest")
     text = F.coalesce(F.col(text_col), F.lit(""))
     routed = written(
         repeated_fingerprints(docs.select(F.xxhash64(text).alias("fp")), docs.count()), "repeated-fingerprints"
@@ -136,12 +139,12 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     marked = docs.withColumn(fp, F.xxhash64(text))
     shared = marked.join(routed, fp, "left_semi").withColumn(digest, F.sha2(text, 256))
     winners = (
-        shared.select(F.col(digest).alias("winner_digest"), text.alias("winner_text"), F.col(id_col).alias("id"))
-        .groupBy("winner_digest", "winner_text")
-        .agg(F.max("id").alias("winner_id"))
-        .drop("winner_text")
+        shared.select(F.col(digest).alias(winner_digest), text.alias("text"), F.col(id_col).alias("id"))
+        .groupBy(winner_digest, "text")
+        .agg(F.max("id").alias(winner_id))
+        .drop("text")
     )
     # the key holds the id, so a large group of copies is spread over all partitions
-    won = F.col(id_col).eqNullSafe(F.col("winner_id")) & (F.col(digest) == F.col("winner_digest"))
+    won = F.col(id_col).eqNullSafe(F.col(winner_id)) & (F.col(digest) == F.col(winner_digest))
     kept = shared.join(winners, won, "left_semi").dropDuplicates([id_col, digest]).drop(digest)
     return marked.join(routed, fp, "left_anti").unionByName(kept).drop(fp)

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import neardup
-from .common import written
+from .common import fresh, written
 
 PLAN = neardup.Plan()
 
@@ -43,5 +43,6 @@ def classify(docs: DataFrame, plan: neardup.Plan = PLAN, id_col: str = "doc_id",
 
 def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with the smallest id of each component, all columns as they were; its repeated rows all stay."""
-    gone = classify(docs, id_col=id_col, text_col=text_col).filter("not kept").select(F.col("doc_id").alias("gone_id")).distinct()
-    return docs.join(written(gone, "near-duplicates"), F.col(id_col).cast("long") == F.col("gone_id"), "left_anti")
+    gone_id = fresh(docs, "gone_id")
+    gone = classify(docs, id_col=id_col, text_col=text_col).filter("not kept").select(F.col("doc_id").alias(gone_id)).distinct()
+    return docs.join(written(gone, "near-duplicates"), F.col(id_col).cast("long") == F.col(gone_id), "left_anti")

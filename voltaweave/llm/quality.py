@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_chunks, written
+from .common import fresh, text_chunks, written
 
 #: Most labelled rows that the target model is fitted on.
 SAMPLE = 20_000
@@ -237,6 +237,7 @@ def select(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
     Rows that repeat an id stay or go together.
     """
-    gone = resample(docs, labels, id_col=id_col, text_col=text_col).groupBy("doc_id").agg(F.bool_or("kept").alias("any")).filter("not any")
-    gone = written(gone.select(F.col("doc_id").alias("gone_id")), "rejected")
-    return docs.join(gone, F.col(id_col).eqNullSafe(F.col("gone_id")), "left_anti")
+    gone_id = fresh(docs, "gone_id")
+    rated = resample(docs, labels, id_col=id_col, text_col=text_col)
+    gone = rated.groupBy("doc_id").agg(F.bool_or("kept").alias("any")).filter("not any").select(F.col("doc_id").alias(gone_id))
+    return docs.join(written(gone, "rejected"), F.col(id_col).eqNullSafe(F.col(gone_id)), "left_anti")
