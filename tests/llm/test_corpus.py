@@ -276,9 +276,8 @@ def bytes_removed(texts, length):
 
 
 @pytest.mark.parametrize("piece", [500_000, 1000])
-def test_repeated_bytes(docs, empty, monkeypatch, piece):
-    monkeypatch.setattr(suffix_dedup, "PIECE", piece)
-    got = sorted(tuple(r) for r in suffix_dedup.digests(suffix_dedup.repeats(docs)).collect())
+def test_repeated_bytes(docs, empty, piece):
+    got = sorted(tuple(r) for r in suffix_dedup.digests(suffix_dedup.repeats(docs, piece=piece)).collect())
     assert got == [(i, *x) for i, x in enumerate(bytes_removed(TEXTS, 100))]
     assert suffix_dedup.digests(suffix_dedup.repeats(empty)).count() == 0
 
@@ -373,10 +372,10 @@ def labelled(spark):
     for i in range(600):
         w = [rng.choice(WORDS) for _ in range(rng.randint(8, 60))]
         toxic = i % 5 == 0
+        good = i % 7 != 0
         if toxic:
             bad = rng.choice(["zorgole", "morkel", "grelon"])
-            w.insert(rng.randint(0, len(w)), hide[i // 5 % 4](bad) if i % 3 == 1 else bad)
-        good = i % 7 != 0
+            w.insert(rng.randint(0, len(w)), hide[i // 5 % 4](bad) if i % 3 == 1 and good else bad)
         text = " ".join(w) if good else " ".join(x.upper() + "!!" for x in w)
         made.append((i, text))
         marks.append((i, int(good), int(toxic)))

@@ -73,15 +73,15 @@ class Hasher:
         return mixed((self.sums[size:] - self.sums[:n]) * self.inverse[:n])
 
 
-def pieces(keys: list[int], datas: list[bytes], length: int) -> Iterator[list[tuple[int, int, bytes]]]:
-    """Lists of (key, offset, bytes) of about ``PIECE`` bytes; long documents overlap by length - 1."""
+def pieces(keys: list[int], datas: list[bytes], length: int, most: int = PIECE) -> Iterator[list[tuple[int, int, bytes]]]:
+    """Lists of (key, offset, bytes) of at most ``most`` bytes; long documents overlap by length - 1."""
     out, size = [], 0
     for key, data in zip(keys, datas, strict=True):
-        for at in range(0, max(1, len(data) - length + 1), PIECE - length + 1):
-            part = data[at : at + PIECE]
+        for at in range(0, max(1, len(data) - length + 1), most - length + 1):
+            part = data[at : at + most]
             if len(part) < length:
                 continue
-            if size + len(part) > PIECE and out:
+            if size + len(part) > most and out:
                 yield out
                 out, size = [], 0
             out.append((key, at, part))
@@ -201,7 +201,7 @@ def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return written(rows.join(ranks, same).select("doc_id", "key", "text"), "keyed")
 
 
-def repeats(docs: DataFrame, length: int = 100, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def repeats(docs: DataFrame, length: int = 100, id_col: str = "doc_id", text_col: str = "text", piece: int = PIECE) -> DataFrame:
     """For each row: doc_id, text, and starts and ends (arrays of int) of its removed byte runs.
 
     Earlier means a smaller id, or an earlier byte of the same document.  Null
@@ -223,15 +223,15 @@ def repeats(docs: DataFrame, length: int = 100, id_col: str = "doc_id", text_col
                 yield keys, [x.encode("utf-8", "replace") for x in texts], *rest
 
     def first_pass(batches):
-        hasher, held, n = Hasher(PIECE), [], 0
+        hasher, held, n = Hasher(piece), [], 0
 
         def send():
             on, made = settle_runs(np.concatenate(held), last=False)
-            yield from blocked((on["h"] >> bits).astype(np.int32), on)
+            yield from blocked((mixed(on["h"]) >> bits).astype(np.int32), on)
             yield from blocked(document_block(made["d"], blocks) + blocks, made)
 
         for keys, datas in read(batches):
-            for part in pieces(keys, datas, length):
+            for part in pieces(keys, datas, length, piece):
                 held.append(runs_of(hasher, part, length)[0])
                 n += len(held[-1])
                 if n >= FLUSH:
@@ -257,16 +257,16 @@ def repeats(docs: DataFrame, length: int = 100, id_col: str = "doc_id", text_col
         return pd.DataFrame({"open_key": keys, "starts": [x.tobytes() for x in np.split(got["p"], at[1:])] if len(keys) else []})
 
     def second_pass(batches):
-        hasher, held, n = Hasher(PIECE), [], 0
+        hasher, held, n = Hasher(piece), [], 0
 
         def send():
             on, made = settle_strings(np.concatenate(held))
-            yield from blocked((on["h"] >> bits).astype(np.int32), on)
+            yield from blocked((mixed(on["h"]) >> bits).astype(np.int32), on)
             yield from blocked(document_block(made["d"], blocks) + blocks, made)
 
         for keys, datas, starts in read(batches, more=("starts",)):
             wanted = {k: np.frombuffer(s, "<u4") for k, s in zip(keys, starts, strict=True)}
-            for part in pieces(keys, datas, length):
+            for part in pieces(keys, datas, length, piece):
                 runs, at = runs_of(hasher, part, length)
                 ends = np.flatnonzero(np.r_[runs["d"][1:] != runs["d"][:-1], True]) + 1 if len(runs) else []
                 pick = np.zeros(len(runs), bool)
