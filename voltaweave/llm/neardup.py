@@ -257,13 +257,15 @@ def compared_in_blocks(mixed: DataFrame, sets: DataFrame, texts: DataFrame, plan
     return with_text.groupBy(*keys).applyInPandas(judge, "u long, v long").distinct()
 
 
-def clusters(rows: DataFrame, plan: Plan) -> tuple[DataFrame, DataFrame]:
+def clusters(rows: DataFrame, plan: Plan, repeated: bool = False) -> tuple[DataFrame, DataFrame]:
     """(sketches, roots) of the rows of (id long, text).
 
     ``roots`` has (id, lo, hi, root) for each id and set that is not empty; root
     is the smallest id of its component.  Rows that repeat an id share one.
+    ``repeated``: rows often repeat id and text, and are made distinct first.
     """
-    made = written(sketches(rows, plan), "sketches")
+    made = sketches(rows, plan)
+    made = written(made.distinct() if repeated else made, "sketches")
     known = made.filter("n_shingles > 0 and id is not null")
     first = known.groupBy("lo", "hi").agg(F.min("id").alias("first"))
     of_set = written(known.select("id", "lo", "hi").join(first, ["lo", "hi"]).distinct(), "firsts")
