@@ -28,8 +28,8 @@ from .common import text_chunks
 ODD_SPACE = re.compile("[\x1c-\x1f]")
 
 
-#: Marks that may close a word: together they are one token string of their own.
-CLOSING = ",.!?%$*&#|;:"
+#: Marks that close a word before white space: a token string of their own, as the white space put before them keeps it.
+CLOSING = re.compile(r"(?<=[^\W_])([,.!?%$*&#|;:]+)(?=\s|$)")
 #: Letters whose lower case depends on more than the letter.
 ODD_LETTERS = re.compile("[\u0130\u03a3]")
 
@@ -45,10 +45,12 @@ class WordEncoder:
     """Encodes texts with a tokenizer that never joins what white space parts.
 
     Words are encoded once and kept as little-endian bytes of their ids.  Beyond
-    ``most`` words only those of the texts at hand are kept on.  If the tokenizer lower-cases
-    and splits letters from marks, and its vocabulary shows where words end,
-    new words of letters, with or without closing marks, are encoded many at a
-    time by the bare model; all other words by the whole tokenizer.
+    ``most`` words only those of the texts at hand are kept on.  If the
+    tokenizer lower-cases and splits letters from marks, and its vocabulary
+    shows where words end, texts are lower-cased and closing marks parted from
+    words beforehand, which leaves fewer words to know; and new words of letters
+    are encoded many at a time by the bare model, all others by the whole
+    tokenizer.
     """
 
     def __init__(self, path: str, most: int = 800_000):
@@ -88,25 +90,20 @@ class WordEncoder:
 
     def _learn(self, words: set[str]) -> None:
         if self.bare:
-            plain = [w for w in words if w.isalpha() and w.islower() and w.isascii()]
-            self.known.update(self._bare_ids([w for w in plain if w not in self.known]))
-            parts, cores = [], set()
-            for w in words - self.known.keys():
-                low = w.lower()
-                core = low.rstrip(CLOSING)
-                if core.isalpha() and (w.isascii() or (is_normalized("NFC", w) and not ODD_LETTERS.search(w))):
-                    parts.append((w, core, low[len(core) :]))
-                    if core not in self.known:
-                        cores.add(core)
-            self.known.update(self._bare_ids(list(cores)))
-            tails = list({t for _, _, t in parts if t})
-            tails = dict(zip(tails, self._ids(tails), strict=True)) | {"": b""}
-            self.known.update([(w, self.known[c] + tails[t]) for w, c, t in parts if c in self.known])
+            self.known.update(self._bare_ids([w for w in words if w.isalpha() and w.islower() and is_normalized("NFC", w)]))
         rest = [w for w in words if w not in self.known]
         self.known.update(zip(rest, self._ids(rest), strict=True))
 
+    def _split(self, text: str) -> list[str] | None:
+        """The text's words, parted further where that changes nothing; None if it must be encoded whole."""
+        if ODD_SPACE.search(text):
+            return None
+        if self.bare and is_normalized("NFC", text) and not ODD_LETTERS.search(text):
+            text = CLOSING.sub(r" \1", text.lower())
+        return text.split()
+
     def encode(self, texts: list[str]) -> Iterator[bytes]:
-        split = [None if ODD_SPACE.search(x) else x.split() for x in texts]
+        split = [self._split(x) for x in texts]
         words = set().union(*(x for x in split if x))
         if len(self.known) > self.most:
             self.known = {w: self.known[w] for w in words if w in self.known}
