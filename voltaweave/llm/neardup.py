@@ -268,7 +268,8 @@ def clusters(rows: DataFrame, plan: Plan, repeated: bool = False) -> tuple[DataF
     made = written(made.distinct() if repeated else made, "sketches")
     known = made.filter("n_shingles > 0 and id is not null")
     first = known.groupBy("lo", "hi").agg(F.min("id").alias("first"))
-    of_set = written(known.select("id", "lo", "hi").join(first, ["lo", "hi"]).distinct(), "firsts")
+    # distinct before the join, so that nothing above it keeps a large group of equal sets together
+    of_set = written(known.select("id", "lo", "hi").distinct().join(first, ["lo", "hi"]).select("id", "lo", "hi", "first"), "firsts")
     heads = of_set.filter("id = first").select("id", "lo", "hi")
     sets = written(known.join(heads, ["id", "lo", "hi"], "left_semi").drop("lo", "hi"), "sets")
     texts = rows.select("id", "text")
