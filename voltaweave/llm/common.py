@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+import shutil
 import tempfile
 import uuid
 from collections.abc import Iterable, Iterator
@@ -11,6 +13,19 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors if their Python would not find it by itself."""
+    package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    root = os.path.dirname(package)
+    known = {os.path.realpath(p) for p in (os.getcwd(), *os.environ.get("PYTHONPATH", "").split(os.pathsep)) if p}
+    sc = spark.sparkContext
+    if os.path.realpath(root) in known or getattr(sc, "_shipped", None) == package:
+        return
+    archive = os.path.join(os.path.realpath(tempfile.mkdtemp()), os.path.basename(package))
+    sc.addPyFile(shutil.make_archive(archive, "zip", root, os.path.basename(package)))
+    sc._shipped = package
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder for intermediate tables: the cluster's checkpoint folder.
 
