@@ -308,3 +308,19 @@ def test_backfill(spark, tmp_path):
     assert sorted((str(r.day), r.v) for r in spark.read.parquet(path).collect()) == [("2024-01-01", 1), ("2024-01-02", 20)]
     versions = spark.createDataFrame([("a", 1, 5), ("a", 2, 5), ("a", 3, 6), ("b", 1, 5)], "k string, t int, v int")
     assert sorted(map(tuple, watch.changes(versions, ["k"], "t").collect())) == [("a", 1, 5), ("a", 3, 6), ("b", 1, 5)]
+
+
+def test_windowed_counts(spark, tmp_path):
+    land, out, mark = (str(tmp_path / x) for x in ("in", "out", "cp"))
+    schema = "ts timestamp, kind string"
+
+    def arrive(*rows):
+        spark.createDataFrame([(t, k) for t, k in rows], "ts string, kind string").withColumn("ts", F.to_timestamp("ts")).coalesce(1).write.mode("append").parquet(land)
+        counted = watch.windowed_counts(spark.readStream.schema(schema).parquet(land), "ts", "10 minutes", "5 minutes", "kind")
+        flat = counted.select(F.date_format("window.start", "HH:mm").alias("start"), "kind", "n")
+        flat.writeStream.outputMode("append").option("checkpointLocation", mark).trigger(availableNow=True).start(out, format="parquet").awaitTermination()
+
+    arrive(("2024-01-01 00:01:00", "a"), ("2024-01-01 00:02:00", "a"), ("2024-01-01 00:30:00", "b"))
+    arrive(("2024-01-01 00:03:00", "a"), ("2024-01-01 01:00:00", "b"))  # the first is late
+    arrive(("2024-01-01 02:00:00", "b"))
+    assert sorted(map(tuple, spark.read.parquet(out).collect())) == [("00:00", "a", 2), ("00:30", "b", 1), ("01:00", "b", 1)]
