@@ -92,16 +92,17 @@ def linear(conversations: DataFrame, conv_col: str = "conv_id", turn_col: str =
     )
 
 
-def paths(nodes: DataFrame, per_tree: int = 1) -> DataFrame:
+def paths(nodes: DataFrame, per_tree: int = 1, unique: bool = False) -> DataFrame:
     """(tree, leaf, rank, pos, node) of the ``per_tree`` best root-to-leaf paths of each tree.
 
     ``nodes`` has tree, node, parent and score.  Paths rank by summed score,
     ties by smaller leaf.  A parent that is not there makes its child a root;
     messages that only answer each other in a ring hang from no root and are on
-    no path.  Null scores count as 0; a null tree is a tree of its own.
+    no path.  Null scores count as 0; a null tree is a tree of its own.  Of
+    rows that repeat a node one counts; ``unique`` says that there are none.
     """
     base = nodes.select(F.coalesce(F.col("tree").cast("string"), F.lit("\0")).alias("t"), "tree", "node", "parent", F.coalesce("score", F.lit(0.0)).alias("score"))
-    base = written(base.dropDuplicates(["t", "node"]), "messages")
+    base = written(base if unique else base.dropDuplicates(["t", "node"]), "messages")
     there = base.select(F.col("t").alias("t2"), F.col("node").alias("up"))
     step = base.join(there, (F.col("t") == F.col("t2")) & (F.col("parent") == F.col("up")), "left").select("t", "node", "up", "score")
     jumps = [written(step.select("t", "node", "up", "score", F.lit(1).cast("long").alias("n")), "jumps")]
@@ -142,7 +143,7 @@ def paths(nodes: DataFrame, per_tree: int = 1) -> DataFrame:
     )
 
 
-def format_paths(nodes: DataFrame, per_tree: int = 1) -> DataFrame:
+def format_paths(nodes: DataFrame, per_tree: int = 1, unique: bool = False) -> DataFrame:
     """(tree, leaf, rank, formatted, loss_spans) of each chosen path.
 
     ``loss_spans`` (array of start and length, in code points) masks the
@@ -151,11 +152,11 @@ def format_paths(nodes: DataFrame, per_tree: int = 1) -> DataFrame:
     result.  One conversation is one value, so it is what a task must hold.
     """
     nodes = written(nodes, "nodes")
-    turns = nodes.dropDuplicates(["tree", "node"]).select(
+    turns = (nodes if unique else nodes.dropDuplicates(["tree", "node"])).select(
         F.col("tree").alias("tree2"), F.col("node").alias("node2"), F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text")
     )
     told = (
-        paths(nodes, per_tree)
+        paths(nodes, per_tree, unique)
         .join(turns, F.col("tree").eqNullSafe(F.col("tree2")) & (F.col("node") == F.col("node2")))
         .groupBy("tree", "leaf", "rank")
         .agg(F.sort_array(F.collect_list(F.struct("pos", "role", "text"))).alias("turns"))

@@ -58,7 +58,7 @@ def op8_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     said = "</s>[INST] ok [/INST]"
     odd = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], rows.schema)
-    return chat.digests(chat.format_paths(chat.linear(rows.unionByName(odd))))
+    return chat.digests(chat.format_paths(chat.linear(rows.unionByName(odd)), unique=True))
 
 
 def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
