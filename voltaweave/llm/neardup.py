@@ -35,6 +35,8 @@ from .common import text_chunks, written
 
 #: Members confirmed against one hub in one group, and the side of a block.
 CHUNK, BLOCK = 64, 128
+#: Rows confirmed by one call.
+LOT = 500
 #: A component whose outsiders and members make more pairs than this is compared in blocks.
 MANY_PAIRS = 1 << 16
 #: Band keys for each block of keys.
@@ -177,22 +179,31 @@ def similar(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
 def confirmed(pairs: DataFrame, texts: DataFrame, plan: Plan) -> DataFrame:
     """Those of ``pairs`` (u, hub) whose full shingle sets are similar enough, as (u, v).
 
-    A hub's pairs are dealt out in chunks, each with a copy of the hub's text.
+    A hub's pairs are dealt out in chunks, each with a copy of the hub's text;
+    chunks travel in lots of about ``LOT`` rows, as most have few.
     """
     hubs = written(pairs.groupBy("hub").agg(F.ceil(F.count(F.lit(1)) / CHUNK).cast("int").alias("chunks")), "hubs")
     dealt = pairs.join(hubs, "hub").select(F.col("u").alias("id"), "hub", F.pmod(F.xxhash64("u"), "chunks").cast("int").alias("chunk"))
     heads = hubs.select(F.col("hub").alias("id"), "hub", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"))
     need = written(dealt.unionByName(heads), "to-confirm")
-    rows = picked(texts, written(need.select("id").distinct(), "confirm-ids")).join(need, "id").select("hub", "chunk", "id", "text")
+    lots = max(1, need.count() // LOT)
+    rows = picked(texts, written(need.select("id").distinct(), "confirm-ids")).join(need, "id")
+    rows = rows.select(F.pmod(F.xxhash64("hub", "chunk"), F.lit(lots)).alias("lot"), "hub", "chunk", "id", "text")
 
     def judge(pdf: pd.DataFrame) -> pd.DataFrame:
+        hub, chunk, ids = (pdf[c].to_numpy() for c in ("hub", "chunk", "id"))
         sets = sketch.shingle_sets([x or "" for x in pdf["text"]], plan.width, plan.short)
-        hub = pdf["hub"].iloc[0]
-        heads = [s for s, i in zip(sets, pdf["id"], strict=True) if i == hub]
-        good = [i for s, i in zip(sets, pdf["id"], strict=True) if i != hub and any(similar(s, h, plan.percent) for h in heads)]
-        return pd.DataFrame({"u": np.array(good, np.int64), "v": np.full(len(good), hub, np.int64)})
-
-    return rows.groupBy("hub", "chunk").applyInPandas(judge, "u long, v long").distinct()
+        order = np.lexsort((ids != hub, chunk, hub))  # each chunk's head first
+        cuts = np.flatnonzero(np.diff(hub[order]) | np.diff(chunk[order])) + 1
+        us, vs = [], []
+        for group in np.split(order, cuts):
+            heads = [sets[i] for i in group if ids[i] == hub[i]]
+            good = [ids[i] for i in group if ids[i] != hub[i] and any(similar(sets[i], h, plan.percent) for h in heads)]
+            us += good
+            vs += [hub[group[0]]] * len(good)
+        return pd.DataFrame({"u": np.array(us, np.int64), "v": np.array(vs, np.int64)})
+
+    return rows.groupBy("lot").applyInPandas(judge, "u long, v long").distinct()
 
 
 def likely(plan: Plan, a: str, b: str) -> Column:

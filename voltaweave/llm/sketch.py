@@ -67,12 +67,12 @@ def minima(sets: list[np.ndarray], perms: tuple[np.ndarray, np.ndarray]) -> np.n
     return out
 
 
-def tuned_bands(n_perms: int, similarity: float, recall: float) -> tuple[int, int]:
-    """(bands, rows): the most minima a band may read for pairs of ``similarity`` to be found with ``recall``."""
-    for rows in range(n_perms, 0, -1):
-        if 1 - (1 - similarity**rows) ** (n_perms // rows) >= recall:
-            return n_perms // rows, rows
-    return n_perms, 1
+def tuned_bands(read: int, similarity: float, recall: float) -> tuple[int, int]:
+    """(bands, rows): the most minima a band may read, of ``read`` in all, to find pairs of ``similarity`` with ``recall``."""
+    for rows in range(read, 0, -1):
+        if 1 - (1 - similarity**rows) ** (read // rows) >= recall:
+            return read // rows, rows
+    return read, 1
 
 
 def band_layout(n_perms: int, bands: int, rows: int, seed: int = 11) -> np.ndarray:
