@@ -4,7 +4,6 @@ import hashlib
 import random
 import re
 import struct
-import zlib
 from collections import defaultdict
 
 import numpy as np
