@@ -126,6 +126,23 @@ def sheet_routing(spark, sf_dir):
     return routed.filter("kind is not null")
 
 
+@query("""
+    SELECT s_suppkey, (s_suppkey % 28 + 1) || '' AS day_text, CASE WHEN s_suppkey % 3 <> 0
+           THEN printf('%d-%02d-%02d', 2010 + s_suppkey % 20, s_suppkey % 12 + 1, s_suppkey % 28 + 1) END AS day,
+           CASE WHEN s_suppkey % 3 <> 0 THEN CAST(2010 + s_suppkey % 20 AS INTEGER) END AS year, CASE WHEN s_suppkey % 3 <> 0 THEN CAST(s_suppkey % 12 + 1 AS INTEGER) END AS month
+    FROM supplier
+""")
+def dated_sheet_routing(spark, sf_dir):
+    from ..sources.bronze import dated_sheet, map_sheet
+
+    key = F.col("s_suppkey")
+    day = (key % 28 + 1).cast("string")
+    month = F.when(key % 3 == 0, "brumario").otherwise(F.element_at(F.array(*map(F.lit, text.MONTHS)), (key % 12 + 1).cast("int")))
+    name = F.concat_ws(" ", day, F.initcap(month), (2010 + key % 20).cast("string"))
+    year, number = map_sheet(name)
+    return table(spark, sf_dir, "supplier").select("s_suppkey", day.alias("day_text"), dated_sheet(name).alias("day"), year.alias("year"), number.alias("month"))
+
+
 @query("""
     WITH cells AS (SELECT p_partkey // 8 AS sheet, CAST(p_partkey % 8 + 1 AS INTEGER) AS row_idx, pos, CASE pos WHEN 0 THEN p_type WHEN 1 THEN p_name ELSE p_name || ' ' || p_type END AS cell
                    FROM part, (VALUES (0), (1), (2)) t(pos)),
@@ -213,6 +230,14 @@ def last_wins_dedup(spark, sf_dir):
     return keyed.last_wins(orders, ["o_custkey"], F.col("o_orderdate"), F.col("o_orderkey")).drop("o_orderdate")
 
 
+@query("""
+    SELECT o_custkey, o_orderkey, o_totalprice FROM orders QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) = 1
+""")
+def first_wins_dedup(spark, sf_dir):
+    orders = table(spark, sf_dir, "orders").select("o_custkey", "o_orderkey", "o_totalprice", "o_orderdate")
+    return keyed.first_wins(orders, ["o_custkey"], F.col("o_orderdate"), F.col("o_orderkey")).drop("o_orderdate")
+
+
 @query("""
     SELECT c_nationkey, c_custkey, c_acctbal, CAST(row_number() OVER (PARTITION BY c_nationkey ORDER BY c_acctbal DESC, c_custkey) AS INTEGER) AS rank
     FROM customer QUALIFY rank <= 5
@@ -419,6 +444,25 @@ def nested_top_lists(spark, sf_dir):
     return found.select("o_custkey", "n_largest", F.round("sum_largest", 2).alias("sum_largest"), F.array_join(F.transform("largest", lambda x: x["o_orderkey"].cast("string")), "|").alias("largest"))
 
 
+@query("""
+    SELECT c_custkey AS k, concat_ws('|', CASE WHEN k % 3 = 0 AND k % 50 > 0 THEN 'decaimiento_tramite:media' END, CASE WHEN k % 4 >= 1 THEN 'estancado:media' END,
+           CASE WHEN k % 4 >= 2 THEN 'estancado:media' END, CASE WHEN k % 2 = 1 THEN CASE WHEN k % 5 = 0 THEN 'hito:alta' ELSE 'hito:media' END END,
+           CASE WHEN k % 7 = 0 THEN CASE WHEN k % 6 >= 3 THEN 'anomalia:alta' ELSE 'anomalia:media' END END) AS told
+    FROM customer
+""")
+def score_predictions(spark, sf_dir):
+    k = F.col("k")
+    stalled = F.transform(F.slice(F.array(*map(F.lit, range(3))), F.lit(1), (k % 4).cast("int")), lambda i: F.struct(F.lit("p").alias("p"), i.cast("double").alias("mw"), F.lit(30).alias("months")))
+    one = F.array(F.struct(F.lit("p").alias("p"), F.lit(1.0).alias("mw"), F.lit("AAP").alias("milestone"), F.when(k % 5 == 0, "ocupada").otherwise("libre").alias("confidence")))
+    rows = table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").alias("k")
+    ).select(
+        "k", F.when(k % 3 == 0, (k % 50).cast("double")).otherwise(0.0).alias("queue_drop"), stalled.alias("stalled"), F.when(k % 2 == 1, one).alias("milestones"),
+        F.when(k % 7 == 0, F.struct((k % 100).cast("double").alias("mw"), F.lit("up").alias("dir"), (k % 6).cast("double").alias("z"))).alias("anomaly"),
+    )
+    return radar.predictions(rows).select("k", F.array_join(F.transform("predictions", lambda p: F.concat(p["mechanism"], F.lit(":"), p["chance"])), "|").alias("told"))
+
+
 # ---- summaries
 
 
