@@ -188,11 +188,15 @@ def as_frame(rows: np.ndarray, blocks: int) -> pd.DataFrame:
 
 
 def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(doc_id, key, text): keys are the ids, or, if these are not distinct, ranks by id and text."""
+    """(key, text), keys being the ids; or, if these are no distinct integers, (doc_id, key, text) with ranks by id and text.
+
+    In the first case the key can't be null, which keeps every shuffle of the texts by key one and the same.
+    """
     rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     ids = rows.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
-    if ids.filter("n > 1 or doc_id is null").isEmpty():
-        return rows.select("doc_id", F.col("doc_id").cast("long").alias("key"), "text")
+    whole = docs.schema[id_col].dataType.simpleString() in ("bigint", "int", "smallint", "tinyint")
+    if whole and ids.filter("n > 1 or doc_id is null").isEmpty():
+        return rows.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias("key"), "text")
     distinct = rows.select("doc_id", F.sha2("text", 256).alias("digest")).distinct().orderBy(F.asc_nulls_first("doc_id"), "digest")
     kind = docs.schema[id_col].dataType.simpleString()
     ranks = distinct.rdd.zipWithIndex().map(lambda x: (x[0][0], x[0][1], x[1]))
@@ -321,12 +325,12 @@ def repeats(docs: DataFrame, length: int = 100, id_col: str = "doc_id", text_col
             ends.append(b[np.r_[new[1:], True]])
         return pd.DataFrame({"span_key": keys, "starts": starts, "ends": ends})
 
-    removed = written(
-        found.unionByName(induced).groupBy("block").applyInPandas(spans, "span_key long, starts array<int>, ends array<int>"), "removed-spans"
-    )
-    none = F.array().cast("array<int>")
+    # not written in between: one plan shuffles the texts by key once for both joins
+    removed = found.unionByName(induced).groupBy("block").applyInPandas(spans, "span_key long, starts array<int>, ends array<int>")
+    none, kind = F.array().cast("array<int>"), docs.schema[id_col].dataType
+    doc_id = F.col("doc_id") if "doc_id" in rows.columns else F.col("key").cast(kind).alias("doc_id")
     return rows.join(removed, F.col("key") == F.col("span_key"), "left").select(
-        "doc_id", "text", F.coalesce("starts", none).alias("starts"), F.coalesce("ends", none).alias("ends")
+        doc_id, "text", F.coalesce("starts", none).alias("starts"), F.coalesce("ends", none).alias("ends")
     )
 
 
