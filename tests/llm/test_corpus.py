@@ -402,6 +402,22 @@ def test_restoring(labelled):
     assert {"idiot", "moron"} <= told[0] and "stupid" in told[1] and "clown" in told[2] and "idiot" in told[3] and told[4] == set() and told[5] == {"plain"}
 
 
+def test_restoring_long_stretches():
+    counts = np.zeros(1 << 20, np.int64)
+    text = "the people say you are an idiot the clown is stupid the things are stupid you say the clown is an idiot"
+    for t in [text] * 50:
+        counts += np.bincount(toxicity.four_grams(toxicity.classed(t)), minlength=1 << 20)
+    model = toxicity.LanguageModel(counts)
+    bare = text.replace(" ", "")
+    made = ["st" + "u" * 90 + "pid", " ".join(bare), ".".join(bare), ".".join(bare * 60), "1d10t" + "people" * 20]
+    told = toxicity.Restorer(model).words(made)
+    assert "stupid" in told[0] and all(set(text.split()) <= t for t in told[1:4]) and "idiot" + "people" * 20 in told[4]
+    # one reading whether it is joined on the way or not
+    long = toxicity.restore(".".join(bare * 60), model)
+    assert len(long) > 3000 and long.replace(" ", "") == bare * 60 and set(long.split()) <= set(text.split())
+    assert toxicity.restore("i" + "d" * 300_000 + "iot", model) == "idiot"
+
+
 def test_quality_selection(labelled):
     docs, labels = labelled
     good = {r.doc_id: r.quality for r in labels.collect()}

@@ -33,8 +33,10 @@ LEAST_TOXIC, LEAST_SHARE, SMOOTHING = 4, 0.3, 4.0
 BEGINNINGS = (4, 5, 6, 7, 8)
 #: Log costs of the channel: a look-alike, one letter fewer in a repetition, a dropped separator.
 LOOKALIKE, REPEAT, SPACED = -1.5, -0.5, -0.3
-#: States kept for each position of the search.
-BEAM = 64
+#: After so many places the readings so far are joined to strings, which take less memory than one node a place.
+JOINED = 4096
+#: Longer stretches are read anew each time they come, so that what is remembered stays small.
+REMEMBERED = 128
 
 #: Look-alike characters and the letters they stand for.
 LOOKALIKES = {
@@ -126,17 +128,11 @@ def suspicious(classes: np.ndarray) -> list[tuple[int, int]]:
             spots.append(i)
     same = letter[2:] & (classes[2:] == classes[1:-1]) & (classes[2:] == classes[:-2]) & (classes[2:] != _OTHER)
     spots += (np.flatnonzero(same)).tolist()
-    spans = set()
-    for i in spots:
-        a = b = int(i)
-        while a > 0 and solid[a - 1]:
-            a -= 1
-        while b < n and solid[b]:
-            b += 1
-        if b - a <= 64:
-            spans.add((a, b))
-    # four or more single letters with one separator between each two
     padded = np.r_[False, solid, False]
+    starts, ends = np.flatnonzero(solid & ~padded[:-2]), np.flatnonzero(solid & ~padded[2:]) + 1
+    held = np.unique(np.searchsorted(starts, spots, side="right") - 1)
+    spans = set(zip(starts[held].tolist(), ends[held].tolist(), strict=True))
+    # four or more single letters with one separator between each two
     single = solid & ~padded[:-2] & ~padded[2:]
     if n >= 7:
         step = single[:-2] & sep[1:-1] & single[2:]
@@ -149,57 +145,67 @@ def suspicious(classes: np.ndarray) -> list[tuple[int, int]]:
             while j + 2 < n and step[j]:
                 j += 2
             ends = j + 1
-            if letter[i : j + 1].sum() * 2 >= (j + 2 - i) // 2 and ends - i <= 128:
+            if letter[i : j + 1].sum() * 2 >= (j + 2 - i) // 2:
                 spans.add((int(i), ends))
     return sorted(spans)
 
 
+def spelled(node: tuple) -> str:
+    """The text of a chain of (chain before, text)."""
+    out = []
+    while node:
+        node, text = node
+        out.append(text)
+    return "".join(reversed(out))
+
+
+def arcs_at(span: str, i: int, end: int, kind: int, spaced: bool) -> list[tuple[tuple[int, ...], str, float, int]]:
+    """(letters as classes, text, log cost, place after) for one place of the lattice; ``end`` is where its run of one character ends."""
+    c, run = span[i], end - i
+    if 1 <= kind <= _OTHER:
+        here = [((kind,), c, 0.0, i + 1)]
+        if run >= 3:
+            here.append(((kind,), c, REPEAT * (run - 1), end))
+            here.append(((kind, kind), c + c, REPEAT * (run - 2), end))
+    elif kind == _LOOK:
+        here = [((0,), c, 0.0, i + 1)]
+        for letter in LOOKALIKES[c]:
+            here.append(((ord(letter) - 96,), letter, LOOKALIKE, i + 1))
+            if run >= 3:
+                here.append(((ord(letter) - 96,), letter, LOOKALIKE + REPEAT * (run - 1), end))
+    elif spaced:  # a separator that stays parts words
+        here = [((0,), " ", 0.0, i + 1), ((), "", SPACED, i + 1)]
+    else:
+        here = [((0,), c, 0.0, i + 1)]
+    return here
+
+
 def restore(span: str, model: LanguageModel) -> str:
-    """The likeliest reading of a suspicious stretch."""
-    classes = classed(span)
+    """The likeliest reading of a suspicious stretch, in time and memory linear in its length."""
+    classes = classed(span).tolist()
     spaced = len(span) > 2 and all(c == _SEP for c in classes[1::2])
-    # the lattice: for each place, (letters as classes, text, log cost, places taken)
-    arcs: list[list[tuple[tuple[int, ...], str, float, int]]] = []
-    for i, c in enumerate(span):
-        here, k = [], int(classes[i])
-        if 1 <= k <= _OTHER:
-            here.append(((k,), c, 0.0, 1))
-            run = 1
-            while i + run < len(span) and span[i + run] == c:
-                run += 1
-            if run >= 3:
-                here.append(((k,), c, REPEAT * (run - 1), run))
-                here.append(((k, k), c + c, REPEAT * (run - 2), run))
-        elif k == _LOOK:
-            here.append(((0,), c, 0.0, 1))
-            run = 1
-            while i + run < len(span) and span[i + run] == c:
-                run += 1
-            for letter in LOOKALIKES[c]:
-                here.append(((ord(letter) - 96,), letter, LOOKALIKE, 1))
-                if run >= 3:
-                    here.append(((ord(letter) - 96,), letter, LOOKALIKE + REPEAT * (run - 1), run))
-        else:
-            here.append(((0,), c, 0.0, 1))
-            if spaced:
-                here.append(((), "", SPACED, 1))
-        arcs.append(here)
-    best: list[dict[int, tuple[float, str]]] = [{} for _ in range(len(span) + 1)]
-    best[0][0] = (0.0, "")
+    run_ends = list(range(1, len(span) + 1))
+    for i in range(len(span) - 2, -1, -1):
+        if span[i] == span[i + 1]:
+            run_ends[i] = run_ends[i + 1]
+    # for each place still ahead: the state (last three classes) to its score, the reading's end and what was joined before
+    ahead: dict[int, dict[int, tuple[float, tuple, tuple]]] = {0: {0: (0.0, (), ())}}
     log = model.log
-    for i, here in enumerate(arcs):
-        states = best[i]
-        if len(states) > BEAM:
-            states = dict(sorted(states.items(), key=lambda x: -x[1][0])[:BEAM])
-        for state, (score, text) in states.items():
-            for letters, add, cost, taken in here:
+    for i in range(len(span)):
+        states = ahead.pop(i)
+        if i and i % JOINED == 0:
+            states = {s: (score, (), (joined, spelled(node))) for s, (score, node, joined) in states.items()}
+        here = arcs_at(span, i, run_ends[i], classes[i], spaced)
+        for state, (score, node, joined) in states.items():
+            for letters, add, cost, after in here:
                 s, value = state, score + cost
                 for k in letters:
                     value += float(log[s, k])
                     s = ((s << 5) | k) & 0x7FFF
-                if (old := best[i + taken].get(s)) is None or value > old[0]:
-                    best[i + taken][s] = (value, text + add)
-    ends = ((value + float(log[s, 0]), text) for s, (value, text) in best[-1].items())
+                then = ahead.setdefault(after, {})
+                if (old := then.get(s)) is None or value > old[0]:
+                    then[s] = (value, (node, add), joined)
+    ends = ((value + float(log[s, 0]), spelled(joined) + spelled(node)) for s, (value, node, joined) in ahead[len(span)].items())
     return max(ends)[1]
 
 
@@ -221,7 +227,9 @@ class Restorer:
         for (a, b), owner in zip(spans, owners.tolist(), strict=True):
             span = joined[a:b]
             if (read := self.known.get(span)) is None:
-                read = self.known[span] = restore(span, self.model)
+                read = restore(span, self.model)
+                if len(span) <= REMEMBERED:
+                    self.known[span] = read
             if read != span:
                 added.setdefault(owner, []).append(read)
         out = []
