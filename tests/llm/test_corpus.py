@@ -418,6 +418,20 @@ def test_restoring_long_stretches():
     assert toxicity.restore("i" + "d" * 300_000 + "iot", model) == "idiot"
 
 
+def test_restoring_at_the_edges():
+    counts = np.zeros(1 << 20, np.int64)
+    for t in ["that idiot said what they hate", "die shit ass", "the asshole is a loser", "covid and mp and a b c"] * 50:
+        counts += np.bincount(toxicity.four_grams(toxicity.classed(t)), minlength=1 << 20)
+    restorer = toxicity.Restorer(toxicity.LanguageModel(counts))
+    made = {
+        "idio7": "idiot", "hat3": "hate", "di3": "die", "a$$": "ass", "shi7": "shit", "4$$hole": "asshole", "1053r": "loser",
+        "d i e": "die", "a.s.s": "ass", "1 d 1 0 7": "idiot", "covid19": "covid19", "mp3!": "mp3", "a b c": "b", "what!": "what", "(hate)": "hate",
+    }
+    told = restorer.words(list(made))
+    assert [(m, w) for (m, w), t in zip(made.items(), told, strict=True) if w not in t] == []
+    assert told[-2] == {"what"} and told[-1] == {"hate"}
+
+
 def test_quality_selection(labelled):
     docs, labels = labelled
     good = {r.doc_id: r.quality for r in labels.collect()}

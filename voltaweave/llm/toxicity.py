@@ -43,6 +43,8 @@ LOOKALIKES = {
     "0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "gb", "7": "t", "8": "b", "9": "g",
     "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "(": "c", "€": "e", "£": "l", "¡": "i",
 }
+#: Look-alikes that end or open words as marks too; the others hardly stand in a word for themselves.
+MARKS = "!¡|+("
 SEPARATORS = " .-_*~'/\\,"
 PUNCTUATION = ".,;:!?\"'()[]{}<>|*#%&$@+-_=/\\~^`“”‘’«»…¡¿"
 
@@ -108,45 +110,35 @@ class LanguageModel:
 def suspicious(classes: np.ndarray) -> list[tuple[int, int]]:
     """Stretches [start, end) whose lattice has more than one path."""
     n = len(classes)
-    if n < 3:
+    if n < 2:
         return []
     letter = (classes >= 1) & (classes <= _OTHER)
     look, sep = classes == _LOOK, classes == _SEP
     solid = letter | look
-    spots = []
-    # look-alikes with a letter on either side: the first of a run next to a letter
-    edge = np.flatnonzero(look[1:] & letter[:-1]) + 1
-    for i in edge:
-        j = i
-        while j < n and look[j]:
-            j += 1
-        if j < n and letter[j]:
-            spots.append(i)
-    edge = np.flatnonzero(look[:-1] & letter[1:])
-    for i in edge:  # a look-alike first letter counts if it stands alone there
-        if (i == 0 or not solid[i - 1]) and classes[i] == _LOOK:
-            spots.append(i)
-    same = letter[2:] & (classes[2:] == classes[1:-1]) & (classes[2:] == classes[:-2]) & (classes[2:] != _OTHER)
-    spots += (np.flatnonzero(same)).tolist()
     padded = np.r_[False, solid, False]
     starts, ends = np.flatnonzero(solid & ~padded[:-2]), np.flatnonzero(solid & ~padded[2:]) + 1
-    held = np.unique(np.searchsorted(starts, spots, side="right") - 1)
+
+    def has(what: np.ndarray) -> np.ndarray:
+        places = np.flatnonzero(what)
+        return np.searchsorted(places, ends) > np.searchsorted(places, starts)
+
+    # a letter and a look-alike, wherever they stand, or a letter three times in a row
+    same = letter[2:] & (classes[2:] == classes[1:-1]) & (classes[2:] == classes[:-2]) & (classes[2:] != _OTHER)
+    held = (has(letter) & has(look)) | has(same)
     spans = set(zip(starts[held].tolist(), ends[held].tolist(), strict=True))
-    # four or more single letters with one separator between each two
+    # two or more single letters or look-alikes, one letter at least, with one separator between each two
     single = solid & ~padded[:-2] & ~padded[2:]
-    if n >= 7:
-        step = single[:-2] & sep[1:-1] & single[2:]
-        run = np.flatnonzero(step[:-4] & step[2:-2] & step[4:])
-        ends = -1
-        for i in run:
-            if i < ends:
-                continue
-            j = int(i)
-            while j + 2 < n and step[j]:
-                j += 2
-            ends = j + 1
-            if letter[i : j + 1].sum() * 2 >= (j + 2 - i) // 2:
-                spans.add((int(i), ends))
+    step = single[:-2] & sep[1:-1] & single[2:]
+    end = -1
+    for i in np.flatnonzero(step).tolist():
+        if i < end:
+            continue
+        j = i
+        while j + 2 < n and step[j]:
+            j += 2
+        end = j + 1
+        if letter[i:end].any():
+            spans.add((i, end))
     return sorted(spans)
 
 
@@ -159,7 +151,7 @@ def spelled(node: tuple) -> str:
     return "".join(reversed(out))
 
 
-def arcs_at(span: str, i: int, end: int, kind: int, spaced: bool) -> list[tuple[tuple[int, ...], str, float, int]]:
+def arcs_at(span: str, i: int, end: int, kind: int, spaced: bool, all_read: bool = False) -> list[tuple[tuple[int, ...], str, float, int]]:
     """(letters as classes, text, log cost, place after) for one place of the lattice; ``end`` is where its run of one character ends."""
     c, run = span[i], end - i
     if 1 <= kind <= _OTHER:
@@ -168,7 +160,7 @@ def arcs_at(span: str, i: int, end: int, kind: int, spaced: bool) -> list[tuple[
             here.append(((kind,), c, REPEAT * (run - 1), end))
             here.append(((kind, kind), c + c, REPEAT * (run - 2), end))
     elif kind == _LOOK:
-        here = [((0,), c, 0.0, i + 1)]
+        here = [] if all_read and c not in MARKS else [((0,), c, 0.0, i + 1)]
         for letter in LOOKALIKES[c]:
             here.append(((ord(letter) - 96,), letter, LOOKALIKE, i + 1))
             if run >= 3:
@@ -180,8 +172,11 @@ def arcs_at(span: str, i: int, end: int, kind: int, spaced: bool) -> list[tuple[
     return here
 
 
-def restore(span: str, model: LanguageModel) -> str:
-    """The likeliest reading of a suspicious stretch, in time and memory linear in its length."""
+def restore(span: str, model: LanguageModel, all_read: bool = False) -> str:
+    """The likeliest reading of a suspicious stretch, in time and memory linear in its length.
+
+    With ``all_read`` only the readings count that take every look-alike but :data:`MARKS` for a letter.
+    """
     classes = classed(span).tolist()
     spaced = len(span) > 2 and all(c == _SEP for c in classes[1::2])
     run_ends = list(range(1, len(span) + 1))
@@ -195,20 +190,33 @@ def restore(span: str, model: LanguageModel) -> str:
         states = ahead.pop(i)
         if i and i % JOINED == 0:
             states = {s: (score, (), (joined, spelled(node))) for s, (score, node, joined) in states.items()}
-        here = arcs_at(span, i, run_ends[i], classes[i], spaced)
+        here = arcs_at(span, i, run_ends[i], classes[i], spaced, all_read)
         for state, (score, node, joined) in states.items():
             for letters, add, cost, after in here:
                 s, value = state, score + cost
                 for k in letters:
-                    value += float(log[s, k])
-                    s = ((s << 5) | k) & 0x7FFF
+                    if k or s & 31:  # boundaries in a row are one, as they were counted
+                        value += float(log[s, k])
+                        s = ((s << 5) | k) & 0x7FFF
                 then = ahead.setdefault(after, {})
                 if (old := then.get(s)) is None or value > old[0]:
                     then[s] = (value, (node, add), joined)
-    ends = ((value + float(log[s, 0]), spelled(joined) + spelled(node)) for s, (value, node, joined) in ahead[len(span)].items())
+    ends = ((value + (float(log[s, 0]) if s & 31 else 0.0), spelled(joined) + spelled(node)) for s, (value, node, joined) in ahead[len(span)].items())
     return max(ends)[1]
 
 
+def readings(span: str, model: LanguageModel) -> list[str]:
+    """The likeliest reading, and the likeliest one that leaves no look-alike, where they differ from the stretch.
+
+    Both are looked up, since a word that ends where a common one does ("hat3")
+    is likelier as it stands; what the lexicon doesn't hold tells nothing.
+    """
+    found = {restore(span, model)}
+    if any(c in LOOKALIKES and c not in MARKS for c in span):
+        found.add(restore(span, model, all_read=True))
+    return sorted(found - {span})
+
+
 class Restorer:
     """Words of texts after restoration; stretches once read are remembered."""
 
@@ -227,11 +235,11 @@ class Restorer:
         for (a, b), owner in zip(spans, owners.tolist(), strict=True):
             span = joined[a:b]
             if (read := self.known.get(span)) is None:
-                read = restore(span, self.model)
+                read = readings(span, self.model)
                 if len(span) <= REMEMBERED:
                     self.known[span] = read
-            if read != span:
-                added.setdefault(owner, []).append(read)
+            if read:
+                added.setdefault(owner, []).extend(read)
         out = []
         for i, x in enumerate(lowered):
             words = set(x.split())
