@@ -360,6 +360,24 @@ def test_mined_url_rules(spark):
     assert {r.mined for r in got if r.page_id == 900} == {"path:casino"}
 
 
+def test_mined_rules_from_long_urls(spark):
+    deep = "/".join("abcdefghijklmnopqrst")
+    made = [(i, f"http://h{i % 7}.example/{deep}/s{i % 5}/?{'buy' if i % 3 == 0 else 'read'}=now&last") for i in range(300)]
+    df = spark.createDataFrame([*made, (900, "http://other.test/x?buy=now")], "page_id long, url string")
+    labels = spark.createDataFrame([(i, "block" if i % 3 == 0 else "allow") for i in range(200)], "page_id long, label string")
+    got = {r.page_id: (r.verdict, r.mined) for r in url_filter.judge(df, rules={}, labels=labels, support=0.05).collect()}
+    assert {i: got[i][0] for i in range(300)} == {i: "block" if i % 3 == 0 else "allow" for i in range(300)}
+    assert got[900] == ("block", "query:buy=now")
+
+
+def test_tokens_that_come_together_all_make_rules(spark):
+    rows = [(["a", "b"], "block")] * 6 + [(["c"], "allow")] * 6 + [([], "allow")] * 8
+    found = url_filter.mined_rules(spark.createDataFrame(rows, "tokens array<string>, label string"), 0.3, 0.9)
+    assert {(*r.antecedent, r.said, r.confidence, r.support, r.rarest) for r in found.collect()} == {
+        ("a", "block", 1.0, 0.3, "a"), ("b", "block", 1.0, 0.3, "b"), ("c", "allow", 1.0, 0.3, "c"),
+    }
+
+
 # ---- 1 and 3
 
 

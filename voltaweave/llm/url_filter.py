@@ -16,6 +16,7 @@ DataFrame and Spark ML operations only.
 
 from __future__ import annotations
 
+import math
 import string
 
 from pyspark.ml.fpm import FPGrowth
@@ -25,9 +26,6 @@ from pyspark.sql import functions as F
 from .common import written
 
 MIN_SUPPORT, MIN_CONFIDENCE = 0.002, 0.9
-#: A mined transaction holds at most so many tokens, so that a url of very many tokens, often repeated,
-#: can't have exponentially many frequent subsets.  Matching uses all tokens.
-TRANSACTION = 12
 DEFAULT = "allow"
 
 #: The explicit rules (host and path, verdict).
@@ -69,12 +67,39 @@ def tokens_of(url: Column, host: Column, path: Column) -> Column:
     )
 
 
+def standing(labelled: DataFrame, support: float) -> DataFrame:
+    """(token, members): one token for all that stand in the same rows of (tid, tokens), of those that reach the support.
+
+    Tokens that always come together say the same in any rule, and a rule with
+    two of them is never better than one with either.  So a url of very many
+    tokens, often repeated, has no exponentially many frequent subsets.
+    """
+    least = math.ceil(support * labelled.count())
+    return (
+        labelled.select("tid", F.explode("tokens").alias("token"))
+        .groupBy("token")
+        .agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("tid")).alias("one"), F.bit_xor(F.xxhash64("tid", F.lit(1))).alias("other"))
+        .filter(F.col("n") >= least)
+        .groupBy("n", "one", "other")
+        .agg(F.sort_array(F.collect_list("token")).alias("members"))
+        .select(F.col("members")[0].alias("token"), "members")
+    )
+
+
 def mined_rules(labelled: DataFrame, support: float, confidence: float) -> DataFrame | None:
-    """(antecedent, said, confidence, support, rarest) from rows of (tokens, label), pruned."""
-    labelled = written(labelled.withColumn("items", F.concat("tokens", F.array(F.concat(F.lit("@"), F.col("label"))))), "transactions")
+    """(antecedent, said, confidence, support, rarest) from rows of (tokens, label), pruned; all tokens of a row count."""
+    labelled = written(labelled.withColumn("tid", F.monotonically_increasing_id()), "labelled")
     if labelled.isEmpty():
         return None
-    model = FPGrowth(itemsCol="items", minSupport=support, minConfidence=confidence).fit(labelled.select("items"))
+    stand = written(standing(labelled, support), "standing-tokens")
+    items = (
+        labelled.select("tid", "label", F.explode_outer("tokens").alias("token"))
+        .join(stand.select("token", F.col("token").alias("item")), "token", "left")
+        .groupBy("tid", "label")
+        .agg(F.collect_list("item").alias("items"))
+        .select(F.concat("items", F.array(F.concat(F.lit("@"), F.col("label")))).alias("items"))
+    )
+    model = FPGrowth(itemsCol="items", minSupport=support, minConfidence=confidence).fit(written(items, "transactions"))
     rules = (
         model.associationRules.filter(F.element_at("consequent", 1).startswith("@") & ~F.exists("antecedent", lambda x: x.startswith("@")))
         .select(
@@ -106,7 +131,20 @@ def mined_rules(labelled: DataFrame, support: float, confidence: float) -> DataF
         .select("antecedent", "said")
         .distinct()
     )
-    return written(posted.join(covered, ["antecedent", "said"], "left_anti"), "pruned-rules")
+    # a rule holds for each choice of the tokens that its own ones stand for
+    members = (
+        posted.join(covered, ["antecedent", "said"], "left_anti")
+        .select("*", F.posexplode("antecedent").alias("place", "token"))
+        .join(stand, "token")
+        .groupBy("antecedent", "said", "confidence", "support", "rarest")
+        .agg(F.transform(F.sort_array(F.collect_list(F.struct("place", "members"))), lambda x: x["members"]).alias("choices"))
+    )
+    none = F.array(F.array().cast("array<string>"))
+    chosen = F.aggregate("choices", none, lambda acc, m: F.flatten(F.transform(acc, lambda a: F.transform(m, lambda x: F.concat(a, F.array(x))))))
+    at = F.array_position("antecedent", F.col("rarest")).cast("int")
+    every = members.select("said", "confidence", "support", at.alias("at"), F.explode(chosen).alias("tokens"))
+    every = every.select(F.array_sort("tokens").alias("antecedent"), "said", "confidence", "support", F.element_at("tokens", F.col("at")).alias("rarest"))
+    return written(every, "pruned-rules")
 
 
 def judge(
@@ -139,7 +177,7 @@ def judge(
     else:
         taught = rows.join(labels.select(F.col("page_id").alias("labelled_id"), "label"), F.col("page_id") == F.col("labelled_id")).select("tokens", "label")
     free = F.array_except("tokens", F.array(*map(F.lit, named)).cast("array<string>"))
-    found = mined_rules(taught.select(F.slice(free, 1, TRANSACTION).alias("tokens"), "label"), support, confidence)
+    found = mined_rules(taught.select(free.alias("tokens"), "label"), support, confidence)
     key = F.xxhash64("page_id", "url")
     if found is None:
         return rows.select("page_id", "host", "path", "rule", F.coalesce("decided", F.lit(DEFAULT)).alias("verdict"), F.lit(None).cast("string").alias("mined"))
