@@ -172,6 +172,18 @@ def test_decontamination(spark, docs, odd, empty):
     assert {r.doc_id for r in decontam.clean(docs, bench).collect()} == {i for i, t, *_ in rows() if not truth(t)[4]}
 
 
+def test_stages_decide_by_row(spark, labelled):
+    bench = spark.createDataFrame([(7, ITEM)], "item_id long, text string")
+    made = [(None, ITEM), (None, BASE), (1, ITEM), (1, BASE), (1, BASE), (2, None)]
+    df = spark.createDataFrame(made, "doc_id long, text string")
+    got = sorted((tuple(r) for r in decontam.clean(df, bench).collect()), key=str)
+    assert got == sorted([(None, BASE), (1, BASE), (1, BASE), (2, None)], key=str)
+    docs, labels = labelled
+    good, junk = words(60), words(60).upper().replace(" ", "!! ")
+    df = docs.unionByName(spark.createDataFrame([(5000, good), (5000, junk)], "doc_id long, text string"))
+    assert [r.text for r in quality.select(df, labels).filter("doc_id = 5000").collect()] == [good]
+
+
 # ---- 7 and 9
 
 

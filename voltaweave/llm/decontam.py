@@ -101,7 +101,17 @@ def classify(
     any other.  An item id that is null is not listed.  Empty tables give an
     empty result or no hits.
     """
-    key = lambda t: F.xxhash64(F.col(id_col), F.coalesce(F.col(t), F.lit("")))
+    return classified(docs, benchmark, width, id_col, text_col, item_id_col, item_text_col).drop("row")
+
+
+def row_of(id_col: str, text_col: str) -> Column:
+    """A digest of id and text: rows that share it get the same answer."""
+    return F.xxhash64(F.col(id_col), F.coalesce(F.col(text_col), F.lit("")))
+
+
+def classified(docs: DataFrame, benchmark: DataFrame, width: int, id_col: str, text_col: str, item_id_col: str, item_text_col: str) -> DataFrame:
+    """The result of :func:`classify` with each row's digest, row."""
+    key = lambda t: row_of(id_col, t)
     windows = written(item_windows(benchmark, width, item_id_col, item_text_col).withColumn("window", F.monotonically_increasing_id()), "windows")
     # a window's shingles and where in it they stand; one of a single word has that word's
     alone = F.array(F.xxhash64(F.element_at("words", 1), F.lit("alone")))
@@ -167,6 +177,7 @@ def classify(
         .join(told, F.col("row") == F.col("hit_row"), "left")
         .select(
             "doc_id",
+            "row",
             "n_words",
             n_hit.alias("n_hit"),
             F.size(names).cast("long").alias("n_items"),
@@ -178,7 +189,7 @@ def classify(
 
 def clean(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` without the rows that hold any window of an item, all columns as they were."""
-    bad_id = fresh(docs, "bad_id")
-    found = classify(docs, benchmark, id_col=id_col, text_col=text_col).filter("contaminated")
-    bad = written(found.select(F.col("doc_id").alias(bad_id)).distinct(), "contaminated")
-    return docs.join(bad, F.col(id_col).eqNullSafe(F.col(bad_id)), "left_anti")
+    bad_row = fresh(docs, "bad_row")
+    found = classified(docs, benchmark, 10, id_col, text_col, "item_id", "text").filter("contaminated")
+    bad = written(found.select(F.col("row").alias(bad_row)).distinct(), "contaminated")
+    return docs.join(bad, row_of(id_col, text_col) == F.col(bad_row), "left_anti")

@@ -217,8 +217,18 @@ def resample(
     several labels has its best.  With no good label at all every weight is 0
     and all rows are kept.  An empty table gives an empty result.
     """
+    return rated(docs, labels, k, seed, id_col, text_col).drop("row")
+
+
+def row_of(id_col: str, text_col: str) -> Column:
+    """A digest of id and text: rows that share it stay or go together."""
+    return F.xxhash64(F.col(id_col), F.coalesce(F.col(text_col), F.lit("")))
+
+
+def rated(docs: DataFrame, labels: DataFrame, k: int | None, seed: int, id_col: str, text_col: str) -> DataFrame:
+    """The result of :func:`resample` with each row's digest, row."""
     ratios, cut_at = models(docs, labels, id_col, text_col)
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    rows = docs.select(F.col(id_col).alias("doc_id"), row_of(id_col, text_col).alias("row"), F.col(text_col).alias("text"))
     tie = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(2**62)))
     scored = weighed(rows, "text", ratios).withColumn("tie", tie)
     scored = written(scored.withColumn("key", F.col("log_weight") + gumbel(F.col("tie"), seed)), "log-weights")
@@ -229,15 +239,14 @@ def resample(
         kept = F.lit(k >= 1)
     else:
         kept = (F.col("key") > F.lit(cut[0])) | ((F.col("key") == F.lit(cut[0])) & (F.col("tie") <= F.lit(cut[1])))
-    return scored.select("doc_id", "n_grams", "log_weight", F.col("key").alias("sample_key"), kept.alias("kept"))
+    return scored.select("doc_id", "row", "n_grams", "log_weight", F.col("key").alias("sample_key"), kept.alias("kept"))
 
 
 def select(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that :func:`resample` keeps, all columns as they were.
 
-    Rows that repeat an id stay or go together.
+    Rows that repeat id and text stay or go together; other texts of an id go their own way.
     """
-    gone_id = fresh(docs, "gone_id")
-    rated = resample(docs, labels, id_col=id_col, text_col=text_col)
-    gone = rated.groupBy("doc_id").agg(F.bool_or("kept").alias("any")).filter("not any").select(F.col("doc_id").alias(gone_id))
-    return docs.join(written(gone, "rejected"), F.col(id_col).eqNullSafe(F.col(gone_id)), "left_anti")
+    gone_row = fresh(docs, "gone_row")
+    gone = rated(docs, labels, None, 42, id_col, text_col).filter("not kept").select(F.col("row").alias(gone_row)).distinct()
+    return docs.join(written(gone, "rejected"), row_of(id_col, text_col) == F.col(gone_row), "left_anti")
