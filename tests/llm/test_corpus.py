@@ -249,23 +249,71 @@ def test_estimates_and_bands():
     assert bands * rows_ <= 64 and 1 - (1 - 0.75**rows_) ** bands >= 0.995
 
 
-def test_paragraphs(docs, odd, empty):
-    places = [(i, k, p) for i, t, *_ in rows() for k, p in enumerate((t or "").split("\n"))]
-    distinct = {p: shingles(p, short=False) for _, _, p in places}
-    root = components(distinct)
-    first, removed, keepers = {}, defaultdict(list), defaultdict(set)
-    for i, k, p in places:
-        if distinct[p]:
-            if root[p] in first:
-                removed[i].append(k)
-                keepers[i].add(first[root[p]])
-            else:
-                first[root[p]] = i
-    for r in substring_dedup.repeats(docs).collect():
-        parts = (TEXTS[r.doc_id] or "").split("\n")
-        assert r.removed == removed[r.doc_id] and r.keep_ids == sorted(keepers[r.doc_id]) and r.n_paragraphs == len(parts)
-        assert r.kept_text == "\n".join(p for k, p in enumerate(parts) if k not in removed[r.doc_id])
-    assert substring_dedup.repeats(odd).count() == len(TEXTS) + 4
+def repeated_words(texts):
+    """For each text, which words lie in 51 words that an earlier text has too."""
+    first, out = {}, []
+    for i, t in enumerate(texts):
+        w = (t or "").encode().lower().split()
+        hit = [False] * len(w)
+        windows = [tuple(w[k : k + 51]) for k in range(len(w) - 50)]
+        for k, x in enumerate(windows):
+            if first.setdefault(x, i) != i:
+                hit[k : k + 51] = [True] * 51
+        out.append(hit)
+    return out
+
+
+def gone_words(r):
+    hit = [False] * r.n_words
+    for s, e in zip(r.starts, r.ends, strict=True):
+        assert e - s >= 51
+        hit[s:e] = [True] * (e - s)
+    return hit
+
+
+def test_passages(spark):
+    """Equal passages wherever they lie: across lines, inside them, beside each other, in hot keys, at the limit of 51 words."""
+    rng = random.Random(11)
+    fill = lambda n: " ".join("".join(rng.choice("abcdefgh") for _ in range(7)) for _ in range(n))
+    p, q, line, at_limit, short = fill(70), fill(60), fill(30), fill(51), fill(50)
+    texts = [None, "", fill(300), f"{fill(20)} {p} {fill(10)}", f"{fill(9)}\n{q} {fill(30)}", f"{fill(3)} {p[: len(p) // 2]}\n{p[len(p) // 2 :]} {q}"]
+    texts += [f"{fill(40)} {line} {fill(40)}" for _ in range(20)]
+    tail = fill(30)  # of the texts that share a line only some share what follows it
+    texts += [f"{fill(40)} {line} {tail} {fill(9)}" for _ in range(3)]
+    texts += [f"{fill(5)} {at_limit} {fill(60)}", f"{fill(77)} {at_limit}", f"{fill(5)} {short} {fill(60)}", f"{fill(77)} {short}"]
+    texts += [texts[2], texts[2], short, short, " ".join(["la"] * 90), f"{fill(60)} {' '.join(['la'] * 70)}", f"{p} {p}"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    got = {r.doc_id: r for r in substring_dedup.repeats(df).collect()}
+    assert [i for i, h in enumerate(repeated_words(texts)) if h != gone_words(got[i])] == []
+    for i, r in got.items():
+        want = [w for w, g in zip((texts[i] or "").split(), gone_words(r), strict=True) if not g]
+        assert r.kept_text.split() == want and (r.starts or r.kept_text == (texts[i] or ""))
+    assert got[5].keep_ids == [3, 4] and got[33].keep_ids == [2] and got[33].kept_text == ""
+
+
+def test_similar_passages(spark):
+    rng = random.Random(12)
+    fill = lambda n: ["".join(rng.choice("abcdefgh") for _ in range(7)) for _ in range(n)]
+    made = []
+    for _ in range(40):
+        base = fill(120)
+        other = [*base]
+        other[40], other[80] = "replaced", "and more"  # one word for one, and two for one
+        made += [" ".join([*fill(30), *base, *fill(30)]), " ".join([*fill(50), *other, *fill(10)])]
+    df = spark.createDataFrame(list(enumerate(made)), "doc_id long, text string").repartition(3)
+    got = {r.doc_id: r for r in substring_dedup.repeats(df).collect()}
+    assert not any(got[i].starts for i in range(0, 80, 2))
+    whole = [r for i, r in got.items() if i % 2 and r.starts == [50] and r.ends == [171] and r.keep_ids == [i - 1]]
+    assert len(whole) >= 36
+
+
+def test_passages_of_odd_rows(spark, odd, empty):
+    told = substring_dedup.repeats(odd).collect()
+    assert len(told) == len(TEXTS) + 4
+    # the null id comes first and keeps the text; every equal one of 51 words or more goes whole
+    assert all(bool(r.starts) == (r.doc_id is not None) for r in told if (r.text or "").lower() == BASE)
+    assert {r.doc_id for r in told if r.keep_ids == [None]} >= {3, 5, 6, 7}
+    assert all(not r.starts and r.kept_text == r.text for r in told if r.n_words < 51)
     assert substring_dedup.repeats(empty).count() == 0
 
 

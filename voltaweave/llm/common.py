@@ -8,6 +8,7 @@ import tempfile
 import uuid
 from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -83,3 +84,34 @@ def text_chunks(
                 start, size = i + 1, 0
         if start < len(texts):
             yield batch.slice(start), texts[start:]
+
+
+def blocked(block: np.ndarray, rows: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Packed rows by block, as (block, data), 256 blocks a batch."""
+    order = np.argsort(block, kind="stable")
+    block, rows = block[order], rows[order]
+    starts = np.flatnonzero(np.r_[True, block[1:] != block[:-1]]) if len(block) else np.zeros(0, int)
+    ends = np.r_[starts[1:], len(block)]
+    for at in range(0, len(starts), 256):
+        cut = list(zip(starts[at : at + 256], ends[at : at + 256], strict=True))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([int(block[a]) for a, _ in cut], pa.int32()), pa.array([rows[a:b].tobytes() for a, b in cut], pa.binary())],
+            names=["block", "data"],
+        )
+
+
+def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(key, text), keys being the ids; or, if these are no distinct integers, (doc_id, key, text) with keys in the order of id and text.
+
+    In the first case the key can't be null, which keeps every shuffle of the texts by key one and the same.
+    """
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    ids = rows.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
+    whole = docs.schema[id_col].dataType.simpleString() in ("bigint", "int", "smallint", "tinyint")
+    if whole and ids.filter("n > 1 or doc_id is null").isEmpty():
+        return rows.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias("key"), "text")
+    digest = F.sha2("text", 256)
+    distinct = rows.select(F.col("doc_id").alias("ranked_id"), digest.alias("ranked_digest")).distinct()
+    ranks = distinct.orderBy(F.asc_nulls_first("ranked_id"), "ranked_digest").withColumn("key", F.monotonically_increasing_id())
+    same = F.col("doc_id").eqNullSafe(F.col("ranked_id")) & (digest == F.col("ranked_digest"))
+    return written(rows.join(written(ranks, "ranks"), same).select("doc_id", "key", "text"), "keyed")

@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import sketch
-from .common import text_chunks, written
+from .common import blocked, text_chunks, written
 
 #: Members confirmed against one hub in one group, and the side of a block.
 CHUNK, BLOCK = 64, 128
@@ -109,18 +109,6 @@ def sketches(rows: DataFrame, plan: Plan) -> DataFrame:
 def live_members(sets: DataFrame, plan: Plan, blocks: int) -> DataFrame:
     """(key, id) of the buckets with more than one member, from (id, bands)."""
 
-    def packed(block: np.ndarray, rows: np.ndarray):
-        order = np.argsort(block, kind="stable")
-        block, rows = block[order], rows[order]
-        starts = np.flatnonzero(np.r_[True, block[1:] != block[:-1]]) if len(block) else np.zeros(0, int)
-        ends = np.r_[starts[1:], len(block)]
-        for at in range(0, len(starts), 256):
-            cut = list(zip(starts[at : at + 256], ends[at : at + 256], strict=True))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([int(block[a]) for a, _ in cut], pa.int32()), pa.array([rows[a:b].tobytes() for a, b in cut], pa.binary())],
-                names=["block", "data"],
-            )
-
     def in_task(batches):
         held, n = [], 0
 
@@ -130,10 +118,10 @@ def live_members(sets: DataFrame, plan: Plan, blocks: int) -> DataFrame:
             first = np.r_[True, rows["key"][1:] != rows["key"][:-1]]
             one = rows[first].copy()
             one["n"] = np.diff(np.r_[np.flatnonzero(first), len(rows)])
-            yield from packed((sketch.mixed(one["key"]) % np.uint64(blocks)).astype(np.int32), one)
+            yield from blocked((sketch.mixed(one["key"]) % np.uint64(blocks)).astype(np.int32), one)
             # further members of a bucket need no merging; they are dealt out evenly
             rest = rows[~first]
-            yield from packed(blocks + (sketch.mixed(rest["id"].view(np.uint64)) % np.uint64(blocks)).astype(np.int32), rest)
+            yield from blocked(blocks + (sketch.mixed(rest["id"].view(np.uint64)) % np.uint64(blocks)).astype(np.int32), rest)
 
         for batch in batches:
             ids = batch.column(0).to_numpy(zero_copy_only=False)

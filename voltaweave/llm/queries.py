@@ -64,8 +64,9 @@ def op8_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.repeats(table(spark, sf_dir, "documents")).select(
         "doc_id",
-        "n_paragraphs",
-        F.size("removed").cast("long").alias("n_removed"),
+        "n_words",
+        F.aggregate(F.zip_with("starts", "ends", lambda a, b: (b - a).cast("long")), F.lit(0).cast("long"), lambda x, y: x + y).alias("n_removed"),
+        F.size("starts").cast("long").alias("n_spans"),
         "keep_ids",
         F.char_length("kept_text").cast("long").alias("kept_chars"),
         F.sha2("kept_text", 256).alias("kept_sha256"),

@@ -19,29 +19,38 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def shingle_sets(texts: list[str], width: int, short: bool = True) -> list[np.ndarray]:
-    """Each text's sorted distinct hashes of ``width`` words in a row.
+def word_hashes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """The hashes of all texts' words in one array, and each text's number of words.
 
-    Words are what ASCII white space parts, with A-Z lower-cased.  A text of
-    fewer words, but not none, has the one shingle of all its words, or none if
-    not ``short``.
+    Words are what ASCII white space parts, with A-Z lower-cased.
     """
     split = [x.encode("utf-8", "replace").lower().split() for x in texts]
     sizes = np.array([len(x) for x in split], np.int64)
-    words = np.fromiter(
-        (h for x in split for h in map(xxhash.xxh3_64_intdigest, x)), np.uint64, int(sizes.sum())
-    )
-    ends = np.cumsum(sizes)
-    starts = ends - sizes
-    if len(words) >= width:
-        folded = words[: len(words) - width + 1].copy()
-        for k in range(1, width):
-            folded = folded * _FOLD + words[k : len(words) - width + 1 + k]
-        folded = mixed(folded)
+    return np.fromiter((h for x in split for h in map(xxhash.xxh3_64_intdigest, x)), np.uint64, int(sizes.sum())), sizes
+
+
+def folded(words: np.ndarray, width: int) -> np.ndarray:
+    """A hash for each place at which ``width`` words in a row start."""
+    n = max(0, len(words) - width + 1)
+    out = words[:n].copy()
+    for k in range(1, width):
+        out = out * _FOLD + words[k : n + k]
+    return mixed(out)
+
+
+def shingle_sets(texts: list[str], width: int, short: bool = True) -> list[np.ndarray]:
+    """Each text's sorted distinct hashes of ``width`` words in a row.
+
+    A text of fewer words, but not none, has the one shingle of all its words,
+    or none if not ``short``.
+    """
+    words, sizes = word_hashes(texts)
+    starts = np.cumsum(sizes) - sizes
+    every = folded(words, width)
     out = []
     for a, n in zip(starts, sizes, strict=True):
         if n >= width:
-            out.append(np.unique(folded[a : a + n - width + 1]))
+            out.append(np.unique(every[a : a + n - width + 1]))
         elif n and short:
             one = np.array([n], np.uint64)
             for w in words[a : a + n]:

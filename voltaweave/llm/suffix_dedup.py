@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import blocked, keyed, written
 from .sketch import mixed
 
 #: Bytes that are hashed at a time; longer documents are cut, with an overlap that loses no string.
@@ -160,20 +160,6 @@ def settle_strings(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return rows[first], marks(rows[~first])
 
 
-def blocked(block: np.ndarray, rows: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """Packed rows by block."""
-    order = np.argsort(block, kind="stable")
-    block, rows = block[order], rows[order]
-    starts = np.flatnonzero(np.r_[True, block[1:] != block[:-1]]) if len(block) else np.zeros(0, int)
-    ends = np.r_[starts[1:], len(block)]
-    for at in range(0, len(starts), 256):
-        cut = list(zip(starts[at : at + 256], ends[at : at + 256], strict=True))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([int(block[a]) for a, _ in cut], pa.int32()), pa.array([rows[a:b].tobytes() for a, b in cut], pa.binary())],
-            names=["block", "data"],
-        )
-
-
 def joined(column: pd.Series, kind: np.dtype) -> np.ndarray:
     return np.frombuffer(b"".join(column), kind)
 
@@ -187,24 +173,6 @@ def as_frame(rows: np.ndarray, blocks: int) -> pd.DataFrame:
     return pd.concat(made) if made else pd.DataFrame({"block": np.zeros(0, np.int32), "data": np.zeros(0, object)})
 
 
-def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(key, text), keys being the ids; or, if these are no distinct integers, (doc_id, key, text) with ranks by id and text.
-
-    In the first case the key can't be null, which keeps every shuffle of the texts by key one and the same.
-    """
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    ids = rows.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
-    whole = docs.schema[id_col].dataType.simpleString() in ("bigint", "int", "smallint", "tinyint")
-    if whole and ids.filter("n > 1 or doc_id is null").isEmpty():
-        return rows.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias("key"), "text")
-    distinct = rows.select("doc_id", F.sha2("text", 256).alias("digest")).distinct().orderBy(F.asc_nulls_first("doc_id"), "digest")
-    kind = docs.schema[id_col].dataType.simpleString()
-    ranks = distinct.rdd.zipWithIndex().map(lambda x: (x[0][0], x[0][1], x[1]))
-    ranks = written(docs.sparkSession.createDataFrame(ranks, f"ranked_id {kind}, ranked_digest string, key long"), "ranks")
-    same = F.col("doc_id").eqNullSafe(F.col("ranked_id")) & (F.sha2("text", 256) == F.col("ranked_digest"))
-    return written(rows.join(ranks, same).select("doc_id", "key", "text"), "keyed")
-
-
 def repeats(docs: DataFrame, length: int = 100, id_col: str = "doc_id", text_col: str = "text", piece: int = PIECE) -> DataFrame:
     """For each row: doc_id, text, and starts and ends (arrays of int) of its removed byte runs.
 
