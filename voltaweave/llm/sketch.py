@@ -149,8 +149,9 @@ def components(edges: DataFrame) -> DataFrame:
     before = state(now)
     while before[0]:
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("least"))
-        large = both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("least").alias("v")).distinct()
+        # written, so that the join below meets plain tables and a hub's many edges can be split over tasks
+        least = written(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("least")).withColumnRenamed("u", "v"), "least")
+        large = now.join(least, "v").select("u", F.col("least").alias("v")).distinct()
         low = large.groupBy("u").agg(F.min("v").alias("least"))
         small = (
             large.join(low, "u")
