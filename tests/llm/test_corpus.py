@@ -103,6 +103,12 @@ def test_quotient_filters_merge_without_loss(parts, bits):
     assert got == dict(want)
 
 
+def test_a_filter_is_as_large_as_what_it_holds():
+    fps = np.random.default_rng(1).integers(0, 2**64, 100_000, dtype=np.uint64)
+    made = list(exact_dedup.filter_blocks(fps, 15))
+    assert len(made) > 30_000 and sum(map(len, (x for row in made for x in row[1:]))) < 1.5 * 16 * len(fps)
+
+
 # ---- 4
 
 

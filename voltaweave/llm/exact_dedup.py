@@ -3,10 +3,12 @@
 Each partition builds a counting quotient filter of its texts' 64-bit
 fingerprints: a fingerprint's high bits name a slot (its quotient), the low
 bits are the remainder, and every slot keeps a run of sorted remainders with
-counts.  No bit of a fingerprint is lost, so filters merge without loss: the
-same slots of two filters are merged as sorted runs and equal remainders add
-their counts.  Slots travel in blocks, one group for each block, so that no
-task sees more than one block.  A filter holds a text once however many copies
+counts.  Only occupied slots are stored, each with the length of its run, so a
+filter is as large as what it holds, however many slots there are.  No bit of a
+fingerprint is lost, so filters merge without loss: the same slots of two
+filters are merged as sorted runs and equal remainders add their counts.  Slots
+travel in blocks, one group for each block, so that no task sees more than one
+block.  A filter holds a text once however many copies
 its partition has, so a group of copies, however large, adds one entry for each
 partition.
 
@@ -17,6 +19,7 @@ groups on the bytes of the text.  The rest are alone by construction.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pandas as pd
@@ -28,38 +31,39 @@ from .common import fresh, written
 
 FINGERPRINTS_PER_BLOCK = 32_768
 SLOT_BITS = 12
+#: Fingerprints that go into one filter; a larger partition makes several.
+FILTER_SIZE = 4_000_000
 
 
-def filter_blocks(fingerprints: np.ndarray, block_bits: int) -> Iterator[tuple[int, bytes, bytes, bytes]]:
-    """A partition's counting quotient filter as (block, runs, remainders, counts).
+def filter_blocks(fingerprints: np.ndarray, block_bits: int) -> Iterator[tuple[int, bytes, bytes, bytes, bytes]]:
+    """A counting quotient filter as (block, slots, runs, remainders, counts).
 
-    ``runs`` has the number of remainders of each of a block's slots.
+    ``slots`` has a block's occupied slots, ``runs`` how many remainders each has.
     """
     values, counts = np.unique(fingerprints.astype(np.uint64), return_counts=True)
-    low = np.uint64(64 - block_bits)
-    blocks = (values >> low).astype(np.int64) if block_bits else np.zeros(len(values), np.int64)
-    rest = np.uint64(64 - block_bits - SLOT_BITS)
-    slots = ((values >> rest) & np.uint64((1 << SLOT_BITS) - 1)).astype(np.int64)
-    remainders = values & np.uint64((1 << int(rest)) - 1)
     if not len(values):
         return
+    rest = np.uint64(64 - block_bits - SLOT_BITS)
+    places = (values >> rest).astype(np.int64)  # block and slot
+    remainders = values & np.uint64((1 << int(rest)) - 1)
+    first = np.flatnonzero(np.r_[True, places[1:] != places[:-1]])
+    runs = np.diff(np.r_[first, len(values)]).astype(np.uint32)
+    blocks = places[first] >> SLOT_BITS
+    slots = (places[first] & ((1 << SLOT_BITS) - 1)).astype(np.uint16)
     starts = np.flatnonzero(np.r_[True, blocks[1:] != blocks[:-1]])
-    for a, b in zip(starts, [*starts[1:], len(values)], strict=True):
-        runs = np.bincount(slots[a:b], minlength=1 << SLOT_BITS).astype(np.uint32)
-        yield int(blocks[a]), runs.tobytes(), remainders[a:b].tobytes(), counts[a:b].astype(np.uint64).tobytes()
+    for a, b in zip(starts, [*starts[1:], len(blocks)], strict=True):
+        lo, hi = first[a], first[b] if b < len(first) else len(values)
+        yield int(blocks[a]), slots[a:b].tobytes(), runs[a:b].tobytes(), remainders[lo:hi].tobytes(), counts[lo:hi].astype(np.uint64).tobytes()
 
 
-def merge_blocks(block: int, parts: list[tuple[bytes, bytes, bytes]], block_bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """The fingerprints of one block and their summed counts, from all partitions' filters."""
+def merge_blocks(block: int, parts: list[tuple[bytes, bytes, bytes, bytes]], block_bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """The fingerprints of one block and their summed counts, from all filters."""
     rest = 64 - block_bits - SLOT_BITS
-    keys, counts = [], []
-    for runs, remainders, n in parts:
-        slots = np.repeat(np.arange(1 << SLOT_BITS, dtype=np.uint64), np.frombuffer(runs, np.uint32))
-        keys.append((slots << np.uint64(rest)) | np.frombuffer(remainders, np.uint64))
-        counts.append(np.frombuffer(n, np.uint64))
-    merged, where = np.unique(np.concatenate(keys), return_inverse=True)
+    slots, runs, remainders, n = (np.frombuffer(b"".join(x), kind) for x, kind in zip(zip(*parts, strict=True), ("<u2", "<u4", "<u8", "<u8"), strict=True))
+    keys = (np.repeat(slots.astype(np.uint64), runs) << np.uint64(rest)) | remainders
+    merged, where = np.unique(keys, return_inverse=True)
     total = np.zeros(len(merged), np.uint64)
-    np.add.at(total, where, np.concatenate(counts))
+    np.add.at(total, where, n)
     if block_bits:
         merged |= np.uint64(block) << np.uint64(64 - block_bits)
     return merged, total
@@ -68,26 +72,35 @@ def merge_blocks(block: int, parts: list[tuple[bytes, bytes, bytes]], block_bits
 def repeated_fingerprints(fps: DataFrame, rows: int) -> DataFrame:
     """The values of the long column ``fp`` that occur more than once, as (fp, n)."""
     block_bits = max(3, min(24, (rows // FINGERPRINTS_PER_BLOCK).bit_length()))
+    names = ["block", "slots", "runs", "remainders", "counts"]
 
     def build(batches):
-        got = [b.column(0).to_numpy(zero_copy_only=False).view(np.uint64) for b in batches]
-        made = list(filter_blocks(np.concatenate(got), block_bits)) if got else []
-        for at in range(0, len(made), 256):
-            block, *blobs = zip(*made[at : at + 256], strict=True)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(block, pa.int32()), *(pa.array(x, pa.binary()) for x in blobs)],
-                names=["block", "runs", "remainders", "counts"],
-            )
+        held, n = [], 0
+
+        def send():
+            made = filter_blocks(np.concatenate(held), block_bits)
+            while part := list(islice(made, 256)):
+                block, *blobs = zip(*part, strict=True)
+                yield pa.RecordBatch.from_arrays([pa.array(block, pa.int32()), *(pa.array(x, pa.binary()) for x in blobs)], names=names)
+
+        for batch in batches:
+            held.append(batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64))
+            n += batch.num_rows
+            if n >= FILTER_SIZE:
+                yield from send()
+                held, n = [], 0
+        if held:
+            yield from send()
 
     def merge(pdf: pd.DataFrame) -> pd.DataFrame:
-        parts = list(zip(pdf["runs"], pdf["remainders"], pdf["counts"], strict=True))
+        parts = list(zip(*(pdf[c] for c in names[1:]), strict=True))
         values, n = merge_blocks(int(pdf["block"].iloc[0]), parts, block_bits)
         more = n > 1
         return pd.DataFrame({"fp": values[more].view(np.int64), "n": n[more].astype(np.int64)})
 
     return (
         fps.select("fp")
-        .mapInArrow(build, "block int, runs binary, remainders binary, counts binary")
+        .mapInArrow(build, "block int, slots binary, runs binary, remainders binary, counts binary")
         .groupBy("block")
         .applyInPandas(merge, "fp long, n long")
     )
