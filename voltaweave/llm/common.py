@@ -57,6 +57,16 @@ def text_or_empty(name: str = "text") -> Column:
     return F.coalesce(F.col(name), F.lit(""))
 
 
+def digest(*columns: Column | str) -> Column:
+    """A 128-bit digest of some values: rows that share it are taken for one."""
+    return F.struct(F.xxhash64(*columns).alias("lo"), F.xxhash64(F.lit(1), *columns).alias("hi"))
+
+
+def row_digest(id_col: str, text_col: str) -> Column:
+    """A digest of id and text: rows that share it get the same answer."""
+    return digest(F.col(id_col), text_or_empty(text_col))
+
+
 def fresh(df: DataFrame, stem: str) -> str:
     """A column name that ``df`` does not have yet, whatever its case."""
     have = {c.lower() for c in df.columns}

@@ -3,7 +3,8 @@
 A window (ten words of an item in a row) is a set of two-word shingles, and a
 document contains it only if it holds every one of them.  So, with shingles
 ordered from rare to common by their counts over all documents, one prefix
-token is enough: the window's rarest shingle.  Occurrences of prefix tokens
+token is enough: the window's rarest shingle.  A first pass counts items'
+shingles over all documents, a second one looks prefix tokens up; their places
 give a window's start in the document, which must leave room for the whole
 window (positional and length bounds); the words at that place are then
 compared with the window's, so that what is reported is exact.
@@ -16,12 +17,14 @@ import string
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import fresh, written
+from .common import fresh, row_digest, written
 
 #: Between words: all of ASCII but digits and letters.
 GAP = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 #: Up to so many shingles of items (16 bytes each) are broadcast; more are joined by shuffle.
 BROADCAST_SHINGLES = 1_000_000
+#: Up to so many digests of rows (16 bytes each) are broadcast to pick out their texts; more are joined by shuffle.
+BROADCAST_ROWS = 1_000_000
 
 
 def words_of(text: Column) -> Column:
@@ -104,76 +107,73 @@ def classify(
     return classified(docs, benchmark, width, id_col, text_col, item_id_col, item_text_col).drop("row")
 
 
-def row_of(id_col: str, text_col: str) -> Column:
-    """A digest of id and text: rows that share it get the same answer."""
-    return F.xxhash64(F.col(id_col), F.coalesce(F.col(text_col), F.lit("")))
+def placed_shingles(rows: DataFrame, singles: bool) -> DataFrame:
+    """(row, pos, shingle) for all words of (row, words); ``singles``: also for words alone."""
+    found = rows.select("row", F.posexplode(shingles_of(F.col("words"))).alias("pos", "shingle"))
+    if singles:
+        alone = F.transform("words", lambda w: F.xxhash64(w, F.lit("alone")))
+        found = found.unionByName(rows.select("row", F.posexplode(alone).alias("pos", "shingle")))
+    return found
 
 
 def classified(docs: DataFrame, benchmark: DataFrame, width: int, id_col: str, text_col: str, item_id_col: str, item_text_col: str) -> DataFrame:
     """The result of :func:`classify` with each row's digest, row."""
-    key = lambda t: row_of(id_col, t)
     windows = written(item_windows(benchmark, width, item_id_col, item_text_col).withColumn("window", F.monotonically_increasing_id()), "windows")
     # a window's shingles and where in it they stand; one of a single word has that word's
     alone = F.array(F.xxhash64(F.element_at("words", 1), F.lit("alone")))
     own = F.when(F.size("words") == 1, alone).otherwise(F.slice(shingles_of(F.col("words")), 1, F.greatest(F.size("words") - 1, F.lit(1))))
     tokens = windows.select("window", F.posexplode(own).alias("at", "shingle"))
     wanted = written(tokens.select("shingle").distinct(), "item-shingles")
-    if wanted.count() <= BROADCAST_SHINGLES:
-        wanted = F.broadcast(wanted)
-
-    words = docs.select(key(text_col).alias("row"), words_of(F.col(text_col)).alias("words"))
-    found = words.select("row", F.posexplode(shingles_of(F.col("words"))).alias("pos", "shingle"))
-    if not windows.filter(F.size("words") == 1).isEmpty():
-        singles = F.transform("words", lambda w: F.xxhash64(w, F.lit("alone")))
-        found = found.unionByName(words.select("row", F.posexplode(singles).alias("pos", "shingle")))
-    found = written(found.join(wanted, "shingle"), "item-shingle-places")
+    singles = not windows.filter(F.size("words") == 1).isEmpty()
+    row = row_digest(id_col, text_col)
+    words = docs.select(row.alias("row"), words_of(F.col(text_col)).alias("words"))
+    found = placed_shingles(words, singles)
 
-    rarity = found.groupBy("shingle").agg(F.count(F.lit(1)).alias("df"))
+    # first only counts, of items' shingles over all documents
+    every = found.select("shingle")
+    if wanted.count() <= BROADCAST_SHINGLES:
+        rarity = every.join(F.broadcast(wanted), "shingle").groupBy("shingle").agg(F.count(F.lit(1)).alias("df"))
+    else:
+        rarity = every.groupBy("shingle").agg(F.count(F.lit(1)).alias("df")).join(wanted, "shingle")
+    rarity = written(rarity, "rarity")
+    # a window that has a shingle which no document has occurs nowhere
     prefix = (
         tokens.join(rarity, "shingle", "left")
         .groupBy("window")
         .agg(F.min(F.struct(F.coalesce("df", F.lit(0)).alias("df"), "shingle", "at")).alias("rarest"))
+        .filter("rarest.df > 0")
         .select("window", "rarest.shingle", "rarest.at")
     )
     prefix = written(prefix.join(windows.select("window", F.size("words").alias("length")), "window"), "prefix-tokens")
-    starts = (
-        found.join(prefix, "shingle")
-        .select("row", "window", (F.col("pos") - F.col("at")).alias("start"), "length")
-        .filter("start >= 0")
-    )
-    asked = written(starts.join(windows.select("window", "words"), "window").select("row", "start", "length", "window", F.col("words").alias("window_words")), "candidates")
-
-    texts = docs.select(key(text_col).alias("row"), F.col(text_col).alias("text"))
-    candidates = asked.groupBy("row").agg(F.collect_set(F.struct("start", "length", "window", "window_words")).alias("asked"))
+    # then places, of prefix tokens alone
+    sought = F.broadcast(prefix) if prefix.count() <= BROADCAST_SHINGLES else prefix
+    asked = found.join(sought, "shingle").select("row", (F.col("pos") - F.col("at")).alias("start"), "length", "window").filter("start >= 0")
+    asked = written(asked.distinct(), "candidates")
+
+    # only the texts that have a candidate travel
+    ids = written(asked.select("row").distinct(), "candidate-rows")
+    texts = docs.select(row.alias("row"), F.col(text_col).alias("text"))
+    texts = texts.join(F.broadcast(ids) if ids.count() <= BROADCAST_ROWS else ids, "row", "left_semi").dropDuplicates(["row"])
+    candidates = asked.groupBy("row").agg(F.collect_list(F.struct("start", "length", "window")).alias("asked"))
+    there = lambda c: F.struct(c["start"].alias("start"), c["length"].alias("length"), c["window"].alias("window"), F.slice(F.col("words"), c["start"] + 1, c["length"]).alias("said"))
+    inside = lambda c: c["start"] + c["length"] <= F.size("words")
     hits = (
         texts.join(candidates, "row")
         .select("row", words_of(F.col("text")).alias("words"), "asked")
-        .select(
-            "row",
-            F.filter(
-                "asked",
-                lambda c: (c["start"] + c["length"] <= F.size("words"))
-                & (F.slice(F.col("words"), c["start"] + 1, c["length"]) == c["window_words"]),
-            ).alias("hits"),
-        )
-        .filter(F.size("hits") > 0)
-        .select("row", F.transform("hits", lambda c: F.struct(c["start"].alias("start"), c["length"].alias("length"), c["window"].alias("window"))).alias("hits"))
-        .dropDuplicates(["row"])
+        .select("row", F.explode(F.transform(F.filter("asked", inside), there)).alias("c"))
+        .select("row", "c.*")
+        .join(windows.select("window", F.col("words").alias("window_words"), "items"), "window")
+        .filter(F.col("said") == F.col("window_words"))
+        .select("row", "start", "length", "items")
     )
     hits = written(hits, "hits")
-    items = (
-        hits.select("row", F.explode("hits.window").alias("window"))
-        .join(windows.select("window", "items"), "window")
-        .select("row", F.explode("items").alias("item"))
-        .groupBy("row")
-        .agg(F.sort_array(F.collect_set("item")).alias("items"))
-    )
-    spans = F.array_distinct(F.sort_array(F.transform("hits", lambda c: F.struct(c["start"].alias("start"), c["length"].alias("length")))))
-    told = hits.select("row", covered(spans).alias("hit")).join(items, "row", "left").withColumnsRenamed({"row": "hit_row"})
+    items = hits.select("row", F.explode("items").alias("item")).groupBy("row").agg(F.sort_array(F.collect_set("item")).alias("items"))
+    spans = hits.groupBy("row").agg(covered(F.sort_array(F.collect_set(F.struct("start", "length")))).alias("hit"))
+    told = written(spans.join(items, "row", "left").withColumnRenamed("row", "hit_row"), "told")
     n_hit = F.coalesce("hit", F.lit(0)).cast("long")
     names = F.coalesce("items", F.array().cast("array<string>"))
     return (
-        docs.select(F.col(id_col).alias("doc_id"), key(text_col).alias("row"), count_words(words_of(F.col(text_col))).alias("n_words"))
+        docs.select(F.col(id_col).alias("doc_id"), row.alias("row"), count_words(words_of(F.col(text_col))).alias("n_words"))
         .join(told, F.col("row") == F.col("hit_row"), "left")
         .select(
             "doc_id",
@@ -192,4 +192,4 @@ def clean(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
     bad_row = fresh(docs, "bad_row")
     found = classified(docs, benchmark, 10, id_col, text_col, "item_id", "text").filter("contaminated")
     bad = written(found.select(F.col("row").alias(bad_row)).distinct(), "contaminated")
-    return docs.join(bad, row_of(id_col, text_col) == F.col(bad_row), "left_anti")
+    return docs.join(bad, row_digest(id_col, text_col) == F.col(bad_row), "left_anti")

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import fresh, text_chunks, written
+from .common import fresh, row_digest, text_chunks, written
 
 #: Most labelled rows that the target model is fitted on.
 SAMPLE = 20_000
@@ -220,15 +220,10 @@ def resample(
     return rated(docs, labels, k, seed, id_col, text_col).drop("row")
 
 
-def row_of(id_col: str, text_col: str) -> Column:
-    """A digest of id and text: rows that share it stay or go together."""
-    return F.xxhash64(F.col(id_col), F.coalesce(F.col(text_col), F.lit("")))
-
-
 def rated(docs: DataFrame, labels: DataFrame, k: int | None, seed: int, id_col: str, text_col: str) -> DataFrame:
     """The result of :func:`resample` with each row's digest, row."""
     ratios, cut_at = models(docs, labels, id_col, text_col)
-    rows = docs.select(F.col(id_col).alias("doc_id"), row_of(id_col, text_col).alias("row"), F.col(text_col).alias("text"))
+    rows = docs.select(F.col(id_col).alias("doc_id"), row_digest(id_col, text_col).alias("row"), F.col(text_col).alias("text"))
     tie = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(2**62)))
     scored = weighed(rows, "text", ratios).withColumn("tie", tie)
     scored = written(scored.withColumn("key", F.col("log_weight") + gumbel(F.col("tie"), seed)), "log-weights")
@@ -249,4 +244,4 @@ def select(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     """
     gone_row = fresh(docs, "gone_row")
     gone = rated(docs, labels, None, 42, id_col, text_col).filter("not kept").select(F.col("row").alias(gone_row)).distinct()
-    return docs.join(written(gone, "rejected"), row_of(id_col, text_col) == F.col(gone_row), "left_anti")
+    return docs.join(written(gone, "rejected"), row_digest(id_col, text_col) == F.col(gone_row), "left_anti")

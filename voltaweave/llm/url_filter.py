@@ -23,7 +23,7 @@ from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import digest, written
 
 MIN_SUPPORT, MIN_CONFIDENCE = 0.002, 0.9
 DEFAULT = "allow"
@@ -178,7 +178,7 @@ def judge(
         taught = rows.join(labels.select(F.col("page_id").alias("labelled_id"), "label"), F.col("page_id") == F.col("labelled_id")).select("tokens", "label")
     free = F.array_except("tokens", F.array(*map(F.lit, named)).cast("array<string>"))
     found = mined_rules(taught.select(free.alias("tokens"), "label"), support, confidence)
-    key = F.xxhash64("page_id", "url")
+    key = digest("page_id", "url")
     if found is None:
         return rows.select("page_id", "host", "path", "rule", F.coalesce("decided", F.lit(DEFAULT)).alias("verdict"), F.lit(None).cast("string").alias("mined"))
     open_rows = rows.filter("rule is null")
