@@ -361,7 +361,7 @@ def test_random_repeats(spark):
     blocks = ["".join(rng.choice("ab") for _ in range(rng.randint(10, 90))) for _ in range(12)]
     texts = ["".join(rng.choice(blocks) for _ in range(rng.randint(0, 8))) for _ in range(80)]
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5)
-    for length in (20, 51, 100):
+    for length in (2, 20, 51, 100, 600):
         got = sorted(tuple(r) for r in suffix_dedup.digests(suffix_dedup.repeats(df, length)).collect())
         assert got == [(i, *x) for i, x in enumerate(bytes_removed(texts, length))]
 

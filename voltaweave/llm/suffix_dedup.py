@@ -14,8 +14,9 @@ content, and the others are induced from the class of their sample.
    edges of a shared passage, beside an edit), the strings of each class's
    first run are compared by their own hashes; the earliest of each stays.
 
-All other strings have an anchor that occurs once, so they occur once.  Hashes
-have 64 bits.  Tuples travel as packed blocks, sorted and merged by NumPy inside
+All other strings have an anchor that occurs once, so they occur once.  What
+tells classes and strings apart are hashes of 128 bits; an anchor's has 64, and
+two anchors that share it are told apart by their classes.  Tuples travel as packed blocks, sorted and merged by NumPy inside
 tasks; every task first settles what it can by itself and sends one tuple for
 each class or anchor, so a passage that fills a third of the corpus sends one
 tuple for each task.
@@ -42,8 +43,9 @@ FLUSH = 400_000
 #: Text bytes for each block of tuples.
 BYTES_PER_BLOCK = 4_000_000
 
-RUN = np.dtype([("h", "<u8"), ("c", "<u8"), ("d", "<i8"), ("p", "<u4"), ("n", "u1")])
-STRING = np.dtype([("h", "<u8"), ("d", "<i8"), ("p", "<u4")])
+#: An anchor's hash and its run's class (128 bits); a string's hash (128 bits).
+RUN = np.dtype([("h", "<u8"), ("c", "<u8"), ("c2", "<u8"), ("d", "<i8"), ("p", "<u4"), ("n", "<u2")])
+STRING = np.dtype([("h", "<u8"), ("h2", "<u8"), ("d", "<i8"), ("p", "<u4")])
 MARK = np.dtype([("d", "<i8"), ("p", "<u4"), ("n", "<u4")])  # n strings from p on; n = 0: to be induced
 
 _POSITION = np.uint64((1 << 21) - 1)
@@ -52,9 +54,8 @@ _POSITION = np.uint64((1 << 21) - 1)
 class Hasher:
     """Hashes of any substring of a piece, by prefix sums of a polynomial modulo 2**64."""
 
-    def __init__(self, longest: int):
-        base = 0x9E3779B97F4A7C15
-        self.codes = np.random.default_rng(5).integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+    def __init__(self, longest: int, base: int = 0x9E3779B97F4A7C15, seed: int = 5):
+        self.codes = np.random.default_rng(seed).integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
         self.powers = np.full(longest + 1, base, np.uint64)
         self.inverse = np.full(longest + 1, pow(base, -1, 1 << 64), np.uint64)
         self.powers[0] = self.inverse[0] = 1
@@ -73,6 +74,11 @@ class Hasher:
         return mixed((self.sums[size:] - self.sums[:n]) * self.inverse[:n])
 
 
+def hashers(longest: int) -> tuple[Hasher, Hasher]:
+    """Two hashers whose values together tell strings apart."""
+    return Hasher(longest), Hasher(longest, 0xD6E8FEB86659FD93, 6)
+
+
 def pieces(keys: list[int], datas: list[bytes], length: int, most: int = PIECE) -> Iterator[list[tuple[int, int, bytes]]]:
     """Lists of (key, offset, bytes) of at most ``most`` bytes; long documents overlap by length - 1."""
     out, size = [], 0
@@ -90,13 +96,15 @@ def pieces(keys: list[int], datas: list[bytes], length: int, most: int = PIECE)
         yield out
 
 
-def runs_of(hasher: Hasher, part: list[tuple[int, int, bytes]], length: int) -> tuple[np.ndarray, np.ndarray]:
+def runs_of(pair: tuple[Hasher, Hasher], part: list[tuple[int, int, bytes]], length: int) -> tuple[np.ndarray, np.ndarray]:
     """The runs of a piece, and where each starts in it."""
+    hasher, other = pair
     width = length // 2
     data = np.frombuffer(b"".join(x for _, _, x in part), np.uint8)
     sizes = np.array([len(x) for _, _, x in part])
     ends = np.cumsum(sizes)
     hasher.read(data)
+    other.read(data)
     h = hasher.every(width)
     least = (h & ~_POSITION) | np.arange(len(h), dtype=np.uint64)
     window, have = length - width + 1, 1
@@ -115,7 +123,8 @@ def runs_of(hasher: Hasher, part: list[tuple[int, int, bytes]], length: int) ->
     start, stop, a, o = p[first], p[last], a[first], o[first]
     out = np.empty(len(first), RUN)
     out["h"] = h[a]
-    out["c"] = mixed(hasher.of(start, stop + length) ^ mixed(((stop - start) * 256 + (a - start)).astype(np.uint64)))
+    lies = mixed((((stop - start) << 32) + (a - start)).astype(np.uint64))
+    out["c"], out["c2"] = (mixed(x.of(start, stop + length) ^ lies) for x in pair)
     out["d"] = np.array([k for k, _, _ in part], np.int64)[o]
     out["p"] = start - (ends - sizes)[o] + np.array([at for _, at, _ in part])[o]
     out["n"] = stop - start + 1
@@ -135,10 +144,10 @@ def settle_runs(rows: np.ndarray, last: bool) -> tuple[np.ndarray, np.ndarray]:
     A run with n = 0 only says that its anchor occurs elsewhere in several
     classes.  ``last``: these are all runs of their anchors, nothing is sent on.
     """
-    rows = rows[np.lexsort((rows["p"], rows["d"], rows["n"] > 0, rows["c"], rows["h"]))]
-    h, c, note = rows["h"], rows["c"], rows["n"] == 0
+    rows = rows[np.lexsort((rows["p"], rows["d"], rows["n"] > 0, rows["c2"], rows["c"], rows["h"]))]
+    h, c, c2, note = rows["h"], rows["c"], rows["c2"], rows["n"] == 0
     new_h = np.r_[True, h[1:] != h[:-1]] if len(rows) else np.zeros(0, bool)
-    new_c = new_h | np.r_[True, (c[1:] != c[:-1]) | (note[:-1] & ~note[1:])] if len(rows) else new_h
+    new_c = new_h | np.r_[True, (c[1:] != c[:-1]) | (c2[1:] != c2[:-1]) | (note[:-1] & ~note[1:])] if len(rows) else new_h
     of = np.cumsum(new_h) - 1
     several = np.bincount(of, new_c & ~note, minlength=1) > 1
     several |= np.bincount(of, note, minlength=1) > 0
@@ -149,14 +158,16 @@ def settle_runs(rows: np.ndarray, last: bool) -> tuple[np.ndarray, np.ndarray]:
         return rows[:0], np.concatenate(made)
     notes = rows[new_h & split].copy()
     notes["n"] = 0
-    notes["c"] = notes["d"] = notes["p"] = 0
+    notes["c"] = notes["c2"] = notes["d"] = notes["p"] = 0
     return np.concatenate([rows[first & ~split], notes]), np.concatenate(made)
 
 
 def settle_strings(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(the first of each string, marks of the others)."""
-    rows = rows[np.lexsort((rows["p"], rows["d"], rows["h"]))]
-    first = np.r_[True, rows["h"][1:] != rows["h"][:-1]] if len(rows) else np.zeros(0, bool)
+    h, h2 = (rows[x] for x in ("h", "h2"))
+    order = np.lexsort((rows["p"], rows["d"], h2, h))
+    rows, h, h2 = rows[order], h[order], h2[order]
+    first = np.r_[True, (h[1:] != h[:-1]) | (h2[1:] != h2[:-1])] if len(rows) else np.zeros(0, bool)
     return rows[first], marks(rows[~first])
 
 
@@ -182,6 +193,8 @@ def repeats(docs: DataFrame, length: int = 100, id_col: str = "doc_id", text_col
     several texts under one id, or a null id (which comes first), the order is
     that of their digests.  An empty table gives an empty result.
     """
+    if not 2 <= length <= 100_000 or not length < piece < 1 << 21:
+        raise ValueError("a string has 2 to 100,000 bytes, a piece more, and less than 2**21")
     rows = keyed(docs, id_col, text_col)
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = 1 << max(3, min(20, (size // BYTES_PER_BLOCK).bit_length()))
@@ -195,7 +208,7 @@ def repeats(docs: DataFrame, length: int = 100, id_col: str = "doc_id", text_col
                 yield keys, [x.encode("utf-8", "replace") for x in texts], *rest
 
     def first_pass(batches):
-        hasher, held, n = Hasher(piece), [], 0
+        pair, held, n = hashers(piece), [], 0
 
         def send():
             on, made = settle_runs(np.concatenate(held), last=False)
@@ -204,7 +217,7 @@ def repeats(docs: DataFrame, length: int = 100, id_col: str = "doc_id", text_col
 
         for keys, datas in read(batches):
             for part in pieces(keys, datas, length, piece):
-                held.append(runs_of(hasher, part, length)[0])
+                held.append(runs_of(pair, part, length)[0])
                 n += len(held[-1])
                 if n >= FLUSH:
                     yield from send()
@@ -229,7 +242,7 @@ def repeats(docs: DataFrame, length: int = 100, id_col: str = "doc_id", text_col
         return pd.DataFrame({"open_key": keys, "starts": [x.tobytes() for x in np.split(got["p"], at[1:])] if len(keys) else []})
 
     def second_pass(batches):
-        hasher, held, n = Hasher(piece), [], 0
+        pair, held, n = hashers(piece), [], 0
 
         def send():
             on, made = settle_strings(np.concatenate(held))
@@ -239,7 +252,7 @@ def repeats(docs: DataFrame, length: int = 100, id_col: str = "doc_id", text_col
         for keys, datas, starts in read(batches, more=("starts",)):
             wanted = {k: np.frombuffer(s, "<u4") for k, s in zip(keys, starts, strict=True)}
             for part in pieces(keys, datas, length, piece):
-                runs, at = runs_of(hasher, part, length)
+                runs, at = runs_of(pair, part, length)
                 ends = np.flatnonzero(np.r_[runs["d"][1:] != runs["d"][:-1], True]) + 1 if len(runs) else []
                 pick = np.zeros(len(runs), bool)
                 begin = 0
@@ -253,7 +266,7 @@ def repeats(docs: DataFrame, length: int = 100, id_col: str = "doc_id", text_col
                 step = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
                 where = np.repeat(at, many) + step
                 out = np.empty(len(where), STRING)
-                out["h"] = hasher.of(where, where + length)
+                out["h"], out["h2"] = (x.of(where, where + length) for x in pair)
                 out["d"] = np.repeat(runs["d"], many)
                 out["p"] = np.repeat(runs["p"], many) + step
                 held.append(out)
