@@ -1,6 +1,7 @@
 """The corpus operators against brute force on small tables with awkward rows."""
 
 import hashlib
+import math
 import random
 import re
 import struct
@@ -529,6 +530,40 @@ def test_quality_selection(labelled):
     assert {r.doc_id for r in quality.select(docs, labels).collect()} == kept
 
 
+def test_weights_are_the_models_log_ratios(labelled):
+    """A plain recount of both models, every weight, and which rows the k largest keys are."""
+    docs, labels = labelled
+    texts, mark = [(r.doc_id, r.text or "") for r in docs.collect()], {r.doc_id: r.quality for r in labels.collect()}
+    grams = [quality.hashed_ngrams([t])[0].tolist() for _, t in texts]
+    raw, target = defaultdict(int), defaultdict(int)
+    for (i, _), g in zip(texts, grams, strict=True):
+        for b in g:
+            raw[b] += 1
+            target[b] += mark.get(i) == 1
+    n, m, size = sum(raw.values()), sum(target.values()), quality.BUCKETS
+    ratio = {b: math.log((target[b] + size * c / n) / (m + size) / (c / n)) for b, c in raw.items()}
+    want = {i: sum(map(ratio.get, g)) * min(1, quality.REACH / max(len(g), 1)) for (i, _), g in zip(texts, grams, strict=True)}
+    got = quality.resample(docs, labels, k=250).collect()
+    assert all(abs(r.log_weight - want[r.doc_id]) < 1e-6 and r.n_grams == len(g) for r in got for (i, _), g in zip(texts, grams, strict=True) if i == r.doc_id)
+    assert {r.doc_id for r in got if r.kept} == {r.doc_id for r in sorted(got, key=lambda r: -r.sample_key)[:250]}
+
+
+def test_noise_decides_between_close_weights(spark, labelled):
+    """Of short texts as many are drawn as their weights say; junk stays out."""
+    docs, labels = labelled
+    made = [(10_000 + i, "ab cdefg" if i % 2 else "hgf e") for i in range(4000)] + [(20_000 + i, "HGF!! E!! " * 30) for i in range(300)]
+    got = quality.resample(docs.unionByName(spark.createDataFrame(made, "doc_id long, text string")), labels, k=1500).collect()
+    close = [r for r in got if r.doc_id and 10_000 <= r.doc_id < 20_000]
+    assert not any(r.kept for r in got if r.doc_id and r.doc_id >= 20_000)
+    kept, weights = np.array([r.kept for r in close]), np.array([r.log_weight for r in close])
+    assert 500 < kept.sum() < 1500 and len(set(weights)) == 2
+    cut = max(r.sample_key for r in got if not r.kept)
+    for w in set(weights):  # a Gumbel key passes the cut with this chance
+        share = 1 - math.exp(-math.exp(w - cut))
+        assert abs(kept[weights == w].mean() - share) < 4 * math.sqrt(share * (1 - share) / 2000) + 0.01
+    assert 0 < sum(k != (w == max(weights)) for k, w in zip(kept, weights, strict=True))
+
+
 def test_top_k_cut(spark, monkeypatch):
     monkeypatch.setattr(quality, "FEW", 5)
     keys = [(float(i % 50), i) for i in range(1000)]
@@ -540,8 +575,6 @@ def test_top_k_cut(spark, monkeypatch):
 
 
 def test_gumbel_draws_by_weight(spark):
-    import math
-
     from pyspark.sql import functions as F
 
     df = spark.range(20000).withColumn("w", F.when(F.col("id") % 2 == 0, math.log(3.0)).otherwise(0.0))

@@ -2,11 +2,12 @@
 
 Two generative models over hashed n-grams are set against each other: the
 target (texts labelled as good) and the raw corpus.  A document's log weight is
-the mean, over its n-grams, of the log ratio of their probabilities, times
-``REACH``: the weight of a stretch of that many n-grams, so that long documents
-aren't drawn for their length alone.  Gumbel noise on the log weights and a
+the log ratio of the probabilities that the two give to its n-grams; of a
+document of more than ``REACH`` n-grams it is the mean ratio of so many, since
+otherwise length alone would decide.  Gumbel noise on the log weights and a
 top-k cut draw k documents without replacement with chances in proportion to
-the weights.
+the weights: the noise decides between documents whose weights are within a few
+units of the cut, and practically never for those far from it.
 
 Three kinds of n-grams share the hashed table: character trigrams, word shapes
 (case, digits, marks) in runs of one to three, and whether a word repeats the
@@ -29,7 +30,7 @@ from .common import fresh, row_digest, text_chunks, written
 SAMPLE = 20_000
 #: Length of the hashed table, a power of two.
 BUCKETS = 1 << 16
-#: Number of n-grams that a log weight stands for.
+#: Most n-grams that a log weight stands for.
 REACH = 100
 #: Bins of the search for the k-th key, and the rows below which it reads them.
 BINS, FEW = 4096, 20_000
@@ -63,7 +64,7 @@ def hashed_ngrams(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     lengths = np.array([len(x) + 1 for x in datas])
     row = np.repeat(np.arange(len(texts), dtype=np.int32), lengths)
     c = joined.astype(np.uint32)
-    buckets, rows = [], []
+    buckets, rows = [np.zeros(0, np.int32)], [np.zeros(0, np.int32)]
     if len(c) >= 3:
         inside = row[:-2] == row[2:]
         buckets.append(_mixed(c[:-2] * _MULTIPLIERS[0] + c[1:-1] * _MULTIPLIERS[1] + c[2:] * _MULTIPLIERS[2])[inside])
@@ -191,7 +192,7 @@ def weighed(rows: DataFrame, text_col: str, ratios: np.ndarray) -> DataFrame:
         for batch, texts in text_chunks(batches, text_col):
             buckets, owner = hashed_ngrams(texts)
             n = np.bincount(owner, minlength=len(texts)).astype(np.int64)
-            weight = np.bincount(owner, table.value[buckets], minlength=len(texts)) / np.maximum(n, 1) * REACH
+            weight = np.bincount(owner, table.value[buckets], minlength=len(texts)) * np.minimum(1, REACH / np.maximum(n, 1))
             columns = [batch.column(batch.schema.get_field_index(c)) for c in rest]
             yield pa.RecordBatch.from_arrays([*columns, pa.array(weight), pa.array(n)], names=[*rest, "log_weight", "n_grams"])
 
