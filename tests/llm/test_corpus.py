@@ -1,6 +1,7 @@
 """The corpus operators against brute force on small tables with awkward rows."""
 
 import hashlib
+import itertools
 import math
 import random
 import re
@@ -445,6 +446,52 @@ def test_tokens_that_come_together_all_make_rules(spark):
     }
 
 
+def test_mining_is_what_enumeration_finds(spark):
+    rng = random.Random(21)
+    tokens = "abcdefg"
+    for support, confidence in ((0.02, 0.6), (0.1, 0.8)):
+        rows = []
+        for _ in range(120):
+            held = sorted({rng.choice(tokens) for _ in range(rng.randint(0, 5))})
+            rows.append((held, "block" if ("a" in held and "b" in held) or rng.random() < 0.2 else "allow"))
+        least = max(5, math.ceil(support * len(rows)))
+        sets = [set(c) for n in range(1, 8) for c in itertools.combinations(tokens, n)]
+        found = {}
+        for s in sets:
+            n = sum(s <= set(t) for t, _ in rows)
+            for said in ("allow", "block"):
+                both = sum(s <= set(t) and label == said for t, label in rows)
+                if both >= least and both / n >= confidence:
+                    found[tuple(sorted(s)), said] = (both / n, both / len(rows))
+        single = {t: sum(t in held for held, _ in rows) for t in tokens}
+        kept = {
+            (s, said, round(c, 9), round(p, 9), min(s, key=lambda t: (single[t], t))) for (s, said), (c, p) in found.items()
+            if not any(set(x) < set(s) and y == said and found[x, y][0] >= c for x, y in found)
+        }
+        got = url_filter.mined_rules(spark.createDataFrame(rows, "tokens array<string>, label string"), support, confidence)
+        assert kept and {(tuple(r.antecedent), r.said, round(r.confidence, 9), round(r.support, 9), r.rarest) for r in got.collect()} == kept
+
+
+def test_single_urls_make_no_rules(spark):
+    made = [(i, f"http://h{i}.example/p{i}") for i in range(9)]
+    labels = spark.createDataFrame([(i, "block") for i in range(4)], "page_id long, label string")
+    df = spark.createDataFrame(made, "page_id long, url string")
+    assert {r.verdict for r in url_filter.judge(df, rules={}, labels=labels).collect()} == {"allow"}
+    more = spark.createDataFrame([(i, "block" if i < 5 else "allow") for i in range(9)], "page_id long, label string")
+    got = url_filter.judge(df, rules={}, labels=more).collect()
+    assert {r.mined for r in got} == {None}  # every token but the common host is met once
+
+
+def test_odd_pages(spark):
+    """Repeated and null page ids, null urls and labels, clashing columns; of equally sure rules the better supported decides."""
+    made = [(1, "http://x.test/bad/1"), (1, "http://x.test/bad/1"), (1, "http://x.test/ok/1"), (None, "http://y.test/bad/2"), (None, None), (2, None)]
+    made += [(10 + i, f"http://z{i % 3}.test/{'bad' if i % 2 else 'ok'}/{i}") for i in range(40)]
+    df = spark.createDataFrame([(*r, "v", "k") for r in made], "page_id long, url string, verdict string, key string")
+    labels = spark.createDataFrame([*((10 + i, "block" if i % 2 else "allow") for i in range(40)), (None, "block"), (11, None)], "page_id long, label string")
+    got = sorted(((r.page_id, r.path, r.verdict) for r in url_filter.judge(df, rules={}, labels=labels).collect() if (r.page_id or 0) < 10), key=str)
+    assert got == sorted([(1, "/bad/1", "block"), (1, "/bad/1", "block"), (1, "/ok/1", "allow"), (None, "/bad/2", "block"), (None, "", "allow"), (2, "", "allow")], key=str)
+
+
 # ---- 1 and 3
 
 

@@ -26,6 +26,8 @@ from pyspark.sql import functions as F
 from .common import digest, written
 
 MIN_SUPPORT, MIN_CONFIDENCE = 0.002, 0.9
+#: Rows that a combination needs besides the support, so that small tables don't make rules of single urls.
+MIN_ROWS = 5
 DEFAULT = "allow"
 
 #: The explicit rules (host and path, verdict).
@@ -67,14 +69,13 @@ def tokens_of(url: Column, host: Column, path: Column) -> Column:
     )
 
 
-def standing(labelled: DataFrame, support: float) -> DataFrame:
-    """(token, members): one token for all that stand in the same rows of (tid, tokens), of those that reach the support.
+def standing(labelled: DataFrame, least: int) -> DataFrame:
+    """(token, members): one token for all that stand in the same rows of (tid, tokens), of those in ``least`` rows or more.
 
     Tokens that always come together say the same in any rule, and a rule with
     two of them is never better than one with either.  So a url of very many
     tokens, often repeated, has no exponentially many frequent subsets.
     """
-    least = math.ceil(support * labelled.count())
     return (
         labelled.select("tid", F.explode("tokens").alias("token"))
         .groupBy("token")
@@ -87,11 +88,16 @@ def standing(labelled: DataFrame, support: float) -> DataFrame:
 
 
 def mined_rules(labelled: DataFrame, support: float, confidence: float) -> DataFrame | None:
-    """(antecedent, said, confidence, support, rarest) from rows of (tokens, label), pruned; all tokens of a row count."""
+    """(antecedent, said, confidence, support, rarest) from rows of (tokens, label), pruned; all tokens of a row count.
+
+    A combination needs the support and at least ``MIN_ROWS`` rows; with fewer rows in all there is nothing to mine.
+    """
     labelled = written(labelled.withColumn("tid", F.monotonically_increasing_id()), "labelled")
-    if labelled.isEmpty():
+    n = labelled.count()
+    least = max(MIN_ROWS, math.ceil(support * n))
+    if n < least:
         return None
-    stand = written(standing(labelled, support), "standing-tokens")
+    stand = written(standing(labelled, least), "standing-tokens")
     items = (
         labelled.select("tid", "label", F.explode_outer("tokens").alias("token"))
         .join(stand.select("token", F.col("token").alias("item")), "token", "left")
@@ -99,7 +105,7 @@ def mined_rules(labelled: DataFrame, support: float, confidence: float) -> DataF
         .agg(F.collect_list("item").alias("items"))
         .select(F.concat("items", F.array(F.concat(F.lit("@"), F.col("label")))).alias("items"))
     )
-    model = FPGrowth(itemsCol="items", minSupport=support, minConfidence=confidence).fit(written(items, "transactions"))
+    model = FPGrowth(itemsCol="items", minSupport=(least - 0.5) / n, minConfidence=confidence).fit(written(items, "transactions"))
     rules = (
         model.associationRules.filter(F.element_at("consequent", 1).startswith("@") & ~F.exists("antecedent", lambda x: x.startswith("@")))
         .select(
@@ -117,8 +123,8 @@ def mined_rules(labelled: DataFrame, support: float, confidence: float) -> DataF
         .agg(F.min(F.struct("freq", "token"))["token"].alias("rarest"))
     )
     posted = written(posted, "association-rules")
-    # a rule goes if a shorter one, found by any token they share, is at least as sure of the same
-    shorter = posted.select(F.col("antecedent").alias("part"), F.col("said").alias("part_said"), F.col("confidence").alias("part_confidence"), F.explode("antecedent").alias("token"))
+    # a rule goes if a shorter one, found in the index under its rarest token, is at least as sure of the same
+    shorter = posted.select(F.col("antecedent").alias("part"), F.col("said").alias("part_said"), F.col("confidence").alias("part_confidence"), F.col("rarest").alias("token"))
     covered = (
         posted.select("antecedent", "said", "confidence", F.explode("antecedent").alias("token"))
         .join(shorter, "token")
@@ -175,7 +181,7 @@ def judge(
     if labels is None:
         taught = rows.filter("rule is not null").select("tokens", F.col("decided").alias("label"))
     else:
-        taught = rows.join(labels.select(F.col("page_id").alias("labelled_id"), "label"), F.col("page_id") == F.col("labelled_id")).select("tokens", "label")
+        taught = rows.join(labels.select(F.col("page_id").alias("labelled_id"), "label"), F.col("page_id") == F.col("labelled_id")).filter("label is not null").select("tokens", "label")
     free = F.array_except("tokens", F.array(*map(F.lit, named)).cast("array<string>"))
     found = mined_rules(taught.select(free.alias("tokens"), "label"), support, confidence)
     key = digest("page_id", "url")
