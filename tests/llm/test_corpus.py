@@ -550,6 +550,68 @@ def test_restoring_long_stretches():
     assert toxicity.restore("i" + "d" * 300_000 + "iot", model) == "idiot"
 
 
+def test_restoring_is_the_best_of_all_paths():
+    """Every path of small lattices is enumerated and scored."""
+    counts = np.zeros(1 << 20, np.int64)
+    for t in ["stupid idiot clown loser ass hello list silly"] * 20 + [" ".join(WORDS[:50])]:
+        counts += np.bincount(toxicity.four_grams(toxicity.classed(t)), minlength=1 << 20)
+    model = toxicity.LanguageModel(counts)
+    rng = random.Random(4)
+
+    def every(span):
+        classes = toxicity.classed(span).tolist()
+        spaced = len(span) > 2 and all(c == toxicity._SEP for c in classes[1::2])
+        done, ahead = {}, [(0, 0, 0.0, "")]
+        while ahead:
+            i, s, value, text = ahead.pop()
+            if i == len(span):
+                value += float(model.log[s, 0]) if s & 31 else 0.0
+                done[text] = max(done.get(text, -1e9), value)
+                continue
+            end = i + 1
+            while end < len(span) and span[end] == span[i]:
+                end += 1
+            for letters, add, cost, after in toxicity.arcs_at(span, i, end, classes[i], spaced):
+                t, v = s, value + cost
+                for k in letters:
+                    if k or t & 31:
+                        v += float(model.log[t, k])
+                        t = ((t << 5) | k) & 0x7FFF
+                ahead.append((after, t, v, text + add))
+        return done
+
+    spans = ["1d10t", "5tup1d", "l0ooser", "a$$", "с1оwn", "heeello", "l.1.s.t", "s i l l y", "aaa", "1l1", "$1lly", "x|x!"]
+    spans += ["".join(rng.choice("a1lo0s$5e!cс") for _ in range(rng.randint(2, 7))) for _ in range(60)]
+    for span in spans:
+        paths, read = every(span), toxicity.restore(span, model)
+        assert read in paths and paths[read] >= max(paths.values()) - 1e-5, span
+
+
+def test_restoring_other_scripts_and_gaps():
+    counts = np.zeros(1 << 20, np.int64)
+    for t in ["that clown is an idiot and a bad loser", "хорошо это слово"] * 50:
+        counts += np.bincount(toxicity.four_grams(toxicity.classed(t)), minlength=1 << 20)
+    restorer = toxicity.Restorer(toxicity.LanguageModel(counts))
+    made = {"ｉｄｉｏｔ": "idiot", "clоwn": "clown", "idiоt!": "idiot", "b a d": "bad", "c  l  o  w  n": "clown", "l -- o -- s -- e -- r": "loser", "𝐜𝐥𝐨𝐰𝐧": "clown", "хорошо": "хорошо"}
+    told = restorer.words(list(made))
+    assert [(m, w) for (m, w), t in zip(made.items(), told, strict=True) if w not in t] == []
+    assert told[-1] == {"хорошо"}
+
+
+def test_toxicity_of_odd_rows(spark, labelled):
+    """Clashing columns, repeated rows and ids, null labels."""
+    docs, labels = labelled
+    more = spark.createDataFrame([(5, "zorgole"), (5, "zorgole"), (7000, "z0rg0le is here"), (7001, "fine words here")], "doc_id long, text string")
+    df = docs.unionByName(more).selectExpr("*", "1 as toxic", "'x' as score", "0 as held_out", "'y' as row", "'z' as telling")
+    marks = labels.unionByName(spark.createDataFrame([(None, 1, 1), (7001, 1, None), (3, 1, 0), (3, 1, 0)], labels.schema)).selectExpr("*", "'t' as text")
+    got = toxicity.score(df, marks).collect()
+    assert len(got) == 608 and {r.predicted for r in got if r.doc_id == 7000} == {1} and {r.predicted for r in got if r.doc_id == 7001} == {0}
+    assert len({r.score for r in got if r.doc_id == 5}) == 2
+    rated = quality.resample(df, marks).collect()
+    assert len(rated) == 608 and len({r.sample_key for r in rated if r.doc_id == 5}) == 2
+    assert quality.select(df, marks).columns == df.columns
+
+
 def test_restoring_at_the_edges():
     counts = np.zeros(1 << 20, np.int64)
     for t in ["that idiot said what they hate", "die shit ass", "the asshole is a loser", "covid and mp and a b c"] * 50:

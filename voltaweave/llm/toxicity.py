@@ -1,7 +1,7 @@
 """Toxicity by noisy-channel deobfuscation and a lexicon learned from labels.
 
-Writers hide words by look-alike characters, by repeating letters and by
-spacing letters out.  Here a stretch that shows such signs becomes a lattice:
+Writers hide words by look-alike characters, by letters of other scripts, by
+repeating letters and by spacing letters out.  Here a stretch that shows such signs becomes a lattice:
 each character may stand for itself or, at a cost, for the letters it resembles;
 a repetition may be one letter or two; a separator between single letters may
 be nothing.  A Viterbi search under a character language model, counted over
@@ -43,20 +43,27 @@ LOOKALIKES = {
     "0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "gb", "7": "t", "8": "b", "9": "g",
     "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "(": "c", "€": "e", "£": "l", "¡": "i",
 }
+#: Letters of other scripts that look like Latin ones; they are read so only in words that have Latin letters.
+HOMOGLYPHS = {
+    "а": "a", "в": "b", "е": "e", "и": "u", "к": "k", "м": "m", "н": "h", "о": "o", "р": "p", "с": "c", "т": "t", "у": "y", "х": "x", "і": "i", "ј": "j", "ѕ": "s",
+    "α": "a", "β": "b", "ε": "e", "η": "n", "ι": "i", "κ": "k", "ν": "v", "ο": "o", "ρ": "p", "τ": "t", "υ": "u", "χ": "x",
+}
 #: Look-alikes that end or open words as marks too; the others hardly stand in a word for themselves.
 MARKS = "!¡|+("
 SEPARATORS = " .-_*~'/\\,"
 PUNCTUATION = ".,;:!?\"'()[]{}<>|*#%&$@+-_=/\\~^`“”‘’«»…¡¿"
 
-# classes of characters: 1-26 a-z (accents folded), 27 other letters, 28 look-alikes, 29 separators, 0 all else
-_OTHER, _LOOK, _SEP = 27, 28, 29
+# classes of characters: 1-26 a-z (accents folded), 27 other letters, 28 look-alikes, 29 separators, 30 letters that look like Latin ones, 0 all else
+_OTHER, _LOOK, _SEP, _TWIN = 27, 28, 29, 30
 
 
 def _classes() -> np.ndarray:
     table = np.zeros(0x3000, np.uint8)
     for cp in range(len(table)):
         c = chr(cp)
-        if c.isalpha():
+        if c in HOMOGLYPHS:
+            table[cp] = _TWIN
+        elif c.isalpha():
             base = unicodedata.normalize("NFD", c.lower())[:1]
             table[cp] = ord(base) - 96 if "a" <= base <= "z" else _OTHER
         elif c in LOOKALIKES:
@@ -74,9 +81,14 @@ def classed(text: str) -> np.ndarray:
     return _CLASSES[np.minimum(points, len(_CLASSES) - 1)]
 
 
+def plain(text: str) -> str:
+    """Lower case, with full-width, styled and joined forms of letters as plain ones."""
+    return unicodedata.normalize("NFKC", text).lower()
+
+
 def four_grams(classes: np.ndarray) -> np.ndarray:
     """Codes of the four-letter strings that end at each place; what is no letter is a boundary, 0."""
-    c = np.where(classes <= _OTHER, classes, 0).astype(np.int32)
+    c = np.where(classes <= _OTHER, classes, np.where(classes == _TWIN, _OTHER, 0)).astype(np.int32)
     c = c[np.r_[True, (c[1:] != 0) | (c[:-1] != 0)]]  # boundaries in a row are one
     padded = np.r_[np.zeros(3, np.int32), c]
     return (padded[:-3] << 15) | (padded[1:-2] << 10) | (padded[2:-1] << 5) | padded[3:]
@@ -88,7 +100,7 @@ def count_four_grams(texts: DataFrame) -> DataFrame:
     def count(batches):
         total = np.zeros(1 << 20, np.int64)
         for _, chunk in text_chunks(batches, "text"):
-            total += np.bincount(four_grams(classed("\n".join(chunk).lower())), minlength=1 << 20)
+            total += np.bincount(four_grams(classed(plain("\n".join(chunk)))), minlength=1 << 20)
         there = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(there.astype(np.int32)), pa.array(total[there])], names=["gram", "n"])
 
@@ -112,7 +124,8 @@ def suspicious(classes: np.ndarray) -> list[tuple[int, int]]:
     n = len(classes)
     if n < 2:
         return []
-    letter = (classes >= 1) & (classes <= _OTHER)
+    twin = classes == _TWIN
+    letter = (classes >= 1) & (classes <= _OTHER) | twin
     look, sep = classes == _LOOK, classes == _SEP
     solid = letter | look
     padded = np.r_[False, solid, False]
@@ -123,22 +136,25 @@ def suspicious(classes: np.ndarray) -> list[tuple[int, int]]:
         return np.searchsorted(places, ends) > np.searchsorted(places, starts)
 
     # a letter and a look-alike, wherever they stand, or a letter three times in a row
-    same = letter[2:] & (classes[2:] == classes[1:-1]) & (classes[2:] == classes[:-2]) & (classes[2:] != _OTHER)
-    held = (has(letter) & has(look)) | has(same)
+    same = letter[2:] & (classes[2:] == classes[1:-1]) & (classes[2:] == classes[:-2]) & (classes[2:] < _OTHER)
+    held = (has(letter) & has(look)) | (has((classes >= 1) & (classes < _OTHER)) & has(twin)) | has(same)
     spans = set(zip(starts[held].tolist(), ends[held].tolist(), strict=True))
-    # two or more single letters or look-alikes, one letter at least, with one separator between each two
-    single = solid & ~padded[:-2] & ~padded[2:]
-    step = single[:-2] & sep[1:-1] & single[2:]
+    # two or more single letters or look-alikes, one letter at least, with separators between each two
+    at = np.flatnonzero(~sep | ~np.r_[False, sep[:-1]])  # the first separator of each run stands for all
+    alone, gap, real = solid[at], sep[at], letter[at]
+    beside = np.r_[False, alone, False]
+    single = alone & ~beside[:-2] & ~beside[2:]
+    step = single[:-2] & gap[1:-1] & single[2:]
     end = -1
     for i in np.flatnonzero(step).tolist():
         if i < end:
             continue
         j = i
-        while j + 2 < n and step[j]:
+        while j + 2 < len(at) and step[j]:
             j += 2
         end = j + 1
-        if letter[i:end].any():
-            spans.add((i, end))
+        if real[i:end].any():
+            spans.add((int(at[i]), int(at[j]) + 1))
     return sorted(spans)
 
 
@@ -159,6 +175,9 @@ def arcs_at(span: str, i: int, end: int, kind: int, spaced: bool, all_read: bool
         if run >= 3:
             here.append(((kind,), c, REPEAT * (run - 1), end))
             here.append(((kind, kind), c + c, REPEAT * (run - 2), end))
+    elif kind == _TWIN:
+        here = [] if all_read else [((_OTHER,), c, 0.0, i + 1)]
+        here.append(((ord(HOMOGLYPHS[c]) - 96,), HOMOGLYPHS[c], LOOKALIKE, i + 1))
     elif kind == _LOOK:
         here = [] if all_read and c not in MARKS else [((0,), c, 0.0, i + 1)]
         for letter in LOOKALIKES[c]:
@@ -178,6 +197,9 @@ def restore(span: str, model: LanguageModel, all_read: bool = False) -> str:
     With ``all_read`` only the readings count that take every look-alike but :data:`MARKS` for a letter.
     """
     classes = classed(span).tolist()
+    if _SEP in classes:  # one separator says what several say
+        span = "".join(c for c, k, before in zip(span, classes, [0, *classes], strict=False) if k != _SEP or before != _SEP)
+        classes = classed(span).tolist()
     spaced = len(span) > 2 and all(c == _SEP for c in classes[1::2])
     run_ends = list(range(1, len(span) + 1))
     for i in range(len(span) - 2, -1, -1):
@@ -212,7 +234,7 @@ def readings(span: str, model: LanguageModel) -> list[str]:
     is likelier as it stands; what the lexicon doesn't hold tells nothing.
     """
     found = {restore(span, model)}
-    if any(c in LOOKALIKES and c not in MARKS for c in span):
+    if any(c in HOMOGLYPHS or (c in LOOKALIKES and c not in MARKS) for c in span):
         found.add(restore(span, model, all_read=True))
     return sorted(found - {span})
 
@@ -224,7 +246,7 @@ class Restorer:
         self.model, self.known, self.most = model, {}, most
 
     def words(self, texts: list[str]) -> list[set[str]]:
-        lowered = [x.lower() for x in texts]
+        lowered = [plain(x) for x in texts]
         joined = "\n".join(lowered)
         starts = np.cumsum([0] + [len(x) + 1 for x in lowered])
         added: dict[int, list[str]] = {}
