@@ -130,6 +130,20 @@ def test_packing_covers_each_id_once(docs, empty):
     assert packing.pack(empty, path, 2).count() == 0
 
 
+def test_buckets_hold_one_length(spark, docs, odd, tmp_path):
+    path = pytest.importorskip("public_tokenizers").path("word_bpe_49k.json")
+    pieces = packing.pack(docs, path, 2, longest=512)
+    packing.write_buckets(pieces, f"{tmp_path}/buckets")
+    for r in spark.read.parquet(f"{tmp_path}/buckets").groupBy("bucket").agg({"length": "min", "*": "count"}).collect():
+        assert r["min(length)"] == 2 ** r.bucket
+    for b in {r.bucket for r in pieces.collect()}:
+        assert {r.length for r in spark.read.parquet(f"{tmp_path}/buckets/bucket={b}").collect()} == {2**b}
+    # null and repeated ids: each row is packed on its own
+    told = packing.pack(odd, path, 2).collect()
+    assert sum(r.length for r in told if r.doc_id is None and r.doc_tokens == 1) == 1
+    assert len({r.sequence_id for r in told}) == len(told) and sum(r.start == 0 for r in told) == len(TEXTS) + 4
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.text(alphabet="abcABC ñÉÑß.,'!?$%0<>|9\n\t\x1c\u0301ΣİÅ\u00a0", max_size=30) | st.sampled_from(["it's, don't", "<|endoftext|>.", "ABC... 'll"]), max_size=8))
 def test_word_encoder_is_the_tokenizer(texts):
@@ -212,10 +226,10 @@ def components(sets, percent=75):
     return {i: find(i) for i in names}
 
 
-def shingles(text, short=True):
+def shingles(text):
     w = re.findall(r"[^\x20\x09-\x0D]+", lowered(text))
     if len(w) < 5:
-        return {tuple(w)} if w and short else set()
+        return {tuple(w)} if w else set()
     return {tuple(w[i : i + 5]) for i in range(len(w) - 4)}
 
 
@@ -393,6 +407,36 @@ def test_reply_trees(spark):
     assert dict(got) == {(1, 1): [0, 1, 3], (1, 2): [0, 2, 4, 5], (2, 1): [7], (3, 1): list(range(37))}
 
 
+@pytest.mark.parametrize("seed", [1, 2])
+def test_random_reply_trees(spark, seed):
+    rng = random.Random(seed)
+    made = []
+    for tree in range(25):
+        for node in range(rng.randint(1, 14)):
+            parent = None if node == 0 or rng.random() < 0.1 else rng.choice([node - 1, rng.randrange(node), 99 if rng.random() < 0.1 else 0])
+            made.append((tree if tree else None, node, parent, rng.choice([None, 0.0, 1.0, 2.5, -1.0])))
+    made += rng.sample(made, 5)  # rows that repeat
+    nodes = spark.createDataFrame([(*m, "user", "t") for m in made], "tree long, node long, parent long, score double, role string, text string")
+    want = {}
+    for tree in {m[0] for m in made}:
+        up = {n: (p, s or 0.0) for t, n, p, s in made if t == tree}
+        leaves = []
+        for leaf in set(up) - {p for p, _ in up.values()}:
+            path, at = [], leaf
+            while at in up:
+                path.append(at)
+                at = up[at][0]
+            leaves.append((-sum(up[n][1] for n in path), leaf, path[::-1]))
+        for rank, (_, leaf, path) in enumerate(sorted(leaves)[:3], 1):
+            want[tree, rank] = (leaf, path)
+    got = defaultdict(list)
+    for r in sorted(chat.paths(nodes, 3).collect(), key=lambda r: r.pos):
+        got[r.tree, r["rank"]].append((r.leaf, r.node))
+    assert {k: (v[0][0], [n for _, n in v]) for k, v in got.items()} == want
+    formatted = chat.format_paths(nodes, 3).collect()
+    assert {(r.tree, r["rank"]): len(chat.read_turns(r.formatted)) for r in formatted} == {k: len(p) for k, (_, p) in want.items()}
+
+
 def test_linear_conversations(spark):
     schema = "conv_id long, turn long, role string, text string"
     made = [(1, 0, "user", "a"), (1, 1, "assistant", None), (1, 1, "assistant", None), (1, None, None, "z"), (None, 0, "user", "q"), (2, 5, "assistant", "r"), (2, 3, "user", "</s>")]

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import ship, written
 
 #: Escapes in the order in which they are put in.
 ESCAPES = [
@@ -109,7 +109,7 @@ def paths(nodes: DataFrame, per_tree: int = 1, unique: bool = False) -> DataFram
     while True:
         now = jumps[-1]
         open_now = now.filter("up is not null")
-        if open_now.isEmpty() or len(jumps) > 40:
+        if open_now.isEmpty():
             break
         far = now.select(F.col("t").alias("t2"), F.col("node").alias("mid"), F.col("up").alias("up2"), F.col("score").alias("score2"), F.col("n").alias("n2"))
         doubled = open_now.join(far, (F.col("t") == F.col("t2")) & (F.col("up") == F.col("mid"))).select(
@@ -151,6 +151,7 @@ def format_paths(nodes: DataFrame, per_tree: int = 1, unique: bool = False) -> D
     user, assistant and system is written out.  An empty table gives an empty
     result.  One conversation is one value, so it is what a task must hold.
     """
+    ship(nodes.sparkSession)
     nodes = written(nodes, "nodes")
     turns = (nodes if unique else nodes.dropDuplicates(["tree", "node"])).select(
         F.col("tree").alias("tree2"), F.col("node").alias("node2"), F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text")

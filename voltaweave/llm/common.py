@@ -15,7 +15,10 @@ from pyspark.sql import functions as F
 
 
 def ship(spark: SparkSession) -> None:
-    """Send this package to the executors if their Python would not find it by itself."""
+    """Send this package to the executors if their Python would not find it by itself.
+
+    Every operator that runs Python functions calls this first.
+    """
     package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
     root = os.path.dirname(package)
     known = {os.path.realpath(p) for p in (os.getcwd(), *os.environ.get("PYTHONPATH", "").split(os.pathsep)) if p}
@@ -30,12 +33,14 @@ def ship(spark: SparkSession) -> None:
 def shared_dir(spark: SparkSession) -> str:
     """The folder for intermediate tables: the cluster's checkpoint folder.
 
-    Only where the session names none (tests, a laptop) a temporary folder of
-    this machine is made and set.
+    Only where the session names none and runs in one process (tests, a laptop)
+    a temporary folder of this machine is made and set; a cluster must name one.
     """
     sc = spark.sparkContext
     found = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not found:
+        if sc.master != "local" and not sc.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         found = tempfile.mkdtemp(prefix="voltaweave-")
         sc.setCheckpointDir(found)
         found = sc.getCheckpointDir()
@@ -50,7 +55,17 @@ def written(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark).rstrip('/')}/tables/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    table._written_to = path
+    return table
+
+
+def forget(*tables: DataFrame) -> None:
+    """Delete tables of :func:`written` that no plan will read again."""
+    for t in tables:
+        context = t.sparkSession.sparkContext
+        path = context._jvm.org.apache.hadoop.fs.Path(t._written_to)
+        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def text_or_empty(name: str = "text") -> Column:

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import fresh, written
+from .common import fresh, ship, written
 
 FINGERPRINTS_PER_BLOCK = 32_768
 SLOT_BITS = 12
@@ -71,6 +71,7 @@ def merge_blocks(block: int, parts: list[tuple[bytes, bytes, bytes, bytes]], blo
 
 def repeated_fingerprints(fps: DataFrame, rows: int) -> DataFrame:
     """The values of the long column ``fp`` that occur more than once, as (fp, n)."""
+    ship(fps.sparkSession)
     block_bits = max(3, min(24, (rows // FINGERPRINTS_PER_BLOCK).bit_length()))
     names = ["block", "slots", "runs", "remainders", "counts"]
 

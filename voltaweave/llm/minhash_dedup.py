@@ -1,8 +1,8 @@
 """Near-duplicate documents by b-bit MinHash.
 
 Documents are sketched, banded, confirmed on full shingle sets and joined into
-components by :mod:`neardup`, with forty bands of five minima dealt from 128:
-two documents at the threshold miss all bands about twice in 100,000.
+components by :mod:`neardup`, with forty bands of five minima, each read by one
+band: two documents at the threshold miss all bands about twice in 100,000.
 """
 
 from __future__ import annotations

@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import sketch
-from .common import blocked, text_chunks, written
+from .common import blocked, ship, text_chunks, written
 
 #: Members confirmed against one hub in one group, and the side of a block.
 CHUNK, BLOCK = 64, 128
@@ -51,18 +51,16 @@ MEMBER = np.dtype([("key", "<u8"), ("id", "<i8"), ("n", "<u4")])
 class Plan:
     """How texts are sketched.
 
-    ``short``: texts of fewer than ``width`` words have one shingle, not none.
     ``margin``: how far an estimate may fall short (over four deviations).
     """
 
     width: int = 5
     percent: int = 75
-    perms: int = 128
+    perms: int = 208
     bands: int = 40
     rows: int = 5
     bits: int = 4
     margin: float = 0.18
-    short: bool = True
 
     @property
     def words(self) -> list[str]:
@@ -76,7 +74,7 @@ def sketches(rows: DataFrame, plan: Plan) -> DataFrame:
 
     def run(batches):
         for batch, texts in text_chunks(batches, "text"):
-            sets = sketch.shingle_sets(texts, plan.width, plan.short)
+            sets = sketch.shingle_sets(texts, plan.width)
             n = np.array([len(s) for s in sets], np.int64)
             full = n > 0
             some = [s for s in sets if len(s)]
@@ -180,7 +178,7 @@ def confirmed(pairs: DataFrame, texts: DataFrame, plan: Plan) -> DataFrame:
 
     def judge(pdf: pd.DataFrame) -> pd.DataFrame:
         hub, chunk, ids = (pdf[c].to_numpy() for c in ("hub", "chunk", "id"))
-        sets = sketch.shingle_sets([x or "" for x in pdf["text"]], plan.width, plan.short)
+        sets = sketch.shingle_sets([x or "" for x in pdf["text"]], plan.width)
         order = np.lexsort((ids != hub, chunk, hub))  # each chunk's head first
         cuts = np.flatnonzero(np.diff(hub[order]) | np.diff(chunk[order])) + 1
         us, vs = [], []
@@ -249,22 +247,22 @@ def compared_in_blocks(mixed: DataFrame, sets: DataFrame, texts: DataFrame, plan
 
     def judge(pdf: pd.DataFrame) -> pd.DataFrame:
         x, y = pdf[pdf["side"] == 0].reset_index(drop=True), pdf[pdf["side"] == 1].reset_index(drop=True)
-        sx, sy = (sketch.shingle_sets([t or "" for t in p["text"]], plan.width, plan.short) for p in (x, y))
+        sx, sy = (sketch.shingle_sets([t or "" for t in p["text"]], plan.width) for p in (x, y))
         good = [(x["id"][i], y["id"][j]) for i, j in zip(*likely_pairs(x, y, plan), strict=True) if similar(sx[i], sy[j], plan.percent)]
         return pd.DataFrame(good, columns=["u", "v"]).astype(np.int64)
 
     return with_text.groupBy(*keys).applyInPandas(judge, "u long, v long").distinct()
 
 
-def clusters(rows: DataFrame, plan: Plan, repeated: bool = False) -> tuple[DataFrame, DataFrame]:
+def clusters(rows: DataFrame, plan: Plan) -> tuple[DataFrame, DataFrame]:
     """(sketches, roots) of the rows of (id long, text).
 
     ``roots`` has (id, lo, hi, root) for each id and set that is not empty; root
     is the smallest id of its component.  Rows that repeat an id share one.
-    ``repeated``: rows often repeat id and text, and are made distinct first.
     """
+    ship(rows.sparkSession)
     made = sketches(rows, plan)
-    made = written(made.distinct() if repeated else made, "sketches")
+    made = written(made, "sketches")
     known = made.filter("n_shingles > 0 and id is not null")
     first = known.groupBy("lo", "hi").agg(F.min("id").alias("first"))
     # distinct before the join, so that nothing above it keeps a large group of equal sets together

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_chunks
+from .common import ship, text_chunks
 
 #: Control characters that str.split() takes for white space and the tokenizer doesn't.
 ODD_SPACE = re.compile("[\x1c-\x1f]")
@@ -138,6 +138,8 @@ def pack(
     if longest < 1 or longest & (longest - 1):
         raise ValueError("longest must be a power of two")
 
+    ship(docs.sparkSession)
+
     def run(batches):
         encoder, end = WordEncoder(tokenizer_path), np.asarray([end_id], "<u4").tobytes()
         for batch, texts in text_chunks(batches, "text"):
@@ -172,3 +174,12 @@ def pack(
         F.monotonically_increasing_id().alias("sequence_id"),
         F.lit(0).cast("long").alias("offset"),
     )
+
+
+def write_buckets(pieces: DataFrame, path: str) -> None:
+    """Write the pieces of :func:`pack` so that each folder ``bucket=b`` has the sequences of one length, 2**b.
+
+    A reader draws its batches from one folder at a time, so all sequences of a
+    batch are equally long.
+    """
+    pieces.write.partitionBy("bucket").parquet(path)

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import fresh, row_digest, text_chunks, written
+from .common import fresh, row_digest, ship, text_chunks, written
 
 #: Most labelled rows that the target model is fitted on.
 SAMPLE = 20_000
@@ -223,6 +223,7 @@ def resample(
 
 def rated(docs: DataFrame, labels: DataFrame, k: int | None, seed: int, id_col: str, text_col: str) -> DataFrame:
     """The result of :func:`resample` with each row's digest, row."""
+    ship(docs.sparkSession)
     ratios, cut_at = models(docs, labels, id_col, text_col)
     rows = docs.select(F.col(id_col).alias("doc_id"), row_digest(id_col, text_col).alias("row"), F.col(text_col).alias("text"))
     tie = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(2**62)))

@@ -7,7 +7,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import forget, written
 
 _FOLD, _MIX1, _MIX2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
@@ -38,11 +38,10 @@ def folded(words: np.ndarray, width: int) -> np.ndarray:
     return mixed(out)
 
 
-def shingle_sets(texts: list[str], width: int, short: bool = True) -> list[np.ndarray]:
+def shingle_sets(texts: list[str], width: int) -> list[np.ndarray]:
     """Each text's sorted distinct hashes of ``width`` words in a row.
 
-    A text of fewer words, but not none, has the one shingle of all its words,
-    or none if not ``short``.
+    A text of fewer words, but not none, has the one shingle of all its words.
     """
     words, sizes = word_hashes(texts)
     starts = np.cumsum(sizes) - sizes
@@ -51,7 +50,7 @@ def shingle_sets(texts: list[str], width: int, short: bool = True) -> list[np.nd
     for a, n in zip(starts, sizes, strict=True):
         if n >= width:
             out.append(np.unique(every[a : a + n - width + 1]))
-        elif n and short:
+        elif n:
             one = np.array([n], np.uint64)
             for w in words[a : a + n]:
                 one = mixed(one * _FOLD + w)
@@ -158,7 +157,8 @@ def components(edges: DataFrame) -> DataFrame:
             .select(F.col("v").alias("u"), F.col("least").alias("v"))
             .unionByName(low.select("u", F.col("least").alias("v")))
         )
-        now = written(small.filter("u <> v").distinct(), "edges")
+        old, now = now, written(small.filter("u <> v").distinct(), "edges")
+        forget(old, least)
         after = state(now)
         if after == before:
             break

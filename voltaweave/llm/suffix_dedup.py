@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import blocked, keyed, written
+from .common import blocked, keyed, ship, written
 from .sketch import mixed
 
 #: Bytes that are hashed at a time; longer documents are cut, with an overlap that loses no string.
@@ -195,6 +195,7 @@ def repeats(docs: DataFrame, length: int = 100, id_col: str = "doc_id", text_col
     """
     if not 2 <= length <= 100_000 or not length < piece < 1 << 21:
         raise ValueError("a string has 2 to 100,000 bytes, a piece more, and less than 2**21")
+    ship(docs.sparkSession)
     rows = keyed(docs, id_col, text_col)
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = 1 << max(3, min(20, (size // BYTES_PER_BLOCK).bit_length()))

@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_chunks, written
+from .common import ship, text_chunks, written
 
 #: Most labelled rows that the lexicon is fitted on.
 SAMPLE = 20_000
@@ -353,6 +353,7 @@ def score(
     any is.  An empty table gives an empty result; texts are read whole.
     """
     spark = docs.sparkSession
+    ship(spark)
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     counts = np.zeros(1 << 20, np.int64)
     grams = count_four_grams(rows.select("text")).toArrow()  # at most 2**20 rows
