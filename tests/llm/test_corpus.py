@@ -245,6 +245,23 @@ def test_minhash_components(docs, odd, empty):
     assert minhash_dedup.classify(empty).count() == 0
 
 
+def test_near_duplicates_go_by_row(spark, odd, empty):
+    """Of one id only the texts that are near copies go; null ids take part."""
+    near = edited(BASE, 1)
+    other = words(80)
+    made = [(0, BASE), (1, near), (1, other), (1, other), (None, other), (2, None), (2, ""), (3, None)]
+    df = spark.createDataFrame([(*m, 1) for m in made], "doc_id long, text string, root long")
+    got = minhash_dedup.deduplicate(df)
+    assert got.columns == df.columns
+    assert sorted(((r.doc_id, r.text) for r in got.collect()), key=str) == sorted([(0, BASE), (None, other), (2, None), (2, ""), (3, None)], key=str)
+    left = minhash_dedup.deduplicate(odd).collect()
+    # the null id comes first: no other text near its one stays
+    assert [r.doc_id for r in left if shingles(r.text) and 100 * len(shingles(r.text) & shingles(BASE)) >= 75 * len(shingles(r.text) | shingles(BASE))] == [None]
+    assert minhash_dedup.deduplicate(empty).count() == 0
+    text_ids = spark.createDataFrame([("a", BASE), ("b", near), ("c", None)], "doc_id string, text string")
+    assert sorted(r.doc_id for r in minhash_dedup.deduplicate(text_ids).collect()) == ["a", "c"]
+
+
 @pytest.mark.parametrize("many", [1 << 16, 10])
 def test_chains_of_near_copies(spark, monkeypatch, many):
     """A chain links what no star would; small blocks and joins agree with brute force."""

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import neardup
-from .common import fresh, written
+from .common import fresh, keyed, row_digest, written
 
 PLAN = neardup.Plan()
 
@@ -23,8 +23,9 @@ def classify(docs: DataFrame, plan: neardup.Plan = PLAN, id_col: str = "doc_id",
     shingle sets.  Null and empty texts and texts without words have an empty
     set and stay alone.  Rows that repeat an id are one document and share its
     component; equal texts are linked.  Rows with a null id take no part: their
-    component is null and they are kept.  Texts of any length are read whole.
-    An empty table gives an empty result.
+    component is null and they are kept.  Ids are cast to long, so text ids
+    must be numbers.  Texts of any length are read whole.  An empty table gives
+    an empty result.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     made, roots = neardup.clusters(rows, plan)
@@ -42,7 +43,20 @@ def classify(docs: DataFrame, plan: neardup.Plan = PLAN, id_col: str = "doc_id",
 
 
 def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with the smallest id of each component, all columns as they were; its repeated rows all stay."""
-    gone_id = fresh(docs, "gone_id")
-    gone = classify(docs, id_col=id_col, text_col=text_col).filter("not kept").select(F.col("doc_id").alias(gone_id)).distinct()
-    return docs.join(written(gone, "near-duplicates"), F.col(id_col).cast("long") == F.col(gone_id), "left_anti")
+    """``docs`` with one row of each component, all columns as they were.
+
+    Rows are told apart by id and text: of a component the row with the
+    smallest id stays (null before all; of one id, the smallest digest of the
+    text), and rows that repeat both stay or go together.  Null and empty texts
+    and texts without words all stay.  An empty table gives an empty result.
+    """
+    rows = keyed(docs, id_col, text_col)
+    odd = "doc_id" in rows.columns
+    texts = rows.select(F.col("key").alias("id"), "text")
+    _, roots = neardup.clusters(texts.dropDuplicates(["id"]) if odd else texts, PLAN)
+    gone = written(roots.filter("id <> root").select("id").distinct(), "near-duplicates")
+    gone_row = fresh(docs, "gone_row")
+    if not odd:
+        return docs.join(gone.withColumnRenamed("id", gone_row), F.col(id_col).cast("long") == F.col(gone_row), "left_anti")
+    lost = rows.join(gone, F.col("key") == F.col("id"), "left_semi").select(row_digest("doc_id", "text").alias(gone_row)).distinct()
+    return docs.join(written(lost, "near-duplicate-rows"), row_digest(id_col, text_col) == F.col(gone_row), "left_anti")
