@@ -68,6 +68,15 @@ def forget(*tables: DataFrame) -> None:
         path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
 
 
+#: Up to so many ids or digests (8 or 16 bytes each) are broadcast; more are joined by shuffle.
+BROADCAST_ROWS = 2_000_000
+
+
+def sized(ids: DataFrame) -> DataFrame:
+    """The written table ``ids``, to be broadcast if it is counted to have few enough rows."""
+    return F.broadcast(ids) if ids.count() <= BROADCAST_ROWS else ids
+
+
 def text_or_empty(name: str = "text") -> Column:
     return F.coalesce(F.col(name), F.lit(""))
 

@@ -17,14 +17,12 @@ import string
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import fresh, row_digest, written
+from .common import fresh, row_digest, sized, written
 
 #: Between words: all of ASCII but digits and letters.
 GAP = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 #: Up to so many shingles of items (16 bytes each) are broadcast; more are joined by shuffle.
 BROADCAST_SHINGLES = 1_000_000
-#: Up to so many digests of rows (16 bytes each) are broadcast to pick out their texts; more are joined by shuffle.
-BROADCAST_ROWS = 1_000_000
 
 
 def words_of(text: Column) -> Column:
@@ -153,7 +151,7 @@ def classified(docs: DataFrame, benchmark: DataFrame, width: int, id_col: str, t
     # only the texts that have a candidate travel
     ids = written(asked.select("row").distinct(), "candidate-rows")
     texts = docs.select(row.alias("row"), F.col(text_col).alias("text"))
-    texts = texts.join(F.broadcast(ids) if ids.count() <= BROADCAST_ROWS else ids, "row", "left_semi").dropDuplicates(["row"])
+    texts = texts.join(sized(ids), "row", "left_semi").dropDuplicates(["row"])
     candidates = asked.groupBy("row").agg(F.collect_list(F.struct("start", "length", "window")).alias("asked"))
     there = lambda c: F.struct(c["start"].alias("start"), c["length"].alias("length"), c["window"].alias("window"), F.slice(F.col("words"), c["start"] + 1, c["length"]).alias("said"))
     inside = lambda c: c["start"] + c["length"] <= F.size("words")
@@ -192,4 +190,4 @@ def clean(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
     bad_row = fresh(docs, "bad_row")
     found = classified(docs, benchmark, 10, id_col, text_col, "item_id", "text").filter("contaminated")
     bad = written(found.select(F.col("row").alias(bad_row)).distinct(), "contaminated")
-    return docs.join(bad, row_digest(id_col, text_col) == F.col(bad_row), "left_anti")
+    return docs.join(sized(bad), row_digest(id_col, text_col) == F.col(bad_row), "left_anti")

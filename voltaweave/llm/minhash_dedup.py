@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import neardup
-from .common import fresh, keyed, row_digest, written
+from .common import fresh, keyed, row_digest, sized, written
 
 PLAN = neardup.Plan()
 
@@ -57,6 +57,6 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     gone = written(roots.filter("id <> root").select("id").distinct(), "near-duplicates")
     gone_row = fresh(docs, "gone_row")
     if not odd:
-        return docs.join(gone.withColumnRenamed("id", gone_row), F.col(id_col).cast("long") == F.col(gone_row), "left_anti")
+        return docs.join(sized(gone).withColumnRenamed("id", gone_row), F.col(id_col).cast("long") == F.col(gone_row), "left_anti")
     lost = rows.join(gone, F.col("key") == F.col("id"), "left_semi").select(row_digest("doc_id", "text").alias(gone_row)).distinct()
-    return docs.join(written(lost, "near-duplicate-rows"), row_digest(id_col, text_col) == F.col(gone_row), "left_anti")
+    return docs.join(sized(written(lost, "near-duplicate-rows")), row_digest(id_col, text_col) == F.col(gone_row), "left_anti")

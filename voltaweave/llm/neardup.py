@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import sketch
-from .common import blocked, ship, text_chunks, written
+from .common import blocked, ship, sized, text_chunks, written
 
 #: Members confirmed against one hub in one group, and the side of a block.
 CHUNK, BLOCK = 64, 128
@@ -41,8 +41,6 @@ LOT = 500
 MANY_PAIRS = 1 << 16
 #: Band keys for each block of keys.
 KEYS_PER_BLOCK = 500_000
-#: Up to so many ids (8 bytes each) are broadcast to pick out their texts; more are joined by shuffle.
-BROADCAST_IDS = 2_000_000
 
 MEMBER = np.dtype([("key", "<u8"), ("id", "<i8"), ("n", "<u4")])
 
@@ -150,9 +148,7 @@ def live_members(sets: DataFrame, plan: Plan, blocks: int) -> DataFrame:
 
 def picked(texts: DataFrame, ids: DataFrame) -> DataFrame:
     """The distinct rows of ``texts`` (id, text) whose id is among the written, distinct ``ids``."""
-    if ids.count() <= BROADCAST_IDS:
-        ids = F.broadcast(ids)
-    return texts.join(ids, "id", "left_semi").distinct()
+    return texts.join(sized(ids), "id", "left_semi").distinct()
 
 
 def similar(a: np.ndarray, b: np.ndarray, percent: int) -> bool:

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import fresh, row_digest, ship, text_chunks, written
+from .common import fresh, row_digest, ship, sized, text_chunks, written
 
 #: Most labelled rows that the target model is fitted on.
 SAMPLE = 20_000
@@ -246,4 +246,4 @@ def select(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     """
     gone_row = fresh(docs, "gone_row")
     gone = rated(docs, labels, None, 42, id_col, text_col).filter("not kept").select(F.col("row").alias(gone_row)).distinct()
-    return docs.join(written(gone, "rejected"), row_digest(id_col, text_col) == F.col(gone_row), "left_anti")
+    return docs.join(sized(written(gone, "rejected")), row_digest(id_col, text_col) == F.col(gone_row), "left_anti")
