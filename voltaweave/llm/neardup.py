@@ -272,7 +272,8 @@ def clusters(rows: DataFrame, plan: Plan) -> tuple[DataFrame, DataFrame]:
 
     blocks = 1 << max(3, min(22, (sets.count() * plan.bands // KEYS_PER_BLOCK).bit_length()))
     members = written(live_members(sets, plan, blocks), "members")
-    hubs = members.groupBy("key").agg(F.min("id").alias("hub"))
+    # written, so that the joins with members can split a hot key
+    hubs = written(members.groupBy("key").agg(F.min("id").alias("hub")), "bucket-hubs")
     stars = members.join(hubs, "key").filter("id <> hub").select("id", "hub").distinct()
     signed = sets.select("id", "n_shingles", *plan.words)
     pairs = (
@@ -293,7 +294,7 @@ def clusters(rows: DataFrame, plan: Plan) -> tuple[DataFrame, DataFrame]:
         .filter("labels > 1")
         .select("key", F.col("most.label").alias("main"))
     )
-    mixed = written(labelled.join(split, "key").select("key", "id", "label", "main"), "mixed-buckets")
+    mixed = written(labelled.join(written(split, "split-buckets"), "key").select("key", "id", "label", "main"), "mixed-buckets")
     around = written(mixed.select("main", "id", "label").distinct(), "around")
     outside = F.count_if(F.col("label") != F.col("main"))
     many = around.groupBy("main").agg(outside.alias("x"), F.count(F.lit(1)).alias("y")).filter(F.col("x") * F.col("y") > MANY_PAIRS)
