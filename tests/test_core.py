@@ -126,6 +126,29 @@ def test_match_cascade(spark):
     assert got == {"A 220": 1.0, "B (old) 132": 2.0, "C (ALIAS) 66": 4.0, "E (REE)": 5.0, "none": None}
 
 
+def test_the_first_place_of_a_normal_form_wins(spark):
+    places = spark.createDataFrame([("B (y) 132", 1.0, 1.0, 0), ("B (a) 132", 2.0, 2.0, 1)], "name string, lat double, lon double, place_idx long")
+    keys = spark.createDataFrame([("B 132",), ("B (a) 132",)], "key string")
+    assert {r.key: r.lat for r in grid.match_places(keys, places).collect()} == {"B 132": 1.0, "B (a) 132": 2.0}
+
+
+def test_fuzzy_links(spark):
+    left = spark.createDataFrame([("LA SERNA 66",), ("GAROA",), ("Lousame 220 kV",), ("Nowhere 66",), (None,)], "name string")
+    right = spark.createDataFrame([("SERNA 220",), ("SERNA 66",), ("GAROÑA 220",), ("LOUSAME 220",), ("LOUSAMO 66",)], "place string")
+    got = {r.name: (r.place, r.distance) for r in keyed.fuzzy_link(left, right, "name", "place").collect()}
+    assert got == {"LA SERNA 66": ("SERNA 66", 0), "GAROA": ("GAROÑA 220", 1), "Lousame 220 kV": ("LOUSAME 220", 0), "Nowhere 66": (None, None), None: (None, None)}
+
+
+def test_published_lists(spark, monitor):
+    import json
+
+    shown = [json.loads("{" + r.value + "}") for r in grid.snapshot_entries(grid.snapshot(monitor)).collect()]
+    record = next(x["ALFA 66"] for x in shown if "ALFA 66" in x)
+    assert len(record) == 17 and record[0] == "ALFA 66" and record[4] == 66.0 and record[8] is None and record[10] == "iDE"
+    rows = {k: v for r in grid.history_entries(grid.history(monitor)).collect() for k, v in json.loads("{" + r.value + "}").items()}
+    assert [len(x) for x in rows["ALFA 66"]] == [13, 13] and rows["ALFA 66"][0][:2] == ["2025-12", 4.0]
+
+
 def test_headers(spark):
     def sheet(name, *rows):
         return [("w", name, 0, i, list(r)) for i, r in rows]
@@ -253,9 +276,9 @@ def test_text_sources(spark, tmp_path):
     with pytest.raises(ValueError):
         files.read_registry(spark, str(tmp_path), {"ide_capacidad.csv": "iDE"}, strict=True)
     mark = "<Placemark><name> {} </name><Point><coordinates>{}</coordinates></Point></Placemark>"
-    kml = '<?xml version="1.0"?><kml xmlns="http://www.opengis.net/kml/2.2"><Document><Folder>' + "".join(mark.format(*x) for x in [("A 220", "-3.12345678,40.5,0"), ("A 220", "-4,41"), ("B", "7")]) + "</Folder></Document></kml>"
+    kml = '<?xml version="1.0"?><kml xmlns="http://www.opengis.net/kml/2.2"><Document><Folder>' + "".join(mark.format(*x) for x in [("A 220", "-3.12345678,40.5,0"), ("A 220", "-4,41"), ("B", "7"), ("C", "66d,1")]) + "</Folder></Document></kml>"
     (tmp_path / "x.kml").write_text(kml)
-    assert [tuple(r) for r in files.read_placemarks(spark, str(tmp_path / "x.kml")).collect()] == [("A 220", 41.0, -4.0)]
+    assert [tuple(r) for r in files.read_placemarks(spark, str(tmp_path / "x.kml")).collect()] == [("A 220", 41.0, -4.0, 0), ("C", 1.0, None, 3)]
     (tmp_path / "x.js").write_text('// made\nconst ROWS = [{"a": 1, "b": NaN}, {"a": 2, "b": 2.5}];\nwindow.TOP = {"n": 3};\n')
     assert [tuple(r) for r in files.read_script_json(spark, str(tmp_path / "x.js"), "ROWS", "array<struct<a: int, b: double>>").collect()] == [(1, None), (2, 2.5)]
     assert files.read_script_json(spark, str(tmp_path / "x.js"), "window.TOP", "struct<n: int>").first().n == 3

@@ -7,6 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions import text
+
 
 def _packed(df: DataFrame, keys: Sequence[str], order: Sequence[Column], last: bool) -> DataFrame:
     """One row for each key by an aggregate, which combines before the shuffle."""
@@ -60,19 +62,20 @@ def masked_fill_upsert(
     return merged.select(*keys, *(F.coalesce(F.col("_base")[f], F.col(f"_fill_{f}")).alias(f) for f in fields), F.col("_first")[source].alias(source))
 
 
-def priority_match(left: DataFrame, right: DataFrame, left_key: str, right_key: str, candidates: Sequence[tuple[Column, bool]], normal) -> DataFrame:
+def priority_match(left: DataFrame, right: DataFrame, left_key: str, right_key: str, candidates: Sequence[tuple[Column, bool]], normal, order: str | None = None) -> DataFrame:
     """Join each row of ``left`` to the row of ``right`` that its best candidate key finds.
 
     ``candidates`` are columns of ``left`` with whether they are tried in the
     form that ``normal`` gives, best first; null candidates are skipped.
     ``right_key`` is unique; where several of its keys have one normal form,
-    the least ``right_key`` stands for them.  All candidates are matched by one
-    equi-join.
+    the first by ``order`` (a column of ``right``) stands for them, or the least
+    key if none is given.  All candidates are matched by one equi-join.
     """
     rest = [c for c in right.columns if c != right_key]
-    exact = right.select(F.lit(False).alias("_loose"), F.col(right_key).alias("_match"), F.struct(right_key, *rest).alias("_found"))
-    loose = right.select(F.lit(True).alias("_loose"), normal(F.col(right_key)).alias("_match"), F.struct(right_key, *rest).alias("_found"))
-    loose = loose.groupBy("_loose", "_match").agg(F.min("_found").alias("_found"))
+    first = F.struct(*([order] if order else []), right_key)
+    exact = right.select(F.lit(False).alias("_loose"), F.col(right_key).alias("_match"), F.struct(right_key, *rest).alias("_found"), first.alias("_first"))
+    loose = right.select(F.lit(True).alias("_loose"), normal(F.col(right_key)).alias("_match"), F.struct(right_key, *rest).alias("_found"), first.alias("_first"))
+    loose = loose.groupBy("_loose", "_match").agg(F.min_by("_found", "_first").alias("_found"), F.min("_first").alias("_first"))
     tries = F.array(*(F.struct(F.lit(i).alias("rank"), F.lit(is_loose).alias("loose"), (normal(c) if is_loose else c).alias("match")) for i, (c, is_loose) in enumerate(candidates)))
     tried = left.select(left_key, F.explode(tries).alias("t")).select(left_key, F.col("t.rank").alias("_rank"), F.col("t.loose").alias("_loose"), F.col("t.match").alias("_match"))
     best = (
@@ -84,6 +87,31 @@ def priority_match(left: DataFrame, right: DataFrame, left_key: str, right_key:
     return left.join(best, F.col(left_key) == F.col("_left"), "left").drop("_left")
 
 
+def fuzzy_link(left: DataFrame, right: DataFrame, left_key: str, right_key: str, most: int = 2) -> DataFrame:
+    """Link each name of ``left`` to the nearest of ``right``, by what is left of both without articles, accents and tension.
+
+    Candidates share the first three letters of that form, so none is compared
+    with all others.  Of those at an edit distance of at most ``most`` the
+    nearest wins, then the nearest tension, then the least name; null if there is
+    none.  Adds ``right_key`` and ``distance``.
+    """
+
+    def named(df: DataFrame, key: str, p: str) -> DataFrame:
+        name = text.stripped(F.regexp_replace(text.accents_folded(text.normal_key(F.col(key))), r"[.,'_-]+", " "))
+        base = F.regexp_replace(text.without_tension(name), r"^(?:(?:LA|EL|LAS|LOS|SET|SE|ST|SUBESTACION) )+", "")
+        made = df.select(F.col(key).alias(f"{p}_key"), base.alias(f"{p}_base"), text.tension_of_end(F.regexp_replace(name, r"\s*KV$", "")).alias(f"{p}_kv"))
+        return made.withColumn(f"{p}_base", text.without_tension(F.regexp_replace(f"{p}_base", r"\s*KV$", ""))).distinct()
+
+    a, b = named(left, left_key, "_l"), named(right, right_key, "_r")
+    # distinct forms are compared, however many rows have them
+    forms = a.select("_l_base").distinct().join(b.select("_r_base").distinct(), F.substring("_l_base", 1, 3) == F.substring("_r_base", 1, 3))
+    forms = forms.withColumn("distance", F.levenshtein("_l_base", "_r_base")).filter(F.col("distance") <= most)
+    off = F.coalesce(F.abs(F.col("_l_kv") - F.col("_r_kv")), F.lit(2**30))
+    best = a.join(forms, "_l_base").join(b, "_r_base").groupBy("_l_key").agg(F.min(F.struct("distance", off.alias("off"), "_r_key")).alias("_best"))
+    best = best.select("_l_key", F.col("_best._r_key").alias(right_key), "_best.distance")
+    return left.join(best, F.col(left_key) == F.col("_l_key"), "left").drop("_l_key")
+
+
 def top_per_group(df: DataFrame, keys: Sequence[str], n: int, *order: Column, rank: str = "rank") -> DataFrame:
     """The first ``n`` rows of each group in ``order``, which must be total, numbered from 1."""
     return df.withColumn(rank, F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).filter(F.col(rank) <= n)

@@ -34,6 +34,12 @@ def top_list(df: DataFrame, key: str, n: int, size: str, tie: str, fields: list[
     return totals.join(nested, key)
 
 
+def ranked(df: DataFrame, by: str, tie: str, n: int | None = None) -> DataFrame:
+    """Rows from the highest ``by`` on, ties by ``tie``; with ``n`` only so many, as a report shows them."""
+    rows = df.orderBy(F.desc_nulls_last(by), F.asc(tie))
+    return rows.limit(n) if n else rows
+
+
 def outcome_words(state: Column) -> Column:
     """The noun for each adverse state."""
     return F.when(state == "denegado", "Denegación").when(state == "desistido", "Desistimiento").when(state == "archivado", "Archivo")

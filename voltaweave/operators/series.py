@@ -50,6 +50,25 @@ def change_scores(df: DataFrame, keys: Sequence[str], order: str, value: str) ->
     return changed.withColumn("z", F.when(spread > 0, (F.col("change") - mean) / spread))
 
 
+def last_anomaly(df: DataFrame, keys: Sequence[str], order: str, value: str, label: str, least_z: float = 1.5, least_change: float = 30.0) -> DataFrame:
+    """For each series whose last change stands out, keys and ``anomaly``: size, direction, label, z-score, date and both values.
+
+    A change stands out by its z-score's size and its own.
+    """
+    rows = change_scores(df.withColumn("prev", F.lag(value).over(_along(keys, order))), keys, order, value)
+    last = last_of_series(rows, keys, order).filter((F.abs("z") >= least_z) & (F.abs("change") >= least_change))
+    made = F.struct(
+        F.abs("change").alias("mw"),
+        F.when(F.col("change") > 0, "sube").otherwise("baja").alias("dir"),
+        F.lit(label).alias("lbl"),
+        F.round(F.abs("z"), 1).alias("z"),
+        F.col(order).alias("fecha"),
+        "prev",
+        F.col(value).alias("curr"),
+    )
+    return last.select(*keys, made.alias("anomaly"))
+
+
 def last_of_series(df: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
     """The last row of each series."""
     rest = [c for c in df.columns if c not in keys]

@@ -257,15 +257,19 @@ def backfill_semi_join(spark, sf_dir):
 
 
 @query("""
-    WITH a AS (SELECT s_suppkey, 'Nátiòn ' || s_nationkey AS raw FROM supplier),
-    b AS (SELECT s_suppkey, raw, upper(replace(replace(raw, 'á', 'a'), 'ò', 'o')) AS folded FROM a)
-    SELECT s_suppkey, n_name, CAST(levenshtein(folded, n_name) AS INTEGER) AS distance FROM b JOIN nation ON replace(folded, ' ', '_') = n_name
+    WITH l AS (SELECT s_suppkey, CASE s_suppkey % 3 WHEN 1 THEN 'NATON ' ELSE 'NATION ' END || CAST(s_nationkey % 10 AS VARCHAR) AS base, CASE WHEN s_suppkey % 2 = 0 THEN 66 ELSE 220 END AS kv FROM supplier),
+    r AS (SELECT 'NATION ' || CAST(n_nationkey % 10 AS VARCHAR) || 'X' || CASE WHEN n_nationkey < 10 THEN ' 66' WHEN n_nationkey < 20 THEN ' 132' ELSE ' 220' END AS place,
+                 'NATION ' || CAST(n_nationkey % 10 AS VARCHAR) || 'X' AS base, CASE WHEN n_nationkey < 10 THEN 66 WHEN n_nationkey < 20 THEN 132 ELSE 220 END AS kv FROM nation)
+    SELECT s_suppkey, place, CAST(levenshtein(l.base, r.base) AS INTEGER) AS distance FROM l JOIN r ON levenshtein(l.base, r.base) <= 2
+    QUALIFY row_number() OVER (PARTITION BY s_suppkey ORDER BY levenshtein(l.base, r.base), abs(l.kv - r.kv), place) = 1
 """)
 def fuzzy_name_link(spark, sf_dir):
-    raw = F.concat(F.lit("Nátiòn "), F.col("s_nationkey").cast("string"))
-    left = table(spark, sf_dir, "supplier").select("s_suppkey", text.accents_folded(raw).alias("folded"))
-    nation = table(spark, sf_dir, "nation").select("n_name")
-    return left.join(nation, F.replace("folded", F.lit(" "), F.lit("_")) == F.col("n_name")).select("s_suppkey", "n_name", F.levenshtein("folded", "n_name").alias("distance"))
+    n = F.col("s_nationkey") % 10
+    raw = F.concat(F.when(F.col("s_suppkey") % 3 == 1, "La Náton ").when(F.col("s_suppkey") % 3 == 2, "SET Natiòn ").otherwise("nation-"), n.cast("string"), F.when(F.col("s_suppkey") % 2 == 0, " 66 kV").otherwise(" 220"))
+    kv = F.when(F.col("n_nationkey") < 10, " 66").when(F.col("n_nationkey") < 20, " 132").otherwise(" 220")
+    places = table(spark, sf_dir, "nation").select(F.concat(F.lit("NATION "), (F.col("n_nationkey") % 10).cast("string"), F.lit("X"), kv).alias("place"))
+    left = table(spark, sf_dir, "supplier").select("s_suppkey", raw.alias("name"))
+    return keyed.fuzzy_link(left, places, "name", "place").select("s_suppkey", "place", "distance")
 
 
 @query("""
@@ -530,3 +534,7 @@ def coord_inverse(spark, sf_dir):
 def json_extract(spark, sf_dir):
     events = table(spark, sf_dir, "events").select("event_type", F.from_json("props", "k int")["k"].alias("k"))
     return events.groupBy("event_type", "k").agg(F.count(F.lit(1)).alias("n"))
+
+
+# ---- the grid's own plans, on bronze cells made of the driver's tables
+from . import grid_queries  # noqa: E402, F401

@@ -10,13 +10,14 @@ from pyspark.sql import functions as F
 from ..functions import geo, numeric, text
 from ..operators import headers, keyed, series
 from ..sources import bronze as sheets
+from ..sources import files
 
-#: The 17 places of a snapshot record, in sink order.
+#: The 17 places of a snapshot record, in sink order.
 SNAPSHOT = [
     "display_name", "short_name", "province", "municipality", "kv", "cap", "cap_before", "cap_taken", "accept", "accept_before",
     "owner", "grid", "change", "lat", "lon", "demand", "demand_change",
 ]
-#: The 12 measures of a history record, in sink order after the date.
+#: The 12 measures of a history record, in sink order after the date.
 MEASURES = [
     "cap_gen", "cap_gen_ocup", "cap_gen_tram", "cap_dem", "cap_dem_ocup", "cap_dem_tram", "acept",
     "cap_gen_disp", "cap_gen_neta", "cap_dem_disp", "cap_dem_neta", "cap_gen_RdD",
@@ -76,7 +77,8 @@ def match_places(keys: DataFrame, places: DataFrame) -> DataFrame:
     alias = F.when(parts(2) != "", F.concat(F.trim(parts(2)), F.lit(" "), F.trim(parts(3))))
     base = F.when(F.col("key").endswith(" (REE)"), F.regexp_replace("key", r" \(REE\)$", ""))
     tries = [(c, loose) for c in (F.col("key"), alias, base) for loose in (False, True)]
-    return keyed.priority_match(keys, places, "key", "name", tries, text.normal_key).drop("name", "match_rank")
+    order = "place_idx" if "place_idx" in places.columns else None
+    return keyed.priority_match(keys, places, "key", "name", tries, text.normal_key, order).drop("name", "match_rank", "place_idx")
 
 
 def transmission_snapshot(bronze: DataFrame, places: DataFrame | None = None) -> DataFrame:
@@ -186,7 +188,7 @@ def maps_history(bronze: DataFrame) -> DataFrame:
 def csv_history(registry: DataFrame) -> DataFrame:
     """History records of the operators' files; ``acept`` subtracts pending as the files' readers do, from what is already net."""
     day = F.try_to_timestamp(F.trim("fecha"))
-    kv = F.nanvl(F.trim("tension_kv").try_cast("double"), F.lit(None).cast("double"))
+    kv = numeric.to_float(F.col("tension_kv"))
     name = text.stripped(F.col("subestacion"))
     rows = registry.filter(day.isNotNull() & F.col("subestacion").isNotNull() & (name != "") & (F.upper(name) != "NAN"))
     value = lambda c: numeric.to_float(F.col(c))
@@ -215,6 +217,18 @@ def history_series(records: DataFrame) -> DataFrame:
     return series.collected(records, ["key"], "month", MEASURES)
 
 
+def snapshot_entries(rows: DataFrame) -> DataFrame:
+    """The snapshot as members ``"key":[17 values]`` of its published object."""
+    return files.list_entries(files.without_nan(rows), "key", files.as_list([F.col(c) for c in SNAPSHOT]))
+
+
+def history_entries(records: DataFrame) -> DataFrame:
+    """The history as members ``"key":[[month, 12 numbers], ...]`` of its published object, months in order."""
+    record = lambda x: files.as_list([x["month"], *(x[m] for m in MEASURES)])
+    months = F.array_join(F.transform("series", record), ",")
+    return files.list_entries(history_series(files.without_nan(records)), "key", F.concat(F.lit("["), months, F.lit("]")))
+
+
 # ---- tidy table
 
 

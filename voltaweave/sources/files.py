@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.numeric import to_float
 from ..operators.keyed import last_wins
 
 #: The operators' files and their owners, in order of precedence.
@@ -21,6 +22,7 @@ CSV_SOURCES = {
     "ufd_capacidad.csv": "UFD",
     "viesgo_capacidad.csv": "Viesgo",
 }
+#: The columns of the operators' files.
 CSV_COLUMNS = [
     "fecha", "distribuidora", "provincia", "municipio", "subestacion", "tension_kv",
     "disponible_bruta", "disponible_neta", "cap_gen_ocup", "cap_gen_tram", "ccaa",
@@ -57,15 +59,20 @@ def read_registry(spark: SparkSession, folder: str, sources: Mapping[str, str] =
 
 
 def read_placemarks(spark: SparkSession, path: str) -> DataFrame:
-    """(name, lat, lon) of KML placemarks with at least two coordinates; of one name the last wins."""
+    """(name, lat, lon, place_idx) of KML placemarks with at least two coordinates.
+
+    Of one name the last one's coordinates win; ``place_idx`` is where the name
+    comes first in the file.
+    """
     schema = "name string, Point struct<coordinates: string>, LineString struct<coordinates: string>"
     marks = spark.read.format("xml").option("rowTag", "Placemark").schema(schema).load(path)
     parts = F.split(F.trim(F.coalesce("Point.coordinates", "LineString.coordinates")), ",")
     named = marks.select(F.regexp_replace("name", r"^\s+|\s+$", "").alias("name"), parts.alias("parts"), F.monotonically_increasing_id().alias("at"))
     places = named.filter("name is not null and size(parts) >= 2").select(
-        "name", F.round(F.get("parts", F.lit(1)).try_cast("double"), 6).alias("lat"), F.round(F.get("parts", F.lit(0)).try_cast("double"), 6).alias("lon"), "at"
+        "name", F.round(to_float(F.get("parts", F.lit(1))), 6).alias("lat"), F.round(to_float(F.get("parts", F.lit(0))), 6).alias("lon"), "at"
     )
-    return last_wins(places, ["name"], F.col("at")).drop("at")
+    first = places.groupBy("name").agg(F.min("at").alias("place_idx"))
+    return last_wins(places, ["name"], F.col("at")).drop("at").join(first, "name")
 
 
 def read_script_json(spark: SparkSession, path: str, name: str, schema: T.DataType | str) -> DataFrame:
@@ -95,6 +102,18 @@ def json_entries(df: DataFrame, key: str, value: Column) -> DataFrame:
     return df.select(F.concat(quoted, F.lit(":"), F.to_json(value, {"ignoreNullFields": "false"})).alias("value"))
 
 
+def as_list(values: Sequence[Column]) -> Column:
+    """A JSON array of values of several kinds, by place; missing ones as null."""
+    parts = [F.regexp_replace(F.to_json(F.array(v)), r"^\[|\]$", "") for v in values]
+    return F.concat(F.lit("["), F.concat_ws(",", *parts), F.lit("]"))
+
+
+def list_entries(df: DataFrame, key: str, json: Column) -> DataFrame:
+    """As :func:`json_entries`, for a value that is JSON text already."""
+    quoted = F.expr(f"substring(to_json(array({key})), 2, length(to_json(array({key}))) - 2)")
+    return df.select(F.concat(quoted, F.lit(":"), json).alias("value"))
+
+
 def write_entries(entries: DataFrame, path: str) -> None:
     """Entries as text files, one member of the object a line; no task holds them all."""
     entries.write.mode("overwrite").text(path)
