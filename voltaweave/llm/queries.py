@@ -26,35 +26,43 @@ def packed(docs: DataFrame) -> DataFrame:
 
 
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's toxicity; learnt from labelled rows that are not held out. Null, empty, repeated and long texts: see :func:`toxicity.score`."""
     held_out = lambda doc_id: F.crc32(doc_id.cast("string").cast("binary")) % 3 == 1
     return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), held_out)
 
 
 def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Host, path, rule and verdict of every page; null urls and those without ``://`` have neither host nor path and get the default."""
     return url_filter.judge(table(spark, sf_dir, "pages"))
 
 
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's log weight, key and whether it is drawn. Null and empty texts weigh 0; see :func:`quality.resample`."""
     return quality.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's pieces; a null or empty text is the one piece of the closing id."""
     return packed(table(spark, sf_dir, "documents"))
 
 
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's words that lie in a window of an item; null and empty texts have none."""
     return decontam.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's group of equal texts; null counts as empty, and empty texts equal each other."""
     return exact_dedup.classify(table(spark, sf_dir, "documents"))
 
 
 def op7_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's component of near-duplicates; texts without words stay alone."""
     return minhash_dedup.classify(table(spark, sf_dir, "documents"))
 
 
 def op8_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation and one of control strings, formatted and read back; null texts and roles are empty."""
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     said = "</s>[INST] ok [/INST]"
     odd = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], rows.schema)
@@ -62,6 +70,7 @@ def op8_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What of every document an earlier one has: passages of over 50 words. Null texts are empty; shorter texts lose nothing."""
     return substring_dedup.repeats(table(spark, sf_dir, "documents")).select(
         "doc_id",
         "n_words",
@@ -74,6 +83,7 @@ def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the 100-byte strings that start earlier; null texts are empty, shorter ones lose nothing."""
     return suffix_dedup.digests(suffix_dedup.repeats(table(spark, sf_dir, "documents")))
 
 
