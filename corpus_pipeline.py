@@ -3,6 +3,14 @@
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; ``run`` writes
 every stage's result as Parquet and reads it again as the next one's documents.
 All stages but the last return the columns of ``documents``.
+
+Rows are told apart by id and text: each stage decides by both, so null and
+repeated ids are as good as any, and rows that repeat both stay or go together
+(but for exact dedup, which leaves one).  Null and empty texts are neutral to
+the first stage, one group of the second, near nothing in the third, clean in
+the fourth and one closing id in the last.  Ties go to the id that the stage
+names.  Empty tables give empty results; texts are read whole; columns that
+``documents`` has besides id and text pass through, whatever their names.
 """
 
 from __future__ import annotations
