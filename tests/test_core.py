@@ -316,11 +316,20 @@ def test_workbooks(spark, tmp_path):
 def test_streaming(spark, tmp_path):
     schema = "k string, t int, v double"
     land, table, mark = (str(tmp_path / x) for x in ("in", "out", "cp"))
-    for n, rows in enumerate([[("a", 1, 1.0), ("b", 1, 2.0)], [("a", 2, 3.0), ("a", 0, 9.0)]]):
+    want = {}
+    batches = [[("a", 1, 1.0), ("b", 1, 2.0)], [("a", 2, 3.0), ("a", 0, 9.0)], [("c", 5, 1.0)], [("b", 1, 4.0), ("a", 1, 8.0)], [("c", 4, 2.0)]]
+    for n, rows in enumerate(batches):
         spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(land)
-        watch.watch(spark, land, schema, watch.upsert_into(table, ["k"], "t"), mark, every=None).awaitTermination()
-        got = sorted(map(tuple, spark.read.parquet(f"{table}/v={n}").select("k", "t", "v").collect()))
-    assert got == [("a", 2, 3.0), ("b", 1, 2.0)]
+        watch.watch(spark, land, schema, watch.upsert_into(table, ["k"], "t", every=2), mark, every=None).awaitTermination()
+        for k, t, v in rows:
+            if k not in want or t >= want[k][1]:
+                want[k] = (k, t, v)
+        got = sorted(map(tuple, watch.upserted(spark, table, n, ["k"], "t", every=2).select("k", "t", "v").collect()))
+        assert got == sorted(want.values())
+    # a batch that comes again changes nothing
+    watch.upsert_into(table, ["k"], "t", every=2)(spark.createDataFrame(batches[3], schema), 3)
+    assert sorted(map(tuple, watch.upserted(spark, table, 4, ["k"], "t", every=2).select("k", "t", "v").collect())) == sorted(want.values())
+    assert sorted(p.name for p in (tmp_path / "out" / "merged").iterdir()) == ["batch=1", "batch=3"]
 
 
 def test_backfill(spark, tmp_path):

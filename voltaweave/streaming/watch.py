@@ -7,6 +7,7 @@ a new name; rewriting a file in place is not noticed.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -29,19 +30,33 @@ def watch(
     return (writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)).start()
 
 
-def upsert_into(path: str, keys: list[str], *order: str) -> Callable[[DataFrame, int], None]:
-    """A publisher that keeps the last record of each key: versions of the table under ``path``, one a batch."""
+def upsert_into(path: str, keys: list[str], *order: str, every: int = 100) -> Callable[[DataFrame, int], None]:
+    """A publisher that keeps the last record of each key under ``path``; :func:`upserted` reads them.
+
+    A batch writes its own records only, and each ``every`` batches all are
+    merged into one table, so a tick costs what arrived.  Everything is written
+    by batch number: one that comes again overwrites what it left.  Of equal
+    ``order`` the later batch wins.
+    """
 
     def publish(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        rows = batch
-        if batch_id:
-            rows = spark.read.parquet(f"{path}/v={batch_id - 1}").unionByName(batch)
-        last_wins(rows, keys, *(F.col(c) for c in order)).write.mode("overwrite").parquet(f"{path}/v={batch_id}")
+        last_wins(batch, keys, *(F.col(c) for c in order)).write.mode("overwrite").parquet(f"{path}/changes/batch={batch_id}")
+        if (batch_id + 1) % every == 0:
+            upserted(batch.sparkSession, path, batch_id, keys, *order, every=every).write.mode("overwrite").parquet(f"{path}/merged/batch={batch_id}")
 
     return publish
 
 
+def upserted(spark: SparkSession, path: str, batch_id: int, keys: list[str], *order: str, every: int = 100) -> DataFrame:
+    """The last record of each key as of batch ``batch_id`` of :func:`upsert_into`: the newest merged table before it and the changes since."""
+    start = batch_id // every * every
+    parts = [(f"{path}/changes/batch={i}", i) for i in range(start, batch_id + 1)]
+    if start:
+        parts.insert(0, (f"{path}/merged/batch={start - 1}", start - 1))
+    rows = [spark.read.parquet(p).withColumn("_batch", F.lit(i)) for p, i in parts]
+    return last_wins(reduce(DataFrame.unionByName, rows), keys, *(F.col(c) for c in order), F.col("_batch")).drop("_batch")
+
+
 def windowed_counts(stream: DataFrame, at: str, width: str, late: str, *by: str) -> DataFrame:
     """Counts in tumbling windows; rows later than ``late`` behind the newest are dropped.
 
