@@ -14,7 +14,7 @@ DIR = "/root/testdata/sf0.001"
 def test_query_is_its_sql(spark, name):
     duckdb = pytest.importorskip("duckdb")
     con = duckdb.connect()
-    for t in ("documents", "benchmark", "conversations"):
+    for t in ("documents", "benchmark", "conversations", "pages", "embeddings"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{DIR}/{t}.parquet')")
     want = con.execute(queries.ORACLE_SQL[name])
     columns = [c[0] for c in want.description]

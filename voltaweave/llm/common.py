@@ -60,21 +60,26 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return table
 
 
+def remove(spark: SparkSession, folder: str) -> None:
+    """Delete a folder wherever Spark reads it."""
+    context = spark.sparkContext
+    path = context._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def forget(*tables: DataFrame) -> None:
     """Delete tables of :func:`written` that no plan will read again."""
     for t in tables:
-        context = t.sparkSession.sparkContext
-        path = context._jvm.org.apache.hadoop.fs.Path(t._written_to)
-        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+        remove(t.sparkSession, t._written_to)
 
 
 #: Up to so many ids or digests (8 or 16 bytes each) are broadcast; more are joined by shuffle.
 BROADCAST_ROWS = 2_000_000
 
 
-def sized(ids: DataFrame) -> DataFrame:
+def sized(ids: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
     """The written table ``ids``, to be broadcast if it is counted to have few enough rows."""
-    return F.broadcast(ids) if ids.count() <= BROADCAST_ROWS else ids
+    return F.broadcast(ids) if ids.count() <= most else ids
 
 
 def text_or_empty(name: str = "text") -> Column:

@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontam, exact_dedup, minhash_dedup, packing, quality, substring_dedup, suffix_dedup, toxicity, url_filter
+from . import (
+    archive, chat, decontam, exact_dedup, minhash_dedup, negatives, packing, quality, repair, substring_dedup, suffix_dedup, toxicity, url_filter,
+)
 from .common import ship
 
 END_ID = 2
@@ -87,6 +89,24 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.digests(suffix_dedup.repeats(table(spark, sf_dir, "documents")))
 
 
+def op11_arc_to_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page as ARC, converted to WARC and read back; null payloads are empty, and empty ones equal each other."""
+    return archive.convert(table(spark, sf_dir, "pages")).drop("record_id")
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation after faults dealt out by a hash: its gaps and faults, and the cheapest repair. Null roles and texts are one space."""
+    rows = table(spark, sf_dir, "conversations")
+    return repair.repair(repair.damaged(rows))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every anchor and positive; rows without a label or a whole finite vector take no part."""
+    rows = table(spark, sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine(rows.withColumn("label", moved), F.col("vec_id") % 100 == 0)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -100,6 +120,9 @@ QUERIES = {
         op8_chat,
         op9_substring_dedup,
         op10_suffix_dedup,
+        op11_arc_to_warc,
+        op12_conversation_repair,
+        op13_hard_negatives,
     )
 }
 
@@ -152,4 +175,70 @@ ORACLE_SQL = {
                         ELSE 18 + length({_ESCAPED.replace('text', 'role')}) END) AS BIGINT) AS formatted_chars
         FROM row GROUP BY 1
     """,
+    "op11_arc_to_warc": """
+        WITH page AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+        hex AS (SELECT *, sha1(html) AS h, min(page_id) OVER (PARTITION BY html) AS first FROM page)
+        SELECT page_id, CAST(strlen(html) AS BIGINT) AS payload_bytes,
+               array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+                   CAST(((CAST('0x' || substr(h, 5 * (i // 4) + 1, 5) AS BIGINT) >> (15 - 5 * (i % 4))) & 31) + 1 AS BIGINT), 1)), '') AS payload_digest,
+               CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+               CASE WHEN page_id <> first THEN first END AS refers_to
+        FROM hex
+    """,
+    "op12_conversation_repair": r"""
+        WITH RECURSIVE raw AS (
+            SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, crc AS fault FROM (
+                SELECT *, xor(list_reduce(list_concat([CAST(4294967295 AS BIGINT)], list_transform(range(0, length(k)), lambda i: CAST(ascii(substr(k, i + 1, 1)) AS BIGINT))),
+                                  lambda c, b: list_reduce(list_concat([xor(c, b)], range(0, 8)), lambda v, _: CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END)),
+                              4294967295) % 20 AS crc
+                FROM (SELECT *, coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS k FROM conversations))),
+        hit AS (SELECT conv_id, turn, CASE fault WHEN 4 THEN 'user' ELSE role END AS role,
+                       CASE fault WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+                FROM raw, range(0, CASE fault WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)),
+        row AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, md5(text)) AS i, rtrim(text, E' \t\n\x0b\x0c\r') AS t FROM hit),
+        told AS (SELECT *, CASE WHEN t = '' THEN 'b' WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'd'
+                                WHEN right(t, 1) NOT IN ('.', '!', '?') THEN 't' ELSE '' END AS f, left(role, 1) AS r FROM row),
+        pair AS (SELECT *, lag(r) OVER (PARTITION BY conv_id ORDER BY i) || r AS p FROM told),
+        step AS (
+            SELECT conv_id, CAST(0 AS BIGINT) AS i, {'c': 0, 'a': '', 't': CAST([] AS VARCHAR[])} AS n,
+                   {'c': 99999999, 'a': '', 't': CAST([] AS VARCHAR[])} AS s, {'c': 99999999, 'a': '', 't': CAST([] AS VARCHAR[])} AS u,
+                   {'c': 99999999, 'a': '', 't': CAST([] AS VARCHAR[])} AS a
+            FROM (SELECT DISTINCT conv_id FROM conversations)
+            UNION ALL
+            SELECT conv_id, i, {'c': n.c + 2, 'a': n.a || 'D', 't': n.t},
+                   list_sort([{'c': s.c + 2, 'a': s.a || 'D', 't': s.t}, {'c': CASE WHEN live AND r = 's' THEN n.c + cut ELSE 99999999 END, 'a': n.a || 'K', 't': list_append(n.t, line)}])[1],
+                   list_sort([{'c': u2.c + 2, 'a': u2.a || 'D', 't': u2.t},
+                              {'c': CASE WHEN live AND r = 'u' THEN before.c + cut ELSE 99999999 END, 'a': before.a || 'K', 't': list_append(before.t, line)},
+                              {'c': CASE WHEN live THEN before.c + cut + 1 ELSE 99999999 END, 'a': before.a || 'R', 't': list_append(before.t, 'user:' || text)}])[1],
+                   list_sort([{'c': a2.c + 2, 'a': a2.a || 'D', 't': a2.t},
+                              {'c': CASE WHEN live AND r = 'a' THEN u2.c + cut ELSE 99999999 END, 'a': u2.a || 'K', 't': list_append(u2.t, line)},
+                              {'c': CASE WHEN live THEN u2.c + cut + 1 ELSE 99999999 END, 'a': u2.a || 'R', 't': list_append(u2.t, 'assistant:' || text)}])[1]
+            FROM (SELECT *, list_sort([a, {'c': u2.c + 5, 'a': u2.a || 'I', 't': list_append(u2.t, 'assistant:')}])[1] AS a2
+                  FROM (SELECT *, list_sort([u, {'c': before.c + 5, 'a': before.a || 'I', 't': list_append(before.t, 'user:')}])[1] AS u2
+                        FROM (SELECT step.conv_id, told.i, n, s, u, a, list_sort([n, s, a])[1] AS before, r, f NOT IN ('b', 'd') AS live,
+                                     CASE f WHEN 't' THEN 5 ELSE 0 END AS cut, role || ':' || text AS line, text
+                              FROM step JOIN told ON step.conv_id IS NOT DISTINCT FROM told.conv_id AND told.i = step.i + 1)))),
+        last AS (SELECT conv_id, arg_max(n, i) AS n, arg_max(s, i) AS s, arg_max(u, i) AS u, arg_max(a, i) AS a FROM step GROUP BY 1),
+        done AS (SELECT conv_id, list_sort([n, a, {'c': u.c + 5, 'a': u.a || 'I', 't': list_append(u.t, 'assistant:')},
+                                            {'c': s.c + 10, 'a': s.a || 'II', 't': list_append(list_append(s.t, 'user:'), 'assistant:')}])[1] AS best FROM last),
+        stats AS (SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (WHERE f = 'b') AS blank,
+                         count(*) FILTER (WHERE f = 'd') AS duplicate, count(*) FILTER (WHERE f = 't') AS truncated,
+                         count(*) FILTER (WHERE p NOT IN ('su', 'ua', 'au')) AS illegal FROM pair GROUP BY 1)
+        SELECT done.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+               coalesce(illegal, 0) AS illegal, CAST(best.c AS BIGINT) AS cost, best.a AS audit, sha256(coalesce(array_to_string(best.t, chr(10)), '')) AS repaired_sha256
+        FROM done LEFT JOIN stats ON done.conv_id IS NOT DISTINCT FROM stats.conv_id
+    """,
+    "op13_hard_negatives": """
+        WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                          list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS e
+                   FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        met AS (SELECT a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS same, CAST(list_dot_product(a.e, b.e) AS BIGINT) AS score
+                FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0),
+        pos AS (SELECT anchor_id, id AS positive_id, score AS positive_score FROM met WHERE same
+                QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5),
+        neg AS (SELECT pos.*, met.id AS negative_id, met.score AS negative_score,
+                       CAST(row_number() OVER (PARTITION BY pos.anchor_id, positive_id ORDER BY met.score DESC, met.id) AS INTEGER) AS rank
+                FROM pos JOIN met ON met.anchor_id = pos.anchor_id AND NOT met.same AND 30 * positive_score <= 100 * met.score AND 100 * met.score <= 90 * positive_score)
+        SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM neg WHERE rank <= 10
+    """,
 }
