@@ -9,8 +9,8 @@ can't serve.  Positives are found in stripes by label and norm, negatives in
 stripes by norm alone.
 
 The anchors, which are the stated queries, meet all rows in blocks: a task holds one
-block of anchors and one stripe.  Each yields its best rows, and a ranked window
-over these, limited before the shuffle, is the answer.
+block of anchors and one stripe, and carries a block's best rows on to its next
+stripe.  A ranked window over all tasks' best rows is the answer.
 
 Components become whole numbers, floor(256 * x), and scores are exact inner products:
 in doubles where these can't round, else in integers of any size (scores beyond a
@@ -37,7 +37,7 @@ from .common import forget, ship, written
 BUCKET, STRIPE, BLOCK = 1024, 8192, 4096
 #: Components that a stripe or block holds at most, whatever its rows (but one row at least).
 COMPONENTS = 1 << 21
-#: Up to so many blocks of anchors are broadcast; more are joined by shuffle.
+#: Up to so many blocks of anchors are broadcast, and held by a task; more are joined by shuffle.
 BROADCAST_BLOCKS = 8
 #: Over so many parts the stripes' norms are dealt when blocks look for those that can serve them.
 SHARDS = 64
@@ -133,8 +133,19 @@ def _first(key: np.ndarray, scores: np.ndarray, ids: np.ndarray, rows: np.ndarra
     return order[place < k]
 
 
-def searched(a: _Block, b: _Block, low: np.ndarray, high: np.ndarray, same: bool, k: int) -> tuple[np.ndarray, ...]:
-    """(anchor * windows + window, score, place in ``b``) of the first ``k`` rows of ``b`` in each window of each anchor.
+Found = tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]
+
+
+def _kth(found: Found, n: int, windows: int, k: int, kind: type) -> np.ndarray:
+    """The k-th score of each window, which later rows have to reach, or minus infinity."""
+    kth = np.full((n, windows), -np.inf, kind)
+    full = np.flatnonzero(np.bincount(found[0], minlength=n * windows) >= k)
+    kth.reshape(-1)[full] = found[1][np.searchsorted(found[0], full, side="right") - 1]  # found is sorted by key
+    return kth
+
+
+def searched(a: _Block, b: _Block, low: np.ndarray, high: np.ndarray, same: bool, k: int, found: Found | None = None) -> Found:
+    """(anchor * windows + window, score, id, row) of the first ``k`` rows in each window of each anchor: of ``b`` and those ``found`` before.
 
     Row i of ``low`` and ``high`` has the windows of anchor i; ``same`` tells whether
     its own label is wanted or any other.
@@ -146,10 +157,10 @@ def searched(a: _Block, b: _Block, low: np.ndarray, high: np.ndarray, same: bool
     if kind is object:
         u, v = (np.array([[int(c) for c in r] for r in x], object).reshape(x.shape) for x in (u, v))
     dead = low > high
-    kth = np.full((n, windows), -np.inf, kind)
-    found = (np.zeros(0, np.int64), np.zeros(0, kind), np.zeros(0, np.int64))
+    found = found or (np.zeros(0, np.int64), np.zeros(0, kind), np.zeros(0, np.int64), np.zeros(0, np.int64))
     for start in range(0, len(b.ids), BUCKET):
         end = min(start + BUCKET, len(b.ids))
+        kth = _kth(found, n, windows, k, object if found[1].dtype == object else kind)
         need = np.where(dead, np.inf, np.maximum(low, kth)).min(1)
         active = np.flatnonzero((a.norms * b.norms[start] * (1 + 1e-9) + 1e-6 >= need).astype(bool))
         if not len(active):
@@ -165,13 +176,10 @@ def searched(a: _Block, b: _Block, low: np.ndarray, high: np.ndarray, same: bool
             s, i, j = scores[i, j], some[i], j + start
             for w in range(windows):
                 inside = ~dead[i, w] & (s >= low[i, w]) & (s <= high[i, w]) & (s >= kth[i, w])
-                parts.append((i[inside] * windows + w, s[inside], j[inside]))
-        key, score, place = (np.concatenate(x) for x in zip(*parts, strict=True))
-        keep = _first(key, score, b.ids[place], b.rows[place], k)
-        found = key[keep], score[keep], place[keep]
-        full = np.flatnonzero(np.bincount(found[0], minlength=n * windows) >= k)
-        last = np.searchsorted(found[0], full, side="right") - 1  # found is sorted by key
-        kth.reshape(-1)[full] = found[1][last]
+                parts.append((i[inside] * windows + w, s[inside], b.ids[j[inside]], b.rows[j[inside]]))
+        key, score, ids, rows = (np.concatenate(x) for x in zip(*parts, strict=True))
+        keep = _first(key, score, ids, rows, k)
+        found = key[keep], score[keep], ids[keep], rows[keep]
     return found
 
 
@@ -195,20 +203,30 @@ BEST = "anchor_row long, window int, row long, id long, score long"
 
 
 def _best(met: DataFrame, same: bool, k: int, least: int, most: int) -> DataFrame:
+    """The first ``k`` rows of each window.  A task carries what it found of a block from stripe to stripe, for some blocks at once."""
+
+    def told(block: _Block, windows: int, found: Found) -> pa.RecordBatch:
+        key, score, ids, rows = found
+        score = np.array([max(-NO_ID, min(NO_ID, int(s))) for s in score], np.int64)
+        columns = [block.rows[key // windows], (key % windows).astype(np.int32), rows, ids, score]
+        return pa.RecordBatch.from_arrays([pa.array(x) for x in columns], names=[x.split()[0] for x in BEST.split(", ")])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, tuple] = {}  # block -> its anchors, windows and what was found
         for batch in batches:
             for i in range(batch.num_rows):
                 row = {name: c[i].as_py() for name, c in zip(batch.schema.names, batch.columns, strict=True)}
-                a, b = _Block(row, "a_"), _Block(row, "b_")
-                if same:
-                    low, high = np.full((len(a.ids), 1), -np.inf), np.full((len(a.ids), 1), np.inf)
+                if row["block"] in held:
+                    a, low, high, found = held.pop(row["block"])
                 else:
-                    low, high = _limits(a.scores, least, most)
-                key, score, place = searched(a, b, low, high, same, k)
-                score = np.array([max(-NO_ID, min(NO_ID, int(s))) for s in score], np.int64)
-                anchor, window = key // low.shape[1], key % low.shape[1]
-                columns = [a.rows[anchor], window.astype(np.int32), b.rows[place], b.ids[place], score]
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], names=[x.split()[0] for x in BEST.split(", ")])
+                    a, found = _Block(row, "a_"), None
+                    low, high = (np.full((len(a.ids), 1), x * np.inf) for x in (-1, 1)) if same else _limits(a.scores, least, most)
+                    while len(held) >= BROADCAST_BLOCKS:
+                        first, before, _, best = held.pop(next(iter(held)))
+                        yield told(first, before.shape[1], best)
+                held[row["block"]] = a, low, high, searched(a, _Block(row, "b_"), low, high, same, k, found)
+        for a, low, _, found in held.values():
+            yield told(a, low.shape[1], found)
 
     by = Window.partitionBy("anchor_row", "window").orderBy(F.desc("score"), "id", "row")
     return met.mapInArrow(run, BEST).withColumn("rank", F.row_number().over(by)).filter(F.col("rank") <= k)
