@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text
+from . import similar
 
 
 def _packed(df: DataFrame, keys: Sequence[str], order: Sequence[Column], last: bool) -> DataFrame:
@@ -87,28 +88,35 @@ def priority_match(left: DataFrame, right: DataFrame, left_key: str, right_key:
     return left.join(best, F.col(left_key) == F.col("_left"), "left").drop("_left")
 
 
-def fuzzy_link(left: DataFrame, right: DataFrame, left_key: str, right_key: str, most: int = 2) -> DataFrame:
-    """Link each name of ``left`` to the nearest of ``right``, by what is left of both without articles, accents and tension.
+def fuzzy_candidates(left: DataFrame, right: DataFrame, left_key: str, right_key: str, most: int = 2, best: int = 3) -> DataFrame:
+    """(left_key, right_key, distance, rank) of the ``best`` nearest names of ``right`` for each name of ``left``, by what is left of both without articles, accents and tension.
 
-    Candidates share the first three letters of that form, so none is compared
-    with all others.  Of those at an edit distance of at most ``most`` the
-    nearest wins, then the nearest tension, then the least name; null if there is
-    none.  Adds ``right_key`` and ``distance``.
+    All names at an edit distance of at most ``most`` are candidates (see
+    ``operators.similar``); the nearest comes first, then the nearest tension, then
+    the least name.  A repeated name counts once; null names are empty ones.
     """
 
     def named(df: DataFrame, key: str, p: str) -> DataFrame:
-        name = text.stripped(F.regexp_replace(text.accents_folded(text.normal_key(F.col(key))), r"[.,'_-]+", " "))
-        base = F.regexp_replace(text.without_tension(name), r"^(?:(?:LA|EL|LAS|LOS|SET|SE|ST|SUBESTACION) )+", "")
-        made = df.select(F.col(key).alias(f"{p}_key"), base.alias(f"{p}_base"), text.tension_of_end(F.regexp_replace(name, r"\s*KV$", "")).alias(f"{p}_kv"))
-        return made.withColumn(f"{p}_base", text.without_tension(F.regexp_replace(f"{p}_base", r"\s*KV$", ""))).distinct()
+        articles = r"^(?:(?:LA|EL|LAS|LOS|SET|SE|ST|SUBESTACION) )+"
+        once = df.select(F.col(key).alias(f"{p}_key")).distinct()
+        # step by step: a column that the next step names several times is computed once
+        one = once.withColumn("_name", text.stripped(F.regexp_replace(text.accents_folded(text.normal_key(F.col(f"{p}_key"))), r"[.,'_-]+", " ")))
+        two = one.withColumn("_base", F.regexp_replace(text.without_tension(F.col("_name")), articles, ""))
+        three = two.withColumn("_base", F.regexp_replace("_base", r"\s*KV$", "")).withColumn("_name", F.regexp_replace("_name", r"\s*KV$", ""))
+        return three.select(f"{p}_key", text.without_tension(F.col("_base")).alias(f"{p}_base"), text.tension_of_end(F.col("_name")).alias(f"{p}_kv"))
 
     a, b = named(left, left_key, "_l"), named(right, right_key, "_r")
     # distinct forms are compared, however many rows have them
-    forms = a.select("_l_base").distinct().join(b.select("_r_base").distinct(), F.substring("_l_base", 1, 3) == F.substring("_r_base", 1, 3))
-    forms = forms.withColumn("distance", F.levenshtein("_l_base", "_r_base")).filter(F.col("distance") <= most)
+    forms = similar.within_distance(a, b, "_l_base", "_r_base", most)
     off = F.coalesce(F.abs(F.col("_l_kv") - F.col("_r_kv")), F.lit(2**30))
-    best = a.join(forms, "_l_base").join(b, "_r_base").groupBy("_l_key").agg(F.min(F.struct("distance", off.alias("off"), "_r_key")).alias("_best"))
-    best = best.select("_l_key", F.col("_best._r_key").alias(right_key), "_best.distance")
+    met = a.join(forms, "_l_base").join(b, "_r_base").select("_l_key", "distance", off.alias("off"), "_r_key")
+    ranked = top_per_group(met, ["_l_key"], best, F.col("distance"), F.col("off"), F.col("_r_key"))
+    return ranked.select(F.col("_l_key").alias(left_key), F.col("_r_key").alias(right_key), "distance", "rank")
+
+
+def fuzzy_link(left: DataFrame, right: DataFrame, left_key: str, right_key: str, most: int = 2) -> DataFrame:
+    """Rows of ``left`` with the first of :func:`fuzzy_candidates` and its ``distance``; null if there is none."""
+    best = fuzzy_candidates(left, right, left_key, right_key, most, best=1).select(F.col(left_key).alias("_l_key"), right_key, "distance")
     return left.join(best, F.col(left_key) == F.col("_l_key"), "left").drop("_l_key")
 
 

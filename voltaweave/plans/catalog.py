@@ -272,6 +272,28 @@ def fuzzy_name_link(spark, sf_dir):
     return keyed.fuzzy_link(left, places, "name", "place").select("s_suppkey", "place", "distance")
 
 
+_TYPO = """
+    SELECT p_partkey, CASE p_partkey % 6 WHEN 0 THEN substr(p_name, 2) WHEN 1 THEN concat(substr(p_name, 2, 1), substr(p_name, 1, 1), substr(p_name, 3))
+           WHEN 2 THEN concat(substr(p_name, 1, 4), 'q', substr(p_name, 6)) WHEN 3 THEN concat('xx', p_name) WHEN 4 THEN substr(p_name, 1, length(p_name) - 2)
+           ELSE concat(substr(p_name, 1, 1 + p_partkey % 5), 'zz', substr(p_name, 3 + p_partkey % 5)) END AS name
+    FROM part
+"""
+
+
+@query(f"""
+    WITH n AS ({_TYPO}), l AS (SELECT DISTINCT upper(name) AS l FROM n), r AS (SELECT DISTINCT upper(p_name) AS r FROM part),
+    m AS (SELECT l, r, CAST(levenshtein(l, r) AS INTEGER) AS distance FROM l JOIN r ON abs(length(l) - length(r)) <= 2 AND levenshtein(l, r) <= 2)
+    SELECT p_partkey, name, r AS place, distance, CAST(row_number() OVER (PARTITION BY p_partkey ORDER BY distance, r) AS INTEGER) AS rank
+    FROM n JOIN m ON upper(name) = l QUALIFY row_number() OVER (PARTITION BY p_partkey ORDER BY distance, r) <= 3
+""")
+def fuzzy_typo_links(spark, sf_dir):
+    """Part names with letters lost, swapped, added and replaced, at the start too, and the three nearest true names of each."""
+    part = table(spark, sf_dir, "part")
+    names = spark.sql(_TYPO.replace("FROM part", "FROM {part}"), part=part)
+    found = keyed.fuzzy_candidates(names, part.select(F.upper("p_name").alias("place")).distinct(), "name", "place")
+    return names.join(found, "name").select("p_partkey", "name", "place", "distance", "rank")
+
+
 @query("""
     SELECT 'customer' AS source, c_name AS name, c_nationkey AS nation FROM customer UNION ALL SELECT 'supplier', s_name, s_nationkey FROM supplier
 """)
@@ -537,4 +559,4 @@ def json_extract(spark, sf_dir):
 
 
 # ---- the grid's own plans, on bronze cells made of the driver's tables
-from . import grid_queries  # noqa: E402, F401
+from . import grid_queries, lookup_queries, stream_queries  # noqa: E402, F401

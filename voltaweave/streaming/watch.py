@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.keyed import last_wins
+from .. import scratch
 
 
 def watch(
@@ -36,13 +37,18 @@ def upsert_into(path: str, keys: list[str], *order: str, every: int = 100) -> Ca
     A batch writes its own records only, and each ``every`` batches all are
     merged into one table, so a tick costs what arrived.  Everything is written
     by batch number: one that comes again overwrites what it left.  Of equal
-    ``order`` the later batch wins.
+    ``order`` the later batch wins.  Without ``order`` a key comes once a batch.
+    What a merge has taken in goes one merge later, when no batch can ask for it again.
     """
 
     def publish(batch: DataFrame, batch_id: int) -> None:
-        last_wins(batch, keys, *(F.col(c) for c in order)).write.mode("overwrite").parquet(f"{path}/changes/batch={batch_id}")
+        spark = batch.sparkSession
+        (last_wins(batch, keys, *(F.col(c) for c in order)) if order else batch).write.mode("overwrite").parquet(f"{path}/changes/batch={batch_id}")
         if (batch_id + 1) % every == 0:
-            upserted(batch.sparkSession, path, batch_id, keys, *order, every=every).write.mode("overwrite").parquet(f"{path}/merged/batch={batch_id}")
+            upserted(spark, path, batch_id, keys, *order, every=every).write.mode("overwrite").parquet(f"{path}/merged/batch={batch_id}")
+            for spent in range(batch_id - 2 * every + 1, batch_id - every + 1):
+                scratch.remove(spark, f"{path}/changes/batch={spent}")
+            scratch.remove(spark, f"{path}/merged/batch={batch_id - 2 * every}")
 
     return publish
 
