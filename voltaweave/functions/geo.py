@@ -29,24 +29,52 @@ _DELTA = [
 ]
 
 
-def unprojected(x: Column, y: Column, central_meridian: Column) -> tuple[Column, Column]:
-    """(lat, lon) in degrees of easting and northing (northern hemisphere)."""
-    xi, eta = y / (SCALE * _RADIUS), (x - FALSE_EASTING) / (SCALE * _RADIUS)
+def _let(value: Column, then) -> Column:
+    """``then(value)``, with the value computed once however often ``then`` names it."""
+    return F.get(F.transform(F.array(value), then), F.lit(0))
+
+
+def _series(p: Column) -> Column:
+    xi, eta = p["xi"], p["eta"]
     xi1, eta1 = xi, eta
     for j, b in enumerate(_BETA, 1):
         xi1 = xi1 - b * F.sin(2 * j * xi) * F.cosh(2 * j * eta)
         eta1 = eta1 - b * F.cos(2 * j * xi) * F.sinh(2 * j * eta)
-    chi = F.asin(F.sin(xi1) / F.cosh(eta1))
+    return F.struct(xi1.alias("xi"), eta1.alias("eta"))
+
+
+def _latitude(chi: Column) -> Column:
     lat = chi
     for j, d in enumerate(_DELTA, 1):
         lat = lat + d * F.sin(2 * j * chi)
-    return F.degrees(lat), central_meridian + F.degrees(F.atan2(F.sinh(eta1), F.cos(xi1)))
+    return lat
 
 
-def lat_lon(x: Column, y: Column, province: Column) -> tuple[Column, Column]:
-    """(lat, lon) to six places; a null pair for missing input or a place outside the bounds."""
+def unprojected(x: Column, y: Column, central_meridian: Column) -> Column:
+    """A struct of lat and lon in degrees, of easting and northing (northern hemisphere)."""
+
+    def places(q: Column) -> Column:
+        lat = _let(F.asin(F.sin(q["xi"]) / F.cosh(q["eta"])), _latitude)
+        lon = central_meridian + F.degrees(F.atan2(F.sinh(q["eta"]), F.cos(q["xi"])))
+        return F.struct(F.degrees(lat).alias("lat"), lon.alias("lon"))
+
+    ratios = F.struct((y / (SCALE * _RADIUS)).alias("xi"), ((x - FALSE_EASTING) / (SCALE * _RADIUS)).alias("eta"))
+    return _let(ratios, lambda p: _let(_series(p), places))
+
+
+def place(x: Column, y: Column, province: Column) -> Column:
+    """A struct of lat and lon to six places, both null for missing input or a place outside the bounds."""
     meridian = F.when(F.lower(province).isin(*CANARY_PROVINCES), -15.0).otherwise(-3.0)
-    lat, lon = unprojected(x, y, meridian)
     west, east, south, north = BOUNDS
-    good = lon.between(west, east) & lat.between(south, north)
-    return F.when(good, F.round(lat, 6)), F.when(good, F.round(lon, 6))
+
+    def bounded(p: Column) -> Column:
+        good = p["lon"].between(west, east) & p["lat"].between(south, north)
+        return F.struct(F.when(good, F.round(p["lat"], 6)).alias("lat"), F.when(good, F.round(p["lon"], 6)).alias("lon"))
+
+    return _let(unprojected(x, y, meridian), bounded)
+
+
+def lat_lon(x: Column, y: Column, province: Column) -> tuple[Column, Column]:
+    """The two fields of :func:`place`."""
+    found = place(x, y, province)
+    return found["lat"], found["lon"]

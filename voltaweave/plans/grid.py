@@ -48,7 +48,7 @@ def distribution_snapshot(bronze: DataFrame) -> DataFrame:
     rows = _keyed_rows(bronze.filter("sheet = 'DSO Actual' and row_idx >= 6"), at(10), ["sheet"])
     value = lambda i: numeric.to_float_keeping_nan(at(i))
     province = text.stripped(at(3))
-    lat, lon = geo.lat_lon(value(7), value(8), province)
+    rows = rows.withColumn("_place", geo.place(value(7), value(8), province))
     return rows.select(
         "key",
         F.col("key").alias("display_name"),
@@ -64,8 +64,8 @@ def distribution_snapshot(bronze: DataFrame) -> DataFrame:
         text.canonical(text.stripped(at(1))).alias("owner"),
         F.lit("Distribución").alias("grid"),
         numeric.delta(value(11), value(12)).alias("change"),
-        lat.alias("lat"),
-        lon.alias("lon"),
+        F.col("_place.lat").alias("lat"),
+        F.col("_place.lon").alias("lon"),
         value(21).alias("demand"),
         numeric.delta(value(21), value(22)).alias("demand_change"),
     )
