@@ -2,17 +2,21 @@
 
 from __future__ import annotations
 
+import sys
 from functools import reduce
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import scratch
-from ..sources import files
+from ..sources import files, xlsx
 from . import grid
 from .catalog import _coordinate_sql, query, table
 from .grid_queries import _DSO, _REE, _row, _sheet
 
+cloudpickle.register_pickle_by_value(sys.modules[__name__])  # executors need not have this package
+
 
 def _placemarks(spark, sf_dir: str) -> DataFrame:
     """Placemarks of half of the suppliers' nodes in KML files of a thousand: by name, in normal form, one alias for many; some twice, some without a place."""
@@ -140,3 +144,53 @@ def _filled(measure: str) -> str:
 def grid_history_sources(spark, sf_dir):
     """The monthly history of all three sources: monitor before maps before the operators' files, each filling what it may."""
     return grid.history(_monitor_workbook(spark, sf_dir), _maps_workbook(spark, sf_dir), _operator_files(spark, sf_dir))
+
+
+@query("""
+    WITH e AS (SELECT to_json('K' || c_custkey) || ':' || '[' || c_nationkey || ',' || to_json(c_mktsegment) || ']' AS entry FROM customer)
+    SELECT CASE WHEN entry = (SELECT min(entry) FROM e) THEN entry ELSE ',' || entry END AS value FROM e UNION ALL SELECT '{' UNION ALL SELECT '}'
+""")
+def object_parts(spark, sf_dir):
+    """Customers as the lines of one published object, written and read back."""
+    path = scratch.folder(spark, "object")
+    rows = table(spark, sf_dir, "customer").select(F.concat(F.lit("K"), "c_custkey").alias("key"), "c_nationkey", "c_mktsegment")
+    files.write_object(files.list_entries(rows, "key", files.as_list([F.col("c_nationkey"), F.col("c_mktsegment")])), path)
+    return spark.read.text(path)
+
+
+def _books(batches):
+    """A workbook of two sheets from each row of (file, names, balances), the first sheet's texts shared, the second's inline."""
+    import io
+    import zipfile
+
+    import pandas as pd
+
+    main, rel = "http://schemas.openxmlformats.org/spreadsheetml/2006/main", "http://schemas.openxmlformats.org/officeDocument/2006/relationships"
+    for pdf in batches:
+        for file, keys, names, days in pdf.itertuples(index=False):
+            data = io.BytesIO()
+            one = "".join(f'<row r="{k + 6}"><c r="B{k + 6}" t="s"><v>{i}</v></c><c r="D{k + 6}" s="1"><v>{d}</v></c></row>' for i, (k, d) in enumerate(zip(keys, days, strict=True)))
+            two = "".join(f'<row r="{k + 1}"><c r="A{k + 1}" t="inlineStr"><is><t>{n}</t></is></c><c><v>{k}</v></c></row>' for k, n in zip(keys, names, strict=True))
+            with zipfile.ZipFile(data, "w", zipfile.ZIP_DEFLATED) as z:
+                z.writestr("xl/workbook.xml", f'<workbook xmlns="{main}" xmlns:r="{rel}"><sheets><sheet name="DSO {file}" r:id="r1"/><sheet name="REE {file}" r:id="r2"/></sheets></workbook>')
+                z.writestr("xl/_rels/workbook.xml.rels", '<Relationships><Relationship Id="r1" Target="worksheets/a.xml"/><Relationship Id="r2" Target="/xl/worksheets/b.xml"/></Relationships>')
+                z.writestr("xl/styles.xml", f'<styleSheet xmlns="{main}"><cellXfs><xf numFmtId="0"/><xf numFmtId="14"/></cellXfs></styleSheet>')
+                z.writestr("xl/sharedStrings.xml", f'<sst xmlns="{main}">' + "".join(f"<si><t>{n}</t></si>" for n in names) + "</sst>")
+                for name, body in (("a", one), ("b", two)):
+                    z.writestr(f"xl/worksheets/{name}.xml", f'<worksheet xmlns="{main}"><sheetData>{body}</sheetData></worksheet>')
+            yield pd.DataFrame({"book": [data.getvalue()]})
+
+
+@query("""
+    WITH c AS (SELECT c_custkey AS k, c_custkey // 1000 AS file, c_name, 40000 + c_custkey % 5000 AS day FROM customer)
+    SELECT 'DSO ' || file AS sheet, 0 AS sheet_idx, CAST(k + 6 AS INTEGER) AS row_idx, '~|' || c_name || '|~|' || strftime(DATE '1899-12-30' + CAST(day AS INTEGER), '%Y-%m-%d 00:00:00') AS cells FROM c
+    UNION ALL SELECT 'REE ' || file, 1, CAST(k + 1 AS INTEGER), c_name || '|' || k FROM c
+""")
+def workbook_cells(spark, sf_dir):
+    """Customers as workbooks of a thousand rows and two sheets, written as files and read as bronze cells."""
+    c = table(spark, sf_dir, "customer").select(F.floor(F.col("c_custkey") / 1000).alias("file"), F.struct(F.col("c_custkey").alias("k"), F.col("c_name").alias("n"), (F.col("c_custkey") % 5000 + 40000).alias("d")).alias("r"))
+    grouped = c.groupBy("file").agg(F.sort_array(F.collect_list("r")).alias("r")).select("file", "r.k", "r.n", "r.d")
+    path = scratch.folder(spark, "workbooks")
+    grouped.mapInPandas(_books, "book binary").select(F.col("book").cast("string")).write.option("maxRecordsPerFile", 1).text(path)
+    cells = F.array_join("cells", "|", "~")
+    return xlsx.load(spark, path, rows=300).select("sheet", "sheet_idx", "row_idx", cells.alias("cells"))

@@ -119,6 +119,21 @@ def write_entries(entries: DataFrame, path: str) -> None:
     entries.write.mode("overwrite").text(path)
 
 
+def write_object(entries: DataFrame, path: str) -> None:
+    """Entries, whose keys are distinct, as one JSON object over files that follow each other: ``cat path/part-*`` is valid.
+
+    A range partitioning by entry puts the opening brace before all members and the
+    closing one after them; every member but the first begins with a comma.  Spark's
+    commit lets all files appear, or none.  The driver sees the first entry only.
+    """
+    spark = entries.sparkSession
+    first = entries.agg(F.min("value")).first()[0]
+    members = entries.select(F.lit(1).alias("_at"), "value", F.when(F.col("value") == first, F.col("value")).otherwise(F.concat(F.lit(","), "value")).alias("_line"))
+    braces = spark.createDataFrame([(0, None, "{"), (2, None, "}")], members.schema)
+    # few rows may fall into one partition, but never out of order
+    members.unionByName(braces).repartitionByRange("_at", "value").sortWithinPartitions("_at", "value").select("_line").write.mode("overwrite").text(path)
+
+
 def one_object(entries: DataFrame, first: str = "") -> DataFrame:
     """One row with the whole object, in key order: only for results that fit one value."""
     lead = F.lit(f"{first}," if first else "")
