@@ -2,9 +2,10 @@
 
 Two generative models over hashed n-grams are set against each other: the
 target (texts labelled as good) and the raw corpus.  A document's log weight is
-the log ratio of the probabilities that the two give to its n-grams; of a
-document of more than ``REACH`` n-grams it is the mean ratio of so many, since
-otherwise length alone would decide.  Gumbel noise on the log weights and a
+the log ratio of the probabilities that the two give to its n-grams, as if it had
+no more than ``reach`` of them: n-grams of one document are not independent, and
+a model's small bias, added up over a long one, would outweigh all evidence (the
+README has figures).  With ``reach`` None it is the plain log ratio.  Gumbel noise on the log weights and a
 top-k cut draw k documents without replacement with chances in proportion to
 the weights: the noise decides between documents whose weights are within a few
 units of the cut, and practically never for those far from it.
@@ -30,8 +31,8 @@ from .common import fresh, row_digest, ship, sized, text_chunks, written
 SAMPLE = 20_000
 #: Length of the hashed table, a power of two.
 BUCKETS = 1 << 16
-#: Most n-grams that a log weight stands for.
-REACH = 100
+#: By default, how many n-grams a log weight stands for at most.
+REACH = 100.0
 #: Bins of the search for the k-th key, and the rows below which it reads them.
 BINS, FEW = 4096, 20_000
 
@@ -156,7 +157,7 @@ def cut_of_top_k(keys: DataFrame, k: int) -> tuple[float, int] | None:
     return float(last[0]), -int(last[1])
 
 
-def models(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[np.ndarray, float]:
+def models(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", reach: float | None = REACH) -> tuple[np.ndarray, float]:
     """The log ratio of each bucket, and the log weight that best parts the sample's good rows from its bad ones."""
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     known = labels.filter(F.col("doc_id").isNotNull() & F.col("quality").isNotNull())
@@ -167,7 +168,7 @@ def models(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     if not target.sum():
         return np.zeros(BUCKETS), -1.0
     ratios = log_ratios(target, bucket_counts(rows.select("text")))
-    seen = weighed(sample.select("text", "quality"), "text", ratios).select("quality", "log_weight").toArrow()
+    seen = weighed(sample.select("text", "quality"), "text", ratios, reach).select("quality", "log_weight").toArrow()
     return ratios, best_cut(np.asarray(seen["log_weight"]), np.asarray(seen["quality"]) == 1)
 
 
@@ -183,16 +184,17 @@ def best_cut(weights: np.ndarray, good: np.ndarray) -> float:
     return float((w[at] + w[min(at + 1, len(w) - 1)]) / 2)
 
 
-def weighed(rows: DataFrame, text_col: str, ratios: np.ndarray) -> DataFrame:
+def weighed(rows: DataFrame, text_col: str, ratios: np.ndarray, reach: float | None = REACH) -> DataFrame:
     """``rows`` with its text replaced by log_weight and n_grams."""
     table = rows.sparkSession.sparkContext.broadcast(ratios)
     rest = [c for c in rows.columns if c != text_col]
+    most = float("inf") if reach is None else reach
 
     def weigh(batches):
         for batch, texts in text_chunks(batches, text_col):
             buckets, owner = hashed_ngrams(texts)
             n = np.bincount(owner, minlength=len(texts)).astype(np.int64)
-            weight = np.bincount(owner, table.value[buckets], minlength=len(texts)) * np.minimum(1, REACH / np.maximum(n, 1))
+            weight = np.bincount(owner, table.value[buckets], minlength=len(texts)) * np.minimum(1, most / np.maximum(n, 1))
             columns = [batch.column(batch.schema.get_field_index(c)) for c in rest]
             yield pa.RecordBatch.from_arrays([*columns, pa.array(weight), pa.array(n)], names=[*rest, "log_weight", "n_grams"])
 
@@ -207,6 +209,7 @@ def resample(
     seed: int = 42,
     id_col: str = "doc_id",
     text_col: str = "text",
+    reach: float | None = REACH,
 ) -> DataFrame:
     """For each row: doc_id, n_grams, log_weight, sample_key and kept.
 
@@ -218,16 +221,16 @@ def resample(
     several labels has its best.  With no good label at all every weight is 0
     and all rows are kept.  An empty table gives an empty result.
     """
-    return rated(docs, labels, k, seed, id_col, text_col).drop("row")
+    return rated(docs, labels, k, seed, id_col, text_col, reach).drop("row")
 
 
-def rated(docs: DataFrame, labels: DataFrame, k: int | None, seed: int, id_col: str, text_col: str) -> DataFrame:
+def rated(docs: DataFrame, labels: DataFrame, k: int | None, seed: int, id_col: str, text_col: str, reach: float | None = REACH) -> DataFrame:
     """The result of :func:`resample` with each row's digest, row."""
     ship(docs.sparkSession)
-    ratios, cut_at = models(docs, labels, id_col, text_col)
+    ratios, cut_at = models(docs, labels, id_col, text_col, reach)
     rows = docs.select(F.col(id_col).alias("doc_id"), row_digest(id_col, text_col).alias("row"), F.col(text_col).alias("text"))
     tie = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(2**62)))
-    scored = weighed(rows, "text", ratios).withColumn("tie", tie)
+    scored = weighed(rows, "text", ratios, reach).withColumn("tie", tie)
     scored = written(scored.withColumn("key", F.col("log_weight") + gumbel(F.col("tie"), seed)), "log-weights")
     if k is None:
         k = scored.filter(F.col("log_weight") >= cut_at).count()
