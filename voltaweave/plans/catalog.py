@@ -559,4 +559,4 @@ def json_extract(spark, sf_dir):
 
 
 # ---- the grid's own plans, on bronze cells made of the driver's tables
-from . import grid_queries, lookup_queries, source_queries, stream_queries  # noqa: E402, F401
+from . import grid_queries, lookup_queries, outlook_queries, source_queries, stream_queries  # noqa: E402, F401
