@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .. import scratch
 from .keyed import top_per_group
 
 #: Fitted values: weight and cap of each signal; the published weights alone don't give the score.
@@ -40,6 +41,32 @@ def ranked(df: DataFrame, by: str, tie: str, n: int | None = None) -> DataFrame:
     return rows.limit(n) if n else rows
 
 
+def numbered(df: DataFrame, by: str, tie: str, rank: str = "rank") -> DataFrame:
+    """Rows with their place from the highest ``by`` on, ties by ``tie`` (distinct), from 1: no task orders them all.
+
+    Rows are sorted by ranges and written; a row's place is its place in its range and
+    the sizes of the ranges before, of which there are as many as partitions.
+    """
+    spark = df.sparkSession
+    at = fresh_name(df, "_at")
+    inorder = df.repartitionByRange(F.desc_nulls_last(by), F.asc(tie)).sortWithinPartitions(F.desc_nulls_last(by), F.asc(tie))
+    path = scratch.folder(spark, "numbered")
+    inorder.withColumn(at, F.monotonically_increasing_id()).write.parquet(path)
+    rows = spark.read.parquet(path)
+    part = F.shiftright(at, 33)
+    sizes = rows.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_n"))
+    before = sizes.select("_part", (F.sum("_n").over(Window.orderBy("_part")) - F.col("_n")).alias("_before"))
+    met = rows.join(F.broadcast(before), part == F.col("_part"))  # a row for each partition
+    return met.withColumn(rank, F.col("_before") + F.col(at).bitwiseAND(F.lit((1 << 33) - 1)) + 1).drop(at, "_part", "_before", "_n")
+
+
+def fresh_name(df: DataFrame, stem: str) -> str:
+    have = {c.lower() for c in df.columns}
+    while stem.lower() in have:
+        stem += "_"
+    return stem
+
+
 def outcome_words(state: Column) -> Column:
     """The noun for each adverse state."""
     return F.when(state == "denegado", "Denegación").when(state == "desistido", "Desistimiento").when(state == "archivado", "Archivo")

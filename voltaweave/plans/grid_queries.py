@@ -154,9 +154,9 @@ def radar_ranked(spark, sf_dir):
     return radar.ranked(table(spark, sf_dir, "customer").select("c_custkey", score.alias("score")), "score", "c_custkey", 200)
 
 
-@query("SELECT o_orderkey, CAST(o_orderkey % 97 AS INTEGER) AS confidence FROM orders")
+@query("SELECT o_orderkey, CAST(o_orderkey % 97 AS INTEGER) AS confidence, row_number() OVER (ORDER BY o_orderkey % 97 DESC, o_orderkey) AS rank FROM orders")
 def forecast_ranked(spark, sf_dir):
-    return radar.ranked(table(spark, sf_dir, "orders").select("o_orderkey", (F.col("o_orderkey") % 97).cast("int").alias("confidence")), "confidence", "o_orderkey")
+    return radar.numbered(table(spark, sf_dir, "orders").select("o_orderkey", (F.col("o_orderkey") % 97).cast("int").alias("confidence")), "confidence", "o_orderkey")
 
 
 @query("""

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import cases, outlook
+from ..operators import cases, fit, outlook, radar
 from .catalog import query, table
 
 
@@ -71,3 +71,19 @@ def adverse_descriptions(spark, sf_dir):
         F.lit("PV").alias("technology"), F.lit("AAP").alias("kind"), F.lit("denegado").alias("state"), (k % 90 + F.lit(0.5).cast("double")).alias("freed_mw"),
     )
     return outlook.described(cases.adverse_forecast(rows, "2001-06-01", 98, 426), 98, 250, 135).select("o_orderkey", "confidence", "description")
+
+
+@query("""
+    WITH o AS (SELECT o_custkey, sum(o_totalprice) AS total, count(*) AS n, max(o_totalprice) AS top FROM orders GROUP BY 1)
+    SELECT c_custkey, round(least(35, 0.00004 * coalesce(total, 0)) + least(30, 1.5 * coalesce(n, 0)) + least(25, 0.00006 * coalesce(top, 0)) + least(10, 0.002 * c_acctbal), 4) AS score,
+           round(least(35, 0.00004 * coalesce(total, 0)) + least(30, 1.5 * coalesce(n, 0)) + least(25, 0.00006 * coalesce(top, 0)) + least(10, 0.002 * c_acctbal), 2) AS fitted
+    FROM customer LEFT JOIN o ON o_custkey = c_custkey
+""")
+def refitted_scores(spark, sf_dir):
+    """Scores of four capped signals, and what weights fitted to these scores make of the same signals."""
+    sums = table(spark, sf_dir, "orders").groupBy("o_custkey").agg(F.sum("o_totalprice").alias("total"), F.count(F.lit(1)).alias("n"), F.max("o_totalprice").alias("top"))
+    rows = table(spark, sf_dir, "customer").join(sums, F.col("c_custkey") == F.col("o_custkey"), "left")
+    caps = {"total": 35.0, "n": 30.0, "top": 25.0, "c_acctbal": 10.0}
+    weights = {"total": 0.00004, "n": 1.5, "top": 0.00006, "c_acctbal": 0.002}
+    known = rows.withColumn("score", radar.capped_score({c: (weights[c], caps[c]) for c in caps}))
+    return fit.refitted(known, "score", caps).select("c_custkey", F.round("score", 4).alias("score"), F.round("fitted", 2).alias("fitted"))
