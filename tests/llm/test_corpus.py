@@ -533,6 +533,26 @@ def test_mining_is_what_enumeration_finds(spark):
         assert kept and {(tuple(r.antecedent), r.said, round(r.confidence, 9), round(r.support, 9), r.rarest) for r in got.collect()} == kept
 
 
+def test_many_tokens_nearly_always_together(spark):
+    """Forty rows that share 25 tokens, each of which one row lacks: rules of one token say all, and longer ones nothing more."""
+    tokens = [f"t{i:02}" for i in range(25)]
+    rows = [([t for k, t in enumerate(tokens) if k != i], "block") for i in range(40)] + [(["x"], "allow")] * 10
+    found = url_filter.mined_rules(spark.createDataFrame(rows, "tokens array<string>, label string"), 0.1, 0.9)
+    assert {(*r.antecedent, r.said, r.confidence, round(r.support, 9)) for r in found.collect()} == {*((t, "block", 1.0, 39 / 50) for t in tokens), ("x", "allow", 1.0, 0.2)}
+
+
+def test_groups_of_tokens_are_matched_without_their_products(spark):
+    """Two groups of fifty tokens, a block only together: one rule decides, whichever of its tokens a url has."""
+    url = lambda parts: "http://h.test/" + "/".join(parts)
+    first, second = ([f"{k}{c}{d}z" for c in "klmno" for d in "abcdefghij"] for k in "ab")
+    made = [(i, url(first), "allow") for i in range(20)] + [(20 + i, url(second), "allow") for i in range(20)] + [(40 + i, url(first + second), "block") for i in range(20)]
+    df = spark.createDataFrame([(i, u) for i, u, _ in made] + [(900, url([first[3], second[7]])), (901, url([first[3]])), (902, url(["other"]))], "page_id long, url string")
+    labels = spark.createDataFrame([(i, v) for i, _, v in made], "page_id long, label string")
+    got = {r.page_id: (r.verdict, r.mined) for r in url_filter.judge(df, rules={}, labels=labels, support=0.1).collect()}
+    assert all(got[i][0] == v for i, _, v in made)
+    assert got[900] == ("block", f"path:{first[3]} path:{second[7]}") and got[901] == got[902] == ("allow", None)
+
+
 def test_single_urls_make_no_rules(spark):
     made = [(i, f"http://h{i}.example/p{i}") for i in range(9)]
     labels = spark.createDataFrame([(i, "block") for i in range(4)], "page_id long, label string")

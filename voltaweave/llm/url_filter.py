@@ -23,7 +23,7 @@ from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import digest, written
+from .common import digest, forget, written
 
 MIN_SUPPORT, MIN_CONFIDENCE = 0.002, 0.9
 #: Rows that a combination needs besides the support, so that small tables don't make rules of single urls.
@@ -70,42 +70,49 @@ def tokens_of(url: Column, host: Column, path: Column) -> Column:
 
 
 def standing(labelled: DataFrame, least: int) -> DataFrame:
-    """(token, members): one token for all that stand in the same rows of (tid, tokens), of those in ``least`` rows or more.
+    """(token, members, n, sure): one token for all that stand in the same rows of (tid, tokens, label), of those in ``least`` rows or more.
 
     Tokens that always come together say the same in any rule, and a rule with
-    two of them is never better than one with either.  So a url of very many
-    tokens, often repeated, has no exponentially many frequent subsets.
+    two of them is never better than one with either.  ``sure`` is the label of a token
+    all of whose rows have it: no longer rule with that token can be surer.
     """
     return (
-        labelled.select("tid", F.explode("tokens").alias("token"))
+        labelled.select("tid", "label", F.explode("tokens").alias("token"))
         .groupBy("token")
-        .agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("tid")).alias("one"), F.bit_xor(F.xxhash64("tid", F.lit(1))).alias("other"))
+        .agg(
+            F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("tid")).alias("one"), F.bit_xor(F.xxhash64("tid", F.lit(1))).alias("other"),
+            F.nullif(F.min("label"), F.when(F.min("label") != F.max("label"), F.min("label"))).alias("sure"),
+        )
         .filter(F.col("n") >= least)
-        .groupBy("n", "one", "other")
+        .groupBy("n", "one", "other", "sure")
         .agg(F.sort_array(F.collect_list("token")).alias("members"))
-        .select(F.col("members")[0].alias("token"), "members")
-    )
+        .select(F.col("members")[0].alias("token"), "members", "n", "sure")
+    )
 
 
-def mined_rules(labelled: DataFrame, support: float, confidence: float) -> DataFrame | None:
-    """(antecedent, said, confidence, support, rarest) from rows of (tokens, label), pruned; all tokens of a row count.
+def compact_rules(labelled: DataFrame, support: float, confidence: float) -> tuple[DataFrame, DataFrame] | None:
+    """Pruned rules (antecedent, said, confidence, support, rarest) of standing tokens, and (item, token) of what these stand for.
 
     A combination needs the support and at least ``MIN_ROWS`` rows; with fewer rows in all there is nothing to mine.
+    Tokens that are sure by themselves are rules and are not mined further: rows that
+    share any number of them have no exponentially many frequent subsets to go through.
     """
     labelled = written(labelled.withColumn("tid", F.monotonically_increasing_id()), "labelled")
     n = labelled.count()
     least = max(MIN_ROWS, math.ceil(support * n))
     if n < least:
+        forget(labelled)
         return None
     stand = written(standing(labelled, least), "standing-tokens")
     items = (
         labelled.select("tid", "label", F.explode_outer("tokens").alias("token"))
-        .join(stand.select("token", F.col("token").alias("item")), "token", "left")
+        .join(stand.filter("sure is null").select("token", F.col("token").alias("item")), "token", "left")
         .groupBy("tid", "label")
         .agg(F.collect_list("item").alias("items"))
         .select(F.concat("items", F.array(F.concat(F.lit("@"), F.col("label")))).alias("items"))
     )
-    model = FPGrowth(itemsCol="items", minSupport=(least - 0.5) / n, minConfidence=confidence).fit(written(items, "transactions"))
+    items = written(items, "transactions")
+    model = FPGrowth(itemsCol="items", minSupport=(least - 0.5) / n, minConfidence=confidence).fit(items)
     rules = (
         model.associationRules.filter(F.element_at("consequent", 1).startswith("@") & ~F.exists("antecedent", lambda x: x.startswith("@")))
         .select(
@@ -122,7 +129,11 @@ def mined_rules(labelled: DataFrame, support: float, confidence: float) -> DataF
         .groupBy("antecedent", "said", "confidence", "support")
         .agg(F.min(F.struct("freq", "token"))["token"].alias("rarest"))
     )
-    posted = written(posted, "association-rules")
+    sure = stand.filter("sure is not null").select(
+        F.array("token").alias("antecedent"), F.col("sure").alias("said"), F.lit(1.0).alias("confidence"), (F.col("n") / n).alias("support"), F.col("token").alias("rarest")
+    )
+    posted = written(posted.unionByName(sure), "association-rules")
+    forget(labelled, items)
     # a rule goes if a shorter one, found in the index under its rarest token, is at least as sure of the same
     shorter = posted.select(F.col("antecedent").alias("part"), F.col("said").alias("part_said"), F.col("confidence").alias("part_confidence"), F.col("rarest").alias("token"))
     covered = (
@@ -137,20 +148,30 @@ def mined_rules(labelled: DataFrame, support: float, confidence: float) -> DataF
         .select("antecedent", "said")
         .distinct()
     )
-    # a rule holds for each choice of the tokens that its own ones stand for
-    members = (
-        posted.join(covered, ["antecedent", "said"], "left_anti")
-        .select("*", F.posexplode("antecedent").alias("place", "token"))
-        .join(stand, "token")
-        .groupBy("antecedent", "said", "confidence", "support", "rarest")
-        .agg(F.transform(F.sort_array(F.collect_list(F.struct("place", "members"))), lambda x: x["members"]).alias("choices"))
-    )
-    none = F.array(F.array().cast("array<string>"))
-    chosen = F.aggregate("choices", none, lambda acc, m: F.flatten(F.transform(acc, lambda a: F.transform(m, lambda x: F.concat(a, F.array(x))))))
-    at = F.array_position("antecedent", F.col("rarest")).cast("int")
-    every = members.select("said", "confidence", "support", at.alias("at"), F.explode(chosen).alias("tokens"))
-    every = every.select(F.array_sort("tokens").alias("antecedent"), "said", "confidence", "support", F.element_at("tokens", F.col("at")).alias("rarest"))
-    return written(every, "pruned-rules")
+    rules = written(posted.join(covered, ["antecedent", "said"], "left_anti"), "pruned-rules")
+    forget(posted)
+    return rules, stand.select(F.col("token").alias("item"), F.explode("members").alias("token"))
+
+
+def mined_rules(labelled: DataFrame, support: float, confidence: float) -> DataFrame | None:
+    """(antecedent, said, confidence, support, rarest) from rows of (tokens, label), pruned; all tokens of a row count.
+
+    A rule of :func:`compact_rules` holds for each choice of the tokens that its own
+    ones stand for: this lists them all, a row each, for those who read rules.
+    """
+    found = compact_rules(labelled, support, confidence)
+    if found is None:
+        return None
+    rules, stand = found
+    every = rules.withColumn("tokens", F.array().cast("array<string>")).withColumn("left", F.col("antecedent"))
+    longest = rules.agg(F.max(F.size("antecedent"))).first()[0] or 0
+    for _ in range(longest):  # one token of each antecedent at a time
+        done = every.filter(F.size("left") == 0)
+        more = every.filter(F.size("left") > 0).withColumn("item", F.col("left")[0]).join(stand, "item")
+        more = more.withColumn("rarest", F.when(F.col("rarest") == F.col("item"), F.col("token")).otherwise(F.col("rarest")))
+        more = more.withColumn("tokens", F.concat("tokens", F.array("token"))).withColumn("left", F.expr("slice(left, 2, size(left))"))
+        every = done.unionByName(more.select(done.columns))
+    return written(every.select(F.array_sort("tokens").alias("antecedent"), "said", "confidence", "support", "rarest"), "listed-rules")
 
 
 def judge(
@@ -183,17 +204,21 @@ def judge(
     else:
         taught = rows.join(labels.select(F.col("page_id").alias("labelled_id"), "label"), F.col("page_id") == F.col("labelled_id")).filter("label is not null").select("tokens", "label")
     free = F.array_except("tokens", F.array(*map(F.lit, named)).cast("array<string>"))
-    found = mined_rules(taught.select(free.alias("tokens"), "label"), support, confidence)
+    found = compact_rules(taught.select(free.alias("tokens"), "label"), support, confidence)
     key = digest("page_id", "url")
     if found is None:
         return rows.select("page_id", "host", "path", "rule", F.coalesce("decided", F.lit(DEFAULT)).alias("verdict"), F.lit(None).cast("string").alias("mined"))
-    open_rows = rows.filter("rule is null")
+    found, stand = found
+    # a url's tokens become the items that stand for them, and rules are matched on items
+    held = rows.filter("rule is null").select(key.alias("row"), F.explode("tokens").alias("token")).distinct().join(stand, "token")
+    held = held.groupBy("row", "item").agg(F.max("token").alias("token")).groupBy("row").agg(F.map_from_entries(F.collect_list(F.struct("item", "token"))).alias("of"))
+    own = F.array_join(F.array_sort(F.transform("antecedent", lambda x: F.element_at("of", x))), " ")
     matched = (
-        open_rows.select(key.alias("row"), "tokens", F.explode("tokens").alias("rarest"))
+        held.select("row", "of", F.explode(F.map_keys("of")).alias("rarest"))
         .join(found, "rarest")
-        .filter(F.size(F.array_except("antecedent", "tokens")) == 0)
+        .filter(F.forall("antecedent", lambda x: F.map_contains_key("of", x)))
         .groupBy("row")
-        .agg(F.max(F.struct("confidence", "support", F.size("antecedent").alias("n"), F.array_join("antecedent", " ").alias("mined"), "said")).alias("best"))
+        .agg(F.max(F.struct("confidence", "support", F.size("antecedent").alias("n"), own.alias("mined"), "said")).alias("best"))
         .select("row", "best.said", "best.mined")
     )
     return (
