@@ -35,6 +35,8 @@ from pyspark.sql import functions as F
 from .common import forget, ship, written
 
 BUCKET, STRIPE, BLOCK = 1024, 8192, 4096
+#: What a task searches of a block at least, so that it has best rows to carry on.
+STRIPES = 4
 #: Components that a stripe or block holds at most, whatever its rows (but one row at least).
 COMPONENTS = 1 << 21
 #: Up to so many blocks of anchors are broadcast, and held by a task; more are joined by shuffle.
@@ -191,12 +193,13 @@ def _limits(scores: np.ndarray, least: int, most: int) -> tuple[np.ndarray, np.n
     return np.array(low, kind).reshape(scores.shape), np.array(high, kind).reshape(scores.shape)
 
 
-def _met(blocks: DataFrame, stripes: DataFrame, pairs: DataFrame) -> DataFrame:
-    """Rows of a block and a stripe each, for ``pairs`` of (block, stripe)."""
+def _met(blocks: DataFrame, stripes: DataFrame, pairs: DataFrame, rows: int) -> DataFrame:
+    """Rows of a block and a stripe each, for ``pairs`` of (block, stripe); a task takes about ``STRIPES`` times a stripe's rows, of ``rows`` in all."""
     a = blocks.select(F.col("stripe").alias("block"), *(F.col(c).alias(f"a_{c}") for c in blocks.columns if c not in ("stripe", "labels", "norm", "need")))
     b = stripes.select("stripe", *(F.col(c).alias(f"b_{c}") for c in stripes.columns if c not in ("stripe", "labels", "norm", "need")))
-    a = F.broadcast(a) if blocks.count() <= BROADCAST_BLOCKS else a
-    return pairs.join(b, "stripe").join(a, "block")
+    number = blocks.count()
+    a = F.broadcast(a) if number <= BROADCAST_BLOCKS else a
+    return pairs.join(b, "stripe").join(a, "block").coalesce(max(1, number * -(-rows // (STRIPES * STRIPE))))
 
 
 BEST = "anchor_row long, window int, row long, id long, score long"
@@ -241,12 +244,12 @@ def mine(
     Negatives score from ``least`` to ``most`` per cent of the positive's score.
     """
     vectors = usable(rows, id_col, vector_col, label_col, F.coalesce(anchor, F.lit(False)).alias("anchor"))
-    anchors = vectors.filter("anchor")
+    anchors, rows_in_all = vectors.filter("anchor"), vectors.count()
     # positives: stripes of rows sorted by label and norm, met by the blocks that have a label in common
     blocks, stripes = packed(anchors, BLOCK, F.col("label"), F.desc("norm")), packed(vectors, STRIPE, F.col("label"), F.desc("norm"))
     labels = lambda df, name: df.select(F.col("stripe").alias(name), F.explode("labels").alias("label"))
     pairs = labels(blocks, "block").join(labels(stripes, "stripe"), "label").select("block", "stripe").distinct()
-    found = written(_best(_met(blocks, stripes, pairs), True, positives, least, most), "positives")
+    found = written(_best(_met(blocks, stripes, pairs, rows_in_all), True, positives, least, most), "positives")
     forget(blocks, stripes)
 
     # negatives: stripes by norm alone; a block takes those whose longest row can reach its lowest window
@@ -258,7 +261,7 @@ def mine(
     norms = stripes.select("stripe", "norm", F.pmod(F.xxhash64("stripe"), F.lit(SHARDS)).alias("shard"))
     asks = blocks.select(F.col("stripe").alias("block"), "need", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SHARDS - 1).cast("long"))).alias("shard"))
     pairs = asks.join(norms, "shard").filter(F.col("norm") * (1 + 1e-9) + 1e-6 >= F.col("need")).select("block", "stripe")
-    mined = written(_best(_met(blocks, stripes, pairs), False, negatives, least, most), "negatives")
+    mined = written(_best(_met(blocks, stripes, pairs, rows_in_all), False, negatives, least, most), "negatives")
     forget(blocks, stripes)
 
     named = lambda c: F.nullif(F.col(c), F.lit(NO_ID))
