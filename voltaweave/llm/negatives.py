@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from .common import forget, ship, written
 
 BUCKET, STRIPE, BLOCK = 1024, 8192, 4096
-#: What a task searches of a block at least, so that it has best rows to carry on.
+#: Blocks that a task makes, and stripes that it searches, at least: so that these are full, and it has best rows to carry on.
 STRIPES = 4
 #: Components that a stripe or block holds at most, whatever its rows (but one row at least).
 COMPONENTS = 1 << 21
@@ -66,45 +66,61 @@ def usable(rows: DataFrame, id_col: str, vector_col: str, label_col: str, *more:
     return written(made.withColumn("row", F.monotonically_increasing_id()), "vectors")
 
 
-def packed(rows: DataFrame, most: int, *order: Column) -> DataFrame:
-    """Rows in ``order`` (range partitions, so that one label or norm can fill many) as blocks of at most ``most``, longest first."""
+def _matrix(column: pa.Array, missing: float) -> np.ndarray:
+    """The lists of a column as rows of one matrix, shorter ones filled up."""
+    sizes = column.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+    flat = column.flatten().to_numpy(zero_copy_only=False)
+    out = np.full((len(sizes), int(sizes.max(initial=0))), missing, flat.dtype if len(flat) else float)
+    out[np.repeat(np.arange(len(sizes)), sizes), np.arange(len(flat)) - np.repeat(np.cumsum(sizes) - sizes, sizes)] = flat
+    return out
+
+
+def _stacked(parts: list[np.ndarray], missing: float) -> np.ndarray:
+    wide = max(x.shape[1] for x in parts)
+    return np.concatenate([np.pad(x, ((0, 0), (0, wide - x.shape[1])), constant_values=missing) for x in parts])
+
+
+def packed(rows: DataFrame, most: int, number: int, *order: Column) -> DataFrame:
+    """``number`` rows in ``order`` (range partitions, so that one label or norm can fill many) as blocks of at most ``most``, longest first.
+
+    Tasks with too few rows for ``STRIPES`` blocks are put together.
+    """
     ship(rows.sparkSession)
     if "scores" not in rows.columns:
         rows = rows.withColumn("scores", F.lit(None).cast("array<long>")).withColumn("need", F.lit(0.0))
-    rows = rows.select("id", "row", "label", "norm", "need", "vector", "scores").repartitionByRange(*order, "row").sortWithinPartitions(*order, "row")
+    rows = rows.select("id", "row", "label", "need", "vector", "scores", "norm").repartitionByRange(*order, "row").sortWithinPartitions(*order, "row")
+    rows = rows.coalesce(max(1, -(-number // (most * STRIPES))))
     names = [x.split()[0] for x in PACK.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number, held, size = TaskContext.get().partitionId() << 32, [], 0
-
-        def block() -> pa.RecordBatch:
-            nonlocal number
-            wide = max(len(r[5]) for r in held)
-            vectors = np.zeros((len(held), wide))
-            for i, r in enumerate(held):
-                vectors[i, : len(r[5])] = np.floor(np.asarray(r[5], float) * 256)
-            longest = np.argsort(-np.sqrt((vectors * vectors).sum(1)), kind="stable")
-            held[:], vectors = [held[i] for i in longest], vectors[longest]
+        made = TaskContext.get().partitionId() << 32
+
+        def block(parts: list[tuple]) -> pa.RecordBatch:
+            nonlocal made
+            ids, row, labels, need = (np.concatenate([p[i] for p in parts]) for i in range(4))
+            vectors, scores = _stacked([p[4] for p in parts], 0.0), _stacked([p[5] for p in parts], -1)
+            norms = np.sqrt((vectors * vectors).sum(1))
+            longest = np.argsort(-norms, kind="stable")
             kind = "<i2" if np.abs(vectors).max(initial=0) < 1 << 15 else "<f8"
-            longs = lambda at: np.array([r[at] for r in held], "<i8")
-            best = max(len(r[6] or ()) for r in held)
-            scores = np.array([[*(r[6] or ()), *[-1] * (best - len(r[6] or ()))] for r in held], "<i8")
-            norm = float(np.sqrt((vectors[0] * vectors[0]).sum()))
-            values = [number, norm, min(r[4] for r in held), sorted({r[2] for r in held}), wide, kind]
-            values += [longs(0).tobytes(), longs(1).tobytes(), longs(2).tobytes(), vectors.astype(kind).tobytes(), scores.tobytes()]
-            number += 1
+            values = [made, float(norms.max()), float(need.min()), np.unique(labels).tolist(), vectors.shape[1], kind]
+            values += [x[longest].astype(k).tobytes() for x, k in ((ids, "<i8"), (row, "<i8"), (labels, "<i8"), (vectors, kind), (scores, "<i8"))]
+            made += 1
             return pa.RecordBatch.from_pylist([dict(zip(names, values, strict=True))], schema)
 
+        held, size = [], 0
         for batch in batches:
-            for at in range(batch.num_rows):
-                r = [c[at].as_py() for c in batch.columns]
-                if held and (len(held) == most or size + len(r[5]) > COMPONENTS):
-                    yield block()
+            plain = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(4)]
+            vectors, scores = np.floor(_matrix(batch.column(4), 0.0).astype(float) * 256), _matrix(batch.column(5), -1)
+            limit, at = max(1, min(most, COMPONENTS // max(1, vectors.shape[1]))), 0
+            while at < batch.num_rows:
+                if held and size >= limit:
+                    yield block(held)
                     held, size = [], 0
-                held.append(r)
-                size += len(r[5])
+                end = min(batch.num_rows, at + limit - size)
+                held.append((*(x[at:end] for x in plain), vectors[at:end], scores[at:end]))
+                size, at = size + end - at, end
         if held:
-            yield block()
+            yield block(held)
 
     kinds = {"long": pa.int64(), "double": pa.float64(), "array<long>": pa.list_(pa.int64()), "int": pa.int32(), "string": pa.string(), "binary": pa.binary()}
     schema = pa.schema([(x.split()[0], kinds[x.split()[1]]) for x in PACK.split(", ")])
@@ -244,9 +260,10 @@ def mine(
     Negatives score from ``least`` to ``most`` per cent of the positive's score.
     """
     vectors = usable(rows, id_col, vector_col, label_col, F.coalesce(anchor, F.lit(False)).alias("anchor"))
-    anchors, rows_in_all = vectors.filter("anchor"), vectors.count()
+    anchors = vectors.filter("anchor")
+    rows_in_all, asking = vectors.count(), anchors.count()
     # positives: stripes of rows sorted by label and norm, met by the blocks that have a label in common
-    blocks, stripes = packed(anchors, BLOCK, F.col("label"), F.desc("norm")), packed(vectors, STRIPE, F.col("label"), F.desc("norm"))
+    blocks, stripes = packed(anchors, BLOCK, asking, F.col("label"), F.desc("norm")), packed(vectors, STRIPE, rows_in_all, F.col("label"), F.desc("norm"))
     labels = lambda df, name: df.select(F.col("stripe").alias(name), F.explode("labels").alias("label"))
     pairs = labels(blocks, "block").join(labels(stripes, "stripe"), "label").select("block", "stripe").distinct()
     found = written(_best(_met(blocks, stripes, pairs, rows_in_all), True, positives, least, most), "positives")
@@ -257,7 +274,7 @@ def mine(
     lowest = F.array_min(F.transform(F.filter("of", lambda x: x["score"] >= 0), lambda x: x["score"])) * (least / 100)
     wanted = anchors.join(windows, anchors["row"] == windows["anchor_row"]).withColumn("scores", F.transform("of", lambda x: x["score"]))
     wanted = wanted.withColumn("need", F.when(F.col("norm") > 0, lowest / F.sqrt("norm")).otherwise(0.0)).filter("need is not null")
-    blocks, stripes = packed(wanted, BLOCK, F.col("need")), packed(vectors, STRIPE, F.desc("norm"))
+    blocks, stripes = packed(wanted, BLOCK, asking, F.col("need")), packed(vectors, STRIPE, rows_in_all, F.desc("norm"))
     norms = stripes.select("stripe", "norm", F.pmod(F.xxhash64("stripe"), F.lit(SHARDS)).alias("shard"))
     asks = blocks.select(F.col("stripe").alias("block"), "need", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SHARDS - 1).cast("long"))).alias("shard"))
     pairs = asks.join(norms, "shard").filter(F.col("norm") * (1 + 1e-9) + 1e-6 >= F.col("need")).select("block", "stripe")
