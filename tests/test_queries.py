@@ -8,7 +8,7 @@ import pytest
 from voltaweave.plans import catalog
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
-TABLES = "region nation customer supplier part orders lineitem events".split()
+TABLES = "region nation customer supplier part orders lineitem events pages".split()
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no tables")
 
 

@@ -8,6 +8,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .. import scratch
 from .radar import capped_score
 
 
@@ -17,38 +18,56 @@ def _sums(terms: list[Column], rest: Column) -> list[Column]:
     return [*squares, *(F.sum(a * rest) for a in terms), F.sum(rest * rest)]
 
 
-def capped_weights(df: DataFrame, score: str, caps: Mapping[str, float], start: Mapping[str, float] | None = None, rounds: int = 50, settled: float = 1e-9) -> dict[str, float]:
+#: Factors by which one weight at a time is tried.
+FACTORS = [2.0**e for e in (-6, -4, -3, -2, -1.5, -1, -0.5, -0.25, 0.25, 0.5, 1, 1.5, 2, 3, 4, 6)]
+
+
+def capped_weights(df: DataFrame, score: str, caps: Mapping[str, float], start: Mapping[str, float] | None = None, rounds: int = 30, settled: float = 1e-12) -> dict[str, float]:
     """The weight of each signal with which ``radar.capped_score`` comes nearest to ``score``, by least squares.
 
-    Given the weights, each signal of a row is capped or not; given that, the
-    weights solve a linear system.  The two steps alternate till the weights settle.
-    A round is one aggregate of (k + 1)(k + 2) / 2 sums, whatever the number of rows; only these
+    Given the weights, each signal of a row is capped or not; given that, the weights
+    solve a linear system, whose solution is the next step if the error falls.
+    As the error has several valleys, each round also tries one weight at a time,
+    smaller and larger by up to 64 times, and goes where the error is least; it ends where no
+    try is better.  That need not be the least error of all, if one has to change two weights at once to leave a valley.
+
+    A round is two aggregates of some sums, whatever the number of rows; only these
     come to the driver.  Weights that the rows don't determine stay as they are.  Rows without a
-    score are left out, missing signals count 0.  From other starts other solutions can be
-    reached; by default each signal starts where its mean takes half its cap.
+    score are left out, missing signals count 0.
     """
-    names = list(caps)
+    names, k, spark = list(caps), len(caps), df.sparkSession
+    home = scratch.folder(spark, "scores")
+    df.filter(F.col(score).isNotNull()).select(F.col(score).cast("double").alias(score), *names).write.parquet(home)  # read twice a round
+    rows = spark.read.parquet(home)
     x = {n: F.coalesce(F.col(n).cast("double"), F.lit(0.0)) for n in names}
-    rows = df.filter(F.col(score).isNotNull())
     if start is None:
         means = rows.agg(*(F.avg(F.abs(x[n])).alias(n) for n in names)).first()
         start = {n: caps[n] / 2 / means[n] if means[n] else 0.0 for n in names}
-    weights = np.array([float(start[n]) for n in names])
+    now = np.array([float(start[n]) for n in names])
     for _ in range(rounds):
-        free = {n: F.lit(float(w)) * x[n] < caps[n] for n, w in zip(names, weights, strict=True)}
+        free = {n: F.lit(float(w)) * x[n] < caps[n] for n, w in zip(names, now, strict=True)}
         terms = [F.when(free[n], x[n]).otherwise(0.0) for n in names]
         taken = sum((F.when(free[n], 0.0).otherwise(float(caps[n])) for n in names), F.lit(0.0))
-        sums = [float(v or 0.0) for v in rows.agg(*_sums(terms, F.col(score).cast("double") - taken)).first()]
-        k, matrix = len(names), np.zeros((len(names), len(names)))
-        matrix[np.triu_indices(k)] = sums[: k * (k + 1) // 2]
+        own = [float(v or 0.0) for v in rows.agg(*(c.alias(f"s{i}") for i, c in enumerate(_sums(terms, F.col(score) - taken)))).first()]
+        matrix = np.zeros((k, k))
+        matrix[np.triu_indices(k)] = own[: k * (k + 1) // 2]
         matrix = matrix + np.triu(matrix, 1).T
-        right = np.array(sums[k * (k + 1) // 2 : -1])
-        # the step from the present weights of least size: a signal that is always capped, or always 0, keeps its weight
-        step = np.linalg.pinv(matrix, rcond=1e-12, hermitian=True) @ (right - matrix @ weights)
-        weights = weights + step
-        if np.abs(step).max(initial=0.0) <= settled * max(1.0, np.abs(weights).max(initial=0.0)):
+        right = np.array(own[k * (k + 1) // 2 : -1])
+        # columns of one scale, and the step of least size: a signal that is always capped, or always 0, keeps its weight
+        scale = np.sqrt(np.where(matrix.diagonal() > 0, matrix.diagonal(), 1.0))
+        step = np.linalg.pinv(matrix / np.outer(scale, scale), rcond=1e-10, hermitian=True) @ ((right - matrix @ now) / scale) / scale
+        tries = [now, now + step, now + step / 2, now + step / 8]
+        tries += [np.where(np.arange(k) == i, now * f, now) for i in range(k) for f in FACTORS]
+        off = [F.col(score) - capped_score({n: (float(w), float(caps[n])) for n, w in zip(names, t, strict=True)}) for t in tries]
+        errors = [float(v or 0.0) for v in rows.agg(*(F.sum(o * o).alias(f"e{i}") for i, o in enumerate(off))).first()]
+        at = int(np.argmin(errors))
+        # of the sums themselves the last digits are noise
+        if errors[at] >= errors[0] * (1 - 1e-9) or errors[at] <= settled * settled * max(own[-1], 1e-300):
+            now = tries[at]
             break
-    return {n: float(w) for n, w in zip(names, weights, strict=True)}
+        now = tries[at]
+    scratch.remove(spark, home)
+    return {n: float(w) for n, w in zip(names, now, strict=True)}
 
 
 def refitted(df: DataFrame, score: str, caps: Mapping[str, float], name: str = "fitted", **options) -> DataFrame:

@@ -60,7 +60,7 @@ def cell(name: str) -> Column:
     return F.get("cells", F.col(f"{name}_pos"))
 
 
-# the rules of the three kinds of sheets
+# The header phrases of the four kinds of sheets, and the rows in which they are looked for.
 def _available(text: Column) -> Column:
     return text.contains("mpe rdd") & ~text.contains("mges") & ~text.contains("no conectado")
 

@@ -148,6 +148,21 @@ def last_anomaly(spark, sf_dir):
     return series.last_anomaly(days, ["user_id"], "day", "total", "gen", least_z=0.5, least_change=10.0).select("user_id", "anomaly.*")
 
 
+@query("""
+    WITH m AS (SELECT o_custkey, strftime(o_orderdate, '%Y-%m') AS month, round(sum(o_totalprice), 2) AS total FROM orders GROUP BY 1, 2),
+    c AS (SELECT *, lag(total) OVER (PARTITION BY o_custkey ORDER BY month) AS prev FROM m), e AS (SELECT *, round(total - prev, 4) AS change FROM c),
+    z AS (SELECT *, avg(change) OVER w AS mean, stddev_samp(change) OVER w AS spread, row_number() OVER (PARTITION BY o_custkey ORDER BY month DESC) AS rn FROM e
+          WINDOW w AS (PARTITION BY o_custkey ORDER BY month ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))
+    SELECT o_custkey, abs(change) AS mw, CASE WHEN change > 0 THEN 'sube' ELSE 'baja' END AS dir, 'dem' AS lbl, round(abs((change - mean) / spread), 1) AS z, month AS fecha, prev, total AS curr
+    FROM z WHERE rn = 1 AND spread > 0 AND abs((change - mean) / spread) >= 1.5 AND abs(change) >= 30
+""")
+def last_anomaly_monthly(spark, sf_dir):
+    """As :func:`last_anomaly`, at the limits of a z-score of 1.5 and a change of 30, on monthly series."""
+    month = F.date_format("o_orderdate", "yyyy-MM").alias("month")
+    months = table(spark, sf_dir, "orders").groupBy("o_custkey", month).agg(F.round(F.sum("o_totalprice"), 2).alias("total"))
+    return series.last_anomaly(months, ["o_custkey"], "month", "total", "dem").select("o_custkey", "anomaly.*")
+
+
 @query("SELECT c_custkey, CAST(least(50, floor(c_acctbal / 100)) AS BIGINT) AS score FROM customer ORDER BY score DESC, c_custkey LIMIT 200")
 def radar_ranked(spark, sf_dir):
     score = F.least(F.lit(50), F.floor(F.col("c_acctbal").cast("double") / 100)).cast("long")

@@ -6,7 +6,7 @@ import sys
 from functools import reduce
 
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import scratch
@@ -194,3 +194,36 @@ def workbook_cells(spark, sf_dir):
     grouped.mapInPandas(_books, "book binary").select(F.col("book").cast("string")).write.option("maxRecordsPerFile", 1).text(path)
     cells = F.array_join("cells", "|", "~")
     return xlsx.load(spark, path, rows=300).select("sheet", "sheet_idx", "row_idx", cells.alias("cells"))
+
+
+@query("""
+    SELECT 'K' || c_custkey AS key, c_nationkey AS nation, CASE WHEN c_acctbal > 0 THEN c_acctbal END AS balance, c_name AS name FROM customer
+""")
+def script_round_trip(spark, sf_dir):
+    """Customers as script files that assign one object each, of a thousand members, read back as its entries."""
+    c = table(spark, sf_dir, "customer")
+    rows = c.select(F.concat(F.lit("K"), "c_custkey").alias("key"), F.floor(F.col("c_custkey") / 1000).alias("file"), F.struct(F.col("c_nationkey").alias("nation"), F.when(F.col("c_acctbal") > 0, F.col("c_acctbal")).alias("balance"), F.col("c_name").alias("name")).alias("v"))
+    entries = files.json_entries(rows, "key", F.col("v"), "file")
+    objects = entries.groupBy("file").agg(F.concat(F.lit("{"), F.array_join(F.sort_array(F.collect_list("value")), ","), F.lit("}")).alias("value"))
+    path = scratch.folder(spark, "scripts")
+    files.as_script(objects, "CUSTOMERS").write.option("maxRecordsPerFile", 1).text(path)
+    found = files.read_script_json(spark, path, "CUSTOMERS", "map<string, struct<nation: int, balance: double, name: string>>")
+    return found.select("key", "value.nation", "value.balance", "value.name")
+
+
+@query("""
+    SELECT s_name AS name, CAST(s_nationkey AS VARCHAR) AS nation, CASE WHEN s_suppkey % 3 = 0 THEN 'a "b", c' END AS note, '2024-0' || (1 + s_suppkey % 9) || '-05' AS day,
+           row_number() OVER (PARTITION BY s_nationkey ORDER BY s_name) AS place
+    FROM supplier
+""")
+def csv_round_trip(spark, sf_dir):
+    """Suppliers as sorted CSV with quoted text and ISO days, read back in the order of the files."""
+    s = F.col("s_suppkey")
+    rows = table(spark, sf_dir, "supplier").select(
+        F.col("s_name").alias("name"), F.col("s_nationkey").alias("nation"), F.when(s % 3 == 0, 'a "b", c').alias("note"), F.to_date(F.concat(F.lit("2024-0"), 1 + s % 9, F.lit("-05"))).alias("day")
+    )
+    path = scratch.folder(spark, "csv")
+    files.write_csv(rows, path, [F.asc("nation"), F.asc("name")], dates=["day"])
+    # the files' names and places in them are the order, in all as within each nation
+    at = files.read_csv(spark, path).withColumns({"_file": F.input_file_name(), "_at": F.monotonically_increasing_id()})
+    return at.select("name", "nation", "note", "day", F.row_number().over(Window.partitionBy("nation").orderBy("_file", "_at")).cast("long").alias("place"))

@@ -13,6 +13,8 @@ from ..functions.text import month_inside, month_number, stripped
 
 SCHEMA = "workbook string, sheet string, sheet_idx int, row_idx int, cells array<string>"
 
+# The three patterns of sheet names below, and the columns of the two kinds of sheets that plans name by place.
+
 
 def monthly_sheet(name: Column) -> list[Column]:
     """kind (DSO or REE), year and month of a sheet named like ``DSO Oct25``, else nulls."""

@@ -78,11 +78,14 @@ def read_placemarks(spark: SparkSession, path: str) -> DataFrame:
 def read_script_json(spark: SparkSession, path: str, name: str, schema: T.DataType | str) -> DataFrame:
     """The JSON value assigned to ``name`` in a script file, by a declared schema; NaN becomes null.
 
-    An array gives one row for each element, an object one row.
+    An array gives one row for each element, an object one row; an object declared as
+    a map gives (key, value) of each member.
     """
     text = spark.read.text(path, wholetext=True).select(F.regexp_extract("value", rf"(?s)\b{name}\s*=\s*([\[{{].*?[\]}}])\s*;", 1).alias("json"))
     clean = F.regexp_replace("json", r"(?<=[:\[,])\s*NaN\b", "null")
     kind = T._parse_datatype_string(schema) if isinstance(schema, str) else schema
+    if isinstance(kind, T.MapType):
+        return text.select(F.explode(F.from_json(clean, kind)).alias("key", "value"))
     if isinstance(kind, T.ArrayType):
         return text.select(F.explode(F.from_json(clean, kind)).alias("row")).select("row.*")
     return text.select(F.from_json(clean, kind).alias("row")).select("row.*")
@@ -96,10 +99,10 @@ def without_nan(df: DataFrame) -> DataFrame:
     return df.select(*(F.when(~F.isnan(c), F.col(c)).alias(c) if c in kinds else F.col(c) for c in df.columns))
 
 
-def json_entries(df: DataFrame, key: str, value: Column) -> DataFrame:
-    """One line ``"key":value`` for each row, compact: the distributed form of one large object."""
+def json_entries(df: DataFrame, key: str, value: Column, *also: str) -> DataFrame:
+    """One line ``"key":value`` for each row, compact: the distributed form of one large object; with the columns ``also``."""
     quoted = F.expr(f"substring(to_json(array({key})), 2, length(to_json(array({key}))) - 2)")
-    return df.select(F.concat(quoted, F.lit(":"), F.to_json(value, {"ignoreNullFields": "false"})).alias("value"))
+    return df.select(F.concat(quoted, F.lit(":"), F.to_json(value, {"ignoreNullFields": "false"})).alias("value"), *also)
 
 
 def as_list(values: Sequence[Column]) -> Column:
@@ -141,7 +144,7 @@ def one_object(entries: DataFrame, first: str = "") -> DataFrame:
 
 
 def as_script(json: DataFrame, name: str) -> DataFrame:
-    """``window.NAME = {...};``"""
+    """``window.NAME = {...};`` for each row."""
     return json.select(F.concat(F.lit(f"window.{name} = "), "value", F.lit(";")).alias("value"))
 
 
