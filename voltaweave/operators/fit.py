@@ -19,10 +19,10 @@ def _sums(terms: list[Column], rest: Column) -> list[Column]:
 
 
 #: Factors by which one weight at a time is tried.
-FACTORS = [2.0**e for e in (-6, -4, -3, -2, -1.5, -1, -0.5, -0.25, 0.25, 0.5, 1, 1.5, 2, 3, 4, 6)]
+FACTORS = [2.0**e for e in (-6, -3, -2, -1, -0.5, 0.5, 1, 2, 3, 6)]
 
 
-def capped_weights(df: DataFrame, score: str, caps: Mapping[str, float], start: Mapping[str, float] | None = None, rounds: int = 30, settled: float = 1e-12) -> dict[str, float]:
+def capped_weights(df: DataFrame, score: str, caps: Mapping[str, float], start: Mapping[str, float] | None = None, rounds: int = 30, settled: float = 1e-10) -> dict[str, float]:
     """The weight of each signal with which ``radar.capped_score`` comes nearest to ``score``, by least squares.
 
     Given the weights, each signal of a row is capped or not; given that, the weights
@@ -43,6 +43,7 @@ def capped_weights(df: DataFrame, score: str, caps: Mapping[str, float], start:
     if start is None:
         means = rows.agg(*(F.avg(F.abs(x[n])).alias(n) for n in names)).first()
         start = {n: caps[n] / 2 / means[n] if means[n] else 0.0 for n in names}
+    total = rows.agg(F.sum(F.col(score) * F.col(score))).first()[0] or 0.0
     now = np.array([float(start[n]) for n in names])
     for _ in range(rounds):
         free = {n: F.lit(float(w)) * x[n] < caps[n] for n, w in zip(names, now, strict=True)}
@@ -58,14 +59,24 @@ def capped_weights(df: DataFrame, score: str, caps: Mapping[str, float], start:
         step = np.linalg.pinv(matrix / np.outer(scale, scale), rcond=1e-10, hermitian=True) @ ((right - matrix @ now) / scale) / scale
         tries = [now, now + step, now + step / 2, now + step / 8]
         tries += [np.where(np.arange(k) == i, now * f, now) for i in range(k) for f in FACTORS]
-        off = [F.col(score) - capped_score({n: (float(w), float(caps[n])) for n, w in zip(names, t, strict=True)}) for t in tries]
-        errors = [float(v or 0.0) for v in rows.agg(*(F.sum(o * o).alias(f"e{i}") for i, o in enumerate(off))).first()]
-        at = int(np.argmin(errors))
-        # of the sums themselves the last digits are noise
-        if errors[at] >= errors[0] * (1 - 1e-9) or errors[at] <= settled * settled * max(own[-1], 1e-300):
-            now = tries[at]
+        # the tries are data, not code: one plan, compiled once, serves all rounds
+        tried = F.array(*(F.struct(F.lit(i).alias("i"), F.array(*(F.lit(float(w)) for w in t)).alias("w")) for i, t in enumerate(tries)))
+        each = rows.select(score, *(x[n].alias(f"x{j}") for j, n in enumerate(names)), F.explode(tried).alias("t"))
+        off = F.col(score) - sum((F.least(F.lit(float(caps[n])), F.col("t.w")[j] * F.col(f"x{j}")) for j, n in enumerate(names)), F.lit(0.0))
+        found = {r["i"]: float(r["e"] or 0.0) for r in each.groupBy("t.i").agg(F.sum(off * off).alias("e")).collect()}  # a row for each try
+        errors = [found.get(i, 0.0) for i in range(len(tries))]
+        single, noise = 4 + int(np.argmin(errors[4:])), 1e-14 * total
+        near = int(np.argmin(errors[:4]))
+        if errors[single] < 0.999 * errors[near] - noise:
+            now = tries[single]
+        elif errors[1] <= errors[0] * (1 + 1e-6) + noise:
+            now = tries[1]
+            if np.abs(step).max(initial=0.0) <= settled * max(np.abs(now).max(initial=0.0), 1e-300) or (np.abs(step) <= settled * np.abs(now)).all():
+                break
+        elif near:
+            now = tries[near]
+        else:
             break
-        now = tries[at]
     scratch.remove(spark, home)
     return {n: float(w) for n, w in zip(names, now, strict=True)}
 

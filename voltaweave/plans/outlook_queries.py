@@ -75,7 +75,7 @@ def adverse_descriptions(spark, sf_dir):
 
 @query("""
     WITH o AS (SELECT o_custkey, sum(o_totalprice) AS total, count(*) AS n, max(o_totalprice) AS top FROM orders GROUP BY 1)
-    SELECT c_custkey, round(least(35, 0.00004 * coalesce(total, 0)) + least(30, 1.5 * coalesce(n, 0)) + least(25, 0.00006 * coalesce(top, 0)) + least(10, 0.002 * c_acctbal) + 0.000003, 4) AS score, round(least(35, 0.00004 * coalesce(total, 0)) + least(30, 1.5 * coalesce(n, 0)) + least(25, 0.00006 * coalesce(top, 0)) + least(10, 0.002 * c_acctbal) + 0.000003, 4) AS fitted
+    SELECT c_custkey, round(least(35, 0.00004 * coalesce(total, 0)) + least(30, 1.5 * coalesce(n, 0)) + least(25, 0.00006 * coalesce(top, 0)) + least(10, 0.002 * c_acctbal) + 0.00000003, 4) AS score, round(least(35, 0.00004 * coalesce(total, 0)) + least(30, 1.5 * coalesce(n, 0)) + least(25, 0.00006 * coalesce(top, 0)) + least(10, 0.002 * c_acctbal) + 0.00000003, 4) AS fitted
     FROM customer LEFT JOIN o ON o_custkey = c_custkey
 """)
 def refitted_scores(spark, sf_dir):
@@ -86,5 +86,5 @@ def refitted_scores(spark, sf_dir):
     weights = {"total": 0.00004, "n": 1.5, "top": 0.00006, "c_acctbal": 0.002}
     known = rows.withColumn("score", radar.capped_score({c: (weights[c], caps[c]) for c in caps}))
     last = {"total": 0.00003, "n": 2.0, "top": 0.00008, "c_acctbal": 0.001}  # weights to start from
-    apart = lambda c: F.round(F.col(c) + 0.000003, 4).alias(c)  # noqa: E731  balances of two places times 0.002 lie halfway between two roundings
+    apart = lambda c: F.round(F.col(c) + 0.00000003, 4).alias(c)  # noqa: E731  sums of up to seven places may lie halfway between two roundings
     return fit.refitted(known, "score", caps, start=last).select("c_custkey", apart("score"), apart("fitted"))
