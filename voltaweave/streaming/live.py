@@ -19,7 +19,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
-from pyspark.sql.types import BooleanType, LongType, StructField, StructType
+from pyspark.sql.types import ArrayType, BooleanType, LongType, StructField, StructType
 
 from .watch import upsert_into
 
@@ -49,45 +49,58 @@ def _newer(one: tuple, other: tuple) -> bool:
 
 
 class LiveMerge(StatefulProcessor):
-    def __init__(self, fields: Sequence[str], masks: Mapping[int, Sequence[str]], place: StructType, record: StructType, made: StructType):
-        self.fields, self.masks, self.place, self.record, self.made = list(fields), {s: list(m) for s, m in masks.items()}, place, record, Row(*made.names)
+    """State by key: the newest version of each of its records.  A group of the stream is a bucket of keys, so that a batch asks for few groups."""
+
+    def __init__(self, keys: Sequence[str], fields: Sequence[str], masks: Mapping[int, Sequence[str]], place: Sequence[str], key: StructType, held: StructType, made: StructType):
+        self.keys, self.fields, self.masks, self.place = list(keys), list(fields), {s: list(m) for s, m in masks.items()}, list(place)
+        self.key, self.held, self.made = key, held, Row(*made.names)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.records = handle.getMapState("records", self.place, self.record)
+        self.records = handle.getMapState("records", self.key, self.held)
 
     def handleInputRows(self, key: tuple, rows: Iterator[Row], timer_values) -> Iterator[Row]:  # noqa: N802
-        known = {tuple(place): (r[0], r[1], tuple(r[2:])) for place, r in self.records.iterator()}
-        news = {}
+        asked: dict[tuple, list] = {}
         for row in rows:
-            place = tuple(row[name] for name in self.place.names)
             one = (row["version"], bool(row["gone"]), tuple(row[f] for f in self.fields))
-            if place not in known or _newer(one, known[place]):
-                known[place] = news[place] = one
-        for place, (version, gone, values) in news.items():
-            self.records.updateValue(place, (version, gone, *values))
-        if news:
-            made = merged({p: values for p, (_, gone, values) in known.items() if not gone}, self.fields, self.masks)
-            yield self.made(*key, *(made or (None,) * (len(self.fields) + 1)), made is not None)
+            asked.setdefault(tuple(row[k] for k in self.keys), []).append((tuple(row[p] for p in self.place), one))
+        n = len(self.place)
+        for own, ones in asked.items():
+            held = self.records.getValue(own)
+            known = {tuple(r[:n]): (r[n], r[n + 1], tuple(r[n + 2 :])) for r in held[0]} if held else {}
+            news = False
+            for place, one in ones:
+                if place not in known or _newer(one, known[place]):
+                    known[place], news = one, True
+            if news:
+                self.records.updateValue(own, ([(*place, version, gone, *values) for place, (version, gone, values) in known.items()],))
+                merge = merged({p: values for p, (_, gone, values) in known.items() if not gone}, self.fields, self.masks)
+                yield self.made(*own, *(merge or (None,) * (len(self.fields) + 1)), merge is not None)
 
     def close(self) -> None:
         pass
 
 
-def live_history(changes: DataFrame, keys: Sequence[str], fields: Sequence[str], masks: Mapping[int, Sequence[str]], source: str, order: Sequence[str]) -> DataFrame:
+def live_history(
+    changes: DataFrame, keys: Sequence[str], fields: Sequence[str], masks: Mapping[int, Sequence[str]], source: str, order: Sequence[str], buckets: int = 1024
+) -> DataFrame:
     """(keys, fields, source, present) of every key that a batch of the stream ``changes`` touched.
 
     ``changes`` has the keys, ``source``, the ``order`` columns (which place a record in its
     source), the fields, ``version`` and ``gone``.  ``masks`` as for ``masked_fill_upsert``.
     A key all of whose records went comes with ``present`` false and null fields.
+    Keys are dealt to ``buckets`` groups; a task holds one bucket's rows of a batch. The
+    records of a key are one value of the state.
     """
     rows = changes.select(
-        *keys, F.col(source).cast("long").alias(source), *(F.col(c).cast("long").alias(c) for c in order), F.col("version").cast("long").alias("version"), "gone", *fields
-    )
-    place = StructType([StructField(c, LongType()) for c in (source, *order)])
-    record = StructType([StructField("version", LongType()), StructField("gone", BooleanType()), *(rows.schema[f] for f in fields)])
+        F.pmod(F.xxhash64(*keys), F.lit(buckets)).alias("_bucket"),
+        *keys, F.col(source).cast("long").alias(source), *(F.col(c).cast("long").alias(c) for c in order), F.col("version").cast("long").alias("version"), "gone", *fields,
+    )
+    place = [source, *order]
+    record = StructType([*(StructField(c, LongType()) for c in place), StructField("version", LongType()), StructField("gone", BooleanType()), *(rows.schema[f] for f in fields)])
+    key, held = StructType([rows.schema[k] for k in keys]), StructType([StructField("records", ArrayType(record))])
     made = StructType([*(rows.schema[k] for k in keys), *(rows.schema[f] for f in fields), StructField(source, LongType()), StructField("present", BooleanType())])
-    processor = LiveMerge(fields, masks, place, record, made)
-    return rows.groupBy(*keys).transformWithState(processor, made, outputMode="Update", timeMode="None")
+    processor = LiveMerge(keys, fields, masks, place, key, held, made)
+    return rows.groupBy("_bucket").transformWithState(processor, made, outputMode="Update", timeMode="None")
 
 
 def follow_history(changes: DataFrame, path: str, checkpoint: str, keys: Sequence[str], fields: Sequence[str], masks: Mapping[int, Sequence[str]], source: str, order: Sequence[str], every: str | None = None) -> StreamingQuery:
