@@ -356,3 +356,33 @@ def test_windowed_counts(spark, tmp_path):
     arrive(("2024-01-01 00:03:00", "a"), ("2024-01-01 01:00:00", "b"))  # the first is late
     arrive(("2024-01-01 02:00:00", "b"))
     assert sorted(map(tuple, spark.read.parquet(out).collect())) == [("00:00", "a", 2), ("00:30", "b", 1), ("01:00", "b", 1)]
+
+
+def test_last_wins_by_column(spark):
+    rng = random.Random(8)
+    order = list(range(-100, 100))
+    rng.shuffle(order)
+    rows = [(rng.choice(["a", "b", None]), n, rng.choice([None, n / 2]), rng.choice([None, n % 2 == 0])) for n in order]
+    rows += [("null first", None, 1.0, True), ("null first", -5, None, None), ("only null", None, 2.0, None)]
+    df = spark.createDataFrame(rows, "k string, n int, x double, y boolean").repartition(4)
+    by_order = sorted(rows, key=lambda r: (r[1] is not None, r[1] or 0))
+    for pick, want in ((keyed.last_wins, {r[0]: r for r in by_order}), (keyed.first_wins, {r[0]: r for r in by_order[::-1]})):
+        found = pick(df, ["k"], F.col("n"))
+        assert {r.k: tuple(r) for r in found.collect()} == want
+        # rows of a fixed width are hashed by key, not sorted whole
+        assert "SortAggregate" not in found._jdf.queryExecution().executedPlan().toString()
+
+
+def test_history_aggregates_measures_not_cells(spark):
+    cells = [None] * 110
+    rows = [("w", "REE Actual", 1, 3, [None, "2026-01-15"]), ("w", "DSO Actual", 0, 3, [None, "2026-01-15"])]
+    for i in range(40):
+        one = list(cells)
+        one[1], one[4], one[10], one[21] = f"N{i % 7}", str(i), f"D{i % 5}", str(i)
+        rows += [("w", "REE Actual", 1, 9 + i, one), ("w", "DSO Actual", 0, 6 + i, one)]
+    made = grid.monitor_history(spark.createDataFrame(rows, BRONZE).repartition(3))
+    want = {f"N{i % 7}": float(i) for i in range(40)} | {f"D{i % 5}": float(i) for i in range(40)}
+    assert {r.key: r.cap_gen for r in made.collect()} == want
+    plan = made._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert not [x for x in plan.splitlines() if "SortAggregate" in x and "cells" in x]
+    assert not [x for x in plan.splitlines() if "BroadcastHashJoin" in x and "BuildLeft" in x]

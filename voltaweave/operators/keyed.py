@@ -11,10 +11,21 @@ from ..functions import text
 from . import similar
 
 
+_FLAT = ("boolean", "tinyint", "smallint", "int", "bigint", "float", "double", "date", "timestamp", "timestamp_ntz")
+
+
 def _packed(df: DataFrame, keys: Sequence[str], order: Sequence[Column], last: bool) -> DataFrame:
-    """One row for each key by an aggregate, which combines before the shuffle."""
+    """One row for each key by an aggregate, which combines before the shuffle.
+
+    Where all columns have a fixed width and whole numbers order them, columns are
+    picked one by one: a task then holds one row for each key and sorts none.
+    """
     rest = [c for c in df.columns if c not in keys]
     pick = F.max_by if last else F.min_by
+    kinds = dict(df.dtypes)
+    if len(order) == 1 and df.select(*order).dtypes[0][1] in ("tinyint", "smallint", "int") and all(kinds[c] in _FLAT for c in rest):
+        at = F.coalesce(order[0].cast("long"), F.lit(-(2**63)))  # nulls come first, as in a struct
+        return df.groupBy(*keys).agg(*(pick(c, at).alias(c) for c in rest)).select(*df.columns)
     return df.groupBy(*keys).agg(pick(F.struct(*rest), F.struct(*order)).alias("_row")).select(*keys, "_row.*").select(*df.columns)
 
 

@@ -38,9 +38,11 @@ def require_sheets(bronze: DataFrame, *names: str) -> None:
         raise ValueError(f"sheets not found: {', '.join(missing)}")
 
 
-def _keyed_rows(rows: DataFrame, key: Column, by: list[str]) -> DataFrame:
-    """Rows with a key; of one key in a sheet the last row wins."""
+def _keyed_rows(rows: DataFrame, key: Column, by: list[str], made: list[Column] | None = None) -> DataFrame:
+    """Rows with a key; of one key in a sheet the last row wins.  ``made``, if given, stands for the cells, which are wider."""
     named = rows.withColumn("key", text.stripped(key)).filter(F.length("key") > 0)
+    if made:
+        named = named.select(*by, "key", "row_idx", *made)
     return keyed.last_wins(named, [*by, "key"], F.col("row_idx"))
 
 
@@ -139,7 +141,8 @@ def _measures(**given: Column) -> list[Column]:
 
 def monitor_history(bronze: DataFrame) -> DataFrame:
     known = monitor_sheets(bronze)
-    rows = bronze.select("sheet", "row_idx", "cells").join(known, "sheet")
+    # a row for each sheet; by the files' sizes, which tell little of the cells, Catalyst may broadcast the cells instead
+    rows = bronze.select("sheet", "row_idx", "cells").join(F.broadcast(known), "sheet")
     value = lambda i: numeric.to_float(at(i))
     order = ["special", "sheet_idx"]
 
@@ -150,27 +153,28 @@ def monitor_history(bronze: DataFrame) -> DataFrame:
     # row 4 counts only if row 5 has nothing beyond its first cell; the first cell never counts
     pos = F.when(F.col("rdd5_pos").isNotNull(), F.col("rdd5_pos")).when(F.coalesce("acept5_pos", F.lit(0)) > 0, F.lit(None)).otherwise(F.col("rdd4_pos"))
     found = found.select("sheet", F.nullif(pos, F.lit(0)).alias("rdd_pos"))
-    dso = _keyed_rows(rows.filter("kind = 'DSO' and row_idx >= 6 and size(cells) >= 27"), at(10), ["sheet", "month", *order]).join(found, "sheet", "left")
+    by = ["sheet", "month", *order]
     free = F.when(F.col("rdd_pos").isNotNull(), numeric.to_float(headers.cell("rdd")))
-    dso = dso.select(
-        "key", "month", *order,
-        *_measures(
+    dso = rows.filter("kind = 'DSO' and row_idx >= 6 and size(cells) >= 27").join(F.broadcast(found), "sheet", "left")
+    dso = _keyed_rows(
+        dso, at(10), by,
+        _measures(
             cap_gen=value(21), cap_gen_disp=value(21), cap_gen_neta=value(21), cap_dem=value(11), cap_dem_disp=value(11), cap_dem_neta=value(11),
             cap_gen_ocup=value(25), cap_gen_tram=value(26), cap_dem_ocup=value(15), cap_dem_tram=value(16),
             acept=numeric.delta(free, value(26)), cap_gen_RdD=free,
         ),
-    )
+    ).select("key", "month", *order, *MEASURES)
 
     found = headers.by_sheet(headers.resolve_columns(bronze, headers.REE_RULES, text.collapsed), ["rdd"]).select("sheet", "rdd_pos")
-    ree = _keyed_rows(rows.filter("kind = 'REE' and row_idx >= 9 and size(cells) >= 102"), at(1), ["sheet", "month", *order]).join(found, "sheet", "left")
-    ree = ree.select(
-        "key", "month", *order,
-        *_measures(
+    ree = rows.filter("kind = 'REE' and row_idx >= 9 and size(cells) >= 102").join(F.broadcast(found), "sheet", "left")
+    ree = _keyed_rows(
+        ree, at(1), by,
+        _measures(
             cap_gen=value(4), cap_dem=value(7), cap_dem_neta=value(7), cap_gen_ocup=value(33), cap_gen_tram=value(40), cap_gen_disp=value(44),
             cap_dem_ocup=numeric.add_known(value(89), value(93)), cap_dem_tram=numeric.add_known(value(100), value(101)),
             cap_gen_neta=numeric.less_pending(value(44), value(40)), acept=value(10), cap_gen_RdD=numeric.to_float(headers.cell("rdd")),
         ),
-    )
+    ).select("key", "month", *order, *MEASURES)
     return dso.unionByName(ree).withColumnsRenamed({"special": "o1", "sheet_idx": "o2"}).withColumn("source", F.lit(MONITOR))
 
 
@@ -178,11 +182,11 @@ def maps_history(bronze: DataFrame) -> DataFrame:
     found = headers.by_sheet(headers.resolve_columns(bronze, headers.MAP_RULES, text.collapsed), ["name", "rdd", "tram"])
     found = found.filter("name_pos is not null and rdd_pos is not null and tram_pos is not null")
     year, month = sheets.map_sheet(F.col("sheet"))
-    rows = bronze.join(found, "sheet").withColumn("month", text.month_label(year, month)).filter("month is not null")
+    rows = bronze.join(F.broadcast(found), "sheet").withColumn("month", text.month_label(year, month)).filter("month is not null")
     rows = rows.filter("row_idx > header_end and size(cells) > greatest(name_pos, rdd_pos, tram_pos)")
-    rows = _keyed_rows(rows, headers.cell("name"), ["sheet", "month", "sheet_idx"])
     free, pending = numeric.to_float(headers.cell("rdd")), numeric.to_float(headers.cell("tram"))
-    return rows.select("key", "month", F.lit(0).alias("o1"), F.col("sheet_idx").alias("o2"), *_measures(cap_gen_tram=pending, acept=numeric.delta(free, pending), cap_gen_RdD=free), F.lit(MAPS).alias("source"))
+    rows = _keyed_rows(rows, headers.cell("name"), ["sheet", "month", "sheet_idx"], _measures(cap_gen_tram=pending, acept=numeric.delta(free, pending), cap_gen_RdD=free))
+    return rows.select("key", "month", F.lit(0).alias("o1"), F.col("sheet_idx").alias("o2"), *MEASURES, F.lit(MAPS).alias("source"))
 
 
 def csv_history(registry: DataFrame) -> DataFrame:
@@ -241,7 +245,7 @@ def tidy(bronze: DataFrame, since: str | None = "2023-12-01") -> DataFrame:
     rows = bronze.withColumn("fecha", sheets.dated_sheet(F.col("sheet"))).filter("fecha is not null and row_idx >= 5")
     if since:
         rows = rows.filter(F.col("fecha") >= since)
-    rows = rows.join(found, "sheet").withColumn("name", text.stripped(headers.cell("name")))
+    rows = rows.join(F.broadcast(found), "sheet").withColumn("name", text.stripped(headers.cell("name")))
     rows = rows.filter((F.col("name") != "") & (F.col("name") != "For Formula ROW") & ~F.upper("name").rlike("^(NOMBRE|TOTAL)"))
     value = lambda f: numeric.to_float_with_comma(headers.cell(f))
     pending = F.coalesce(value("sol"), F.lit(0.0))
