@@ -5,6 +5,7 @@ import random
 import time
 
 import pytest
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from voltaweave import scratch
@@ -72,6 +73,40 @@ def test_any_order_of_arrival_gives_the_batch_result(spark, tmp_path, seed):
     assert "RocksDB" not in spark.conf.get("spark.sql.streaming.stateStore.providerClass")
 
 
+class Handle:
+    """A state in a dict, which counts its calls."""
+
+    def __init__(self):
+        self.held, self.calls = {}, 0
+
+    def getMapState(self, name, key, value):  # noqa: N802
+        return self
+
+    def getValue(self, key):  # noqa: N802
+        self.calls += 1
+        return self.held.get(key)
+
+    def updateValue(self, key, value):  # noqa: N802
+        self.calls += 1
+        self.held[key] = value
+
+
+def test_calls_to_the_state_follow_shelves_not_keys():
+    from pyspark.sql.types import StructType
+
+    made = StructType.fromDDL("key string, month string, a double, b string, c long, src long, present boolean")
+    handle, out = Handle(), {}
+    merge = live.LiveMerge(["key", "month"], ["a", "b", "c"], MASKS, ["src", "o1"], None, made)
+    merge.init(handle)
+    rows = [(f"{r[0]}-{i % 40}", *r[1:]) for i, r in enumerate(records(3, 1500))]
+    row = Row("_bucket", "_shelf", *(c.split()[0] for c in RECORDS.split(", ")))
+    for cut in (rows[:700], rows[700:]):
+        for r in merge.handleInputRows((0,), iter([row(0, sum(map(ord, x[0] + x[1])) % 4, *x) for x in cut]), None):
+            out[r.key, r.month] = (r.present, (r.a, r.b, r.c, r.src))
+    assert {k: v for k, (there, v) in out.items() if there} == plain(rows)
+    assert len(out) > 500 and handle.calls <= 2 * 2 * 4
+
+
 def test_upserts_leave_only_what_is_read(spark, tmp_path):
     publish = watch.upsert_into(str(tmp_path), ["k"], "at", every=3)
     rng, want = random.Random(3), {}

@@ -1,6 +1,6 @@
 """The merged history kept live: records arrive, change and go in any order, and only the months they touch are merged again.
 
-The state store holds, for each key (such as substation and month), the newest
+The state store holds, for each key (such as substation and month) on a shelf of keys, the newest
 version of every record, by source and place, and tombstones of those that went.
 A late version of a record that is known in a newer one changes nothing, so any
 order of arrival ends in what ``operators.keyed.masked_fill_upsert`` makes of the
@@ -44,36 +44,46 @@ def merged(records: dict[tuple, tuple], fields: Sequence[str], masks: Mapping[in
 
 def _newer(one: tuple, other: tuple) -> bool:
     """Whether (version, gone, fields) comes after another for the same place."""
+    if one[:2] != other[:2]:
+        return one[:2] > other[:2]
     known = lambda record: (record[0], record[1], [(x is not None, x if x is not None else 0) for x in record[2]])
     return known(one) > known(other)
 
 
 class LiveMerge(StatefulProcessor):
-    """State by key: the newest version of each of its records.  A group of the stream is a bucket of keys, so that a batch asks for few groups."""
+    """State by shelf of keys: the newest version of each of their records.  A group of the stream is a bucket of shelves, so that a batch asks for few groups."""
 
-    def __init__(self, keys: Sequence[str], fields: Sequence[str], masks: Mapping[int, Sequence[str]], place: Sequence[str], key: StructType, held: StructType, made: StructType):
+    def __init__(self, keys: Sequence[str], fields: Sequence[str], masks: Mapping[int, Sequence[str]], place: Sequence[str], held: StructType, made: StructType):
         self.keys, self.fields, self.masks, self.place = list(keys), list(fields), {s: list(m) for s, m in masks.items()}, list(place)
-        self.key, self.held, self.made = key, held, Row(*made.names)
+        self.held, self.made = held, Row(*made.names)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.records = handle.getMapState("records", self.key, self.held)
+        self.records = handle.getMapState("records", StructType([StructField("shelf", LongType())]), self.held)
 
     def handleInputRows(self, key: tuple, rows: Iterator[Row], timer_values) -> Iterator[Row]:  # noqa: N802
-        asked: dict[tuple, list] = {}
+        k, n = len(self.keys), len(self.keys) + len(self.place)
+        asked: dict[int, list] = {}
+        at: list[int] = []
         for row in rows:
-            one = (row["version"], bool(row["gone"]), tuple(row[f] for f in self.fields))
-            asked.setdefault(tuple(row[k] for k in self.keys), []).append((tuple(row[p] for p in self.place), one))
-        n = len(self.place)
-        for own, ones in asked.items():
-            held = self.records.getValue(own)
-            known = {tuple(r[:n]): (r[n], r[n + 1], tuple(r[n + 2 :])) for r in held[0]} if held else {}
-            news = False
-            for place, one in ones:
-                if place not in known or _newer(one, known[place]):
-                    known[place], news = one, True
+            at = at or [row.__fields__.index(c) for c in ("_shelf", *self.keys, *self.place, "version", "gone", *self.fields)]
+            shelf, *one = [row[i] for i in at]
+            asked.setdefault(shelf, []).append(one)
+        for shelf, ones in asked.items():
+            held = self.records.getValue((shelf,))
+            known: dict[tuple, dict[tuple, tuple]] = {}
+            for r in held[0] if held else ():
+                known.setdefault(tuple(r[:k]), {})[tuple(r[k:n])] = (r[n], r[n + 1], tuple(r[n + 2 :]))
+            news = {}  # in order of arrival
+            for r in ones:
+                own, place, one = tuple(r[:k]), tuple(r[k:n]), (r[n], bool(r[n + 1]), tuple(r[n + 2 :]))
+                mine = known.setdefault(own, {})
+                if place not in mine or _newer(one, mine[place]):
+                    mine[place] = one
+                    news[own] = mine
             if news:
-                self.records.updateValue(own, ([(*place, version, gone, *values) for place, (version, gone, values) in known.items()],))
-                merge = merged({p: values for p, (_, gone, values) in known.items() if not gone}, self.fields, self.masks)
+                self.records.updateValue((shelf,), ([(*own, *place, version, gone, *values) for own, mine in known.items() for place, (version, gone, values) in mine.items()],))
+            for own, mine in news.items():
+                merge = merged({p: values for p, (_, gone, values) in mine.items() if not gone}, self.fields, self.masks)
                 yield self.made(*own, *(merge or (None,) * (len(self.fields) + 1)), merge is not None)
 
     def close(self) -> None:
@@ -81,25 +91,26 @@ class LiveMerge(StatefulProcessor):
 
 
 def live_history(
-    changes: DataFrame, keys: Sequence[str], fields: Sequence[str], masks: Mapping[int, Sequence[str]], source: str, order: Sequence[str], buckets: int = 1024
+    changes: DataFrame, keys: Sequence[str], fields: Sequence[str], masks: Mapping[int, Sequence[str]], source: str, order: Sequence[str], buckets: int = 1024, shelves: int = 8
 ) -> DataFrame:
     """(keys, fields, source, present) of every key that a batch of the stream ``changes`` touched.
 
     ``changes`` has the keys, ``source``, the ``order`` columns (which place a record in its
     source), the fields, ``version`` and ``gone``.  ``masks`` as for ``masked_fill_upsert``.
     A key all of whose records went comes with ``present`` false and null fields.
-    Keys are dealt to ``buckets`` groups; a task holds one bucket's rows of a batch. The
-    records of a key are one value of the state.
+    Keys are dealt to ``buckets`` groups of ``shelves`` each; a task holds one bucket's rows of a
+    batch. The records of a shelf's keys are one value of the state, so calls to the state
+    are bounded by the shelves, whatever the keys; a batch rewrites the shelves that it touches.
     """
     rows = changes.select(
-        F.pmod(F.xxhash64(*keys), F.lit(buckets)).alias("_bucket"),
+        F.pmod(F.xxhash64(*keys), F.lit(buckets)).alias("_bucket"), F.pmod(F.xxhash64(F.lit(1), *keys), F.lit(shelves)).alias("_shelf"),
         *keys, F.col(source).cast("long").alias(source), *(F.col(c).cast("long").alias(c) for c in order), F.col("version").cast("long").alias("version"), "gone", *fields,
     )
     place = [source, *order]
-    record = StructType([*(StructField(c, LongType()) for c in place), StructField("version", LongType()), StructField("gone", BooleanType()), *(rows.schema[f] for f in fields)])
-    key, held = StructType([rows.schema[k] for k in keys]), StructType([StructField("records", ArrayType(record))])
+    record = StructType([*(rows.schema[k] for k in keys), *(StructField(c, LongType()) for c in place), StructField("version", LongType()), StructField("gone", BooleanType()), *(rows.schema[f] for f in fields)])
+    held = StructType([StructField("records", ArrayType(record))])
     made = StructType([*(rows.schema[k] for k in keys), *(rows.schema[f] for f in fields), StructField(source, LongType()), StructField("present", BooleanType())])
-    processor = LiveMerge(keys, fields, masks, place, key, held, made)
+    processor = LiveMerge(keys, fields, masks, place, held, made)
     return rows.groupBy("_bucket").transformWithState(processor, made, outputMode="Update", timeMode="None")
 
 
